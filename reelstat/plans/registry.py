@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reelstat import config as C
 from reelstat.plans import staging as S
-from reelstat.plans.marts import content
+from reelstat.plans.marts import content, genres, recommendations, users
 from reelstat.sources import adapters as A
 from reelstat.sources import raw as R
 
@@ -41,6 +41,45 @@ def q_content_performance(spark, sf_dir):
                                        staged(spark, sf_dir, "reviews"))
 
 
+def q_content_monthly(spark, sf_dir):
+    return content.watch_monthly(staged(spark, sf_dir, "watch_history"))
+
+
+def q_genre_trends(spark, sf_dir):
+    return genres.genre_trends(staged(spark, sf_dir, "movies"), staged(spark, sf_dir, "watch_history"),
+                               staged(spark, sf_dir, "reviews"))
+
+
+def q_recommendation_flags(spark, sf_dir):
+    flagged = recommendations.recommendation_flags(staged(spark, sf_dir, "recommendation_logs"),
+                                                   staged(spark, sf_dir, "watch_history"))
+    return flagged.select("recommendation_id", "led_to_watch", "led_to_completion")
+
+
+def q_recommendation_performance(spark, sf_dir):
+    return recommendations.recommendation_performance(staged(spark, sf_dir, "recommendation_logs"),
+                                                      staged(spark, sf_dir, "watch_history"))
+
+
+def q_user_mode_device(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from reelstat.operators.mode import exact_mode
+    return (staged(spark, sf_dir, "watch_history").groupBy("user_id")
+            .agg(exact_mode("device_type").alias("preferred_device"),
+                 exact_mode("quality").alias("preferred_quality")))
+
+
+def user_engagement_mart(spark, sf_dir):
+    return users.user_engagement(staged(spark, sf_dir, "users"), staged(spark, sf_dir, "watch_history"),
+                                 staged(spark, sf_dir, "reviews"), staged(spark, sf_dir, "search_logs"),
+                                 staged(spark, sf_dir, "recommendation_logs"), as_of=AS_OF)
+
+
+def q_user_engagement(spark, sf_dir):
+    return user_engagement_mart(spark, sf_dir)
+
+
 def _stg(table: str):
     def run(spark, sf_dir):
         return staged(spark, sf_dir, table)
@@ -54,5 +93,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for t in C.TABLES:
         out[f"stg_{t}"] = _stg(t)
-    out["content_performance"] = q_content_performance
+    out.update({
+        "content_monthly": q_content_monthly,
+        "content_performance": q_content_performance,
+        "genre_trends": q_genre_trends,
+        "recommendation_flags": q_recommendation_flags,
+        "recommendation_performance": q_recommendation_performance,
+        "user_mode_device": q_user_mode_device,
+        "user_engagement": q_user_engagement,
+    })
     return out

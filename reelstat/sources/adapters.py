@@ -52,9 +52,15 @@ def _pick(index: Column, values: list) -> Column:
 
 
 def _epoch_ns(ts_ntz: Column) -> Column:
-    """TIMESTAMP_NTZ -> integer nanoseconds since epoch (no time-zone shift)."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts_ntz)
-    return micros * 1000
+    """TIMESTAMP_NTZ -> integer nanoseconds since epoch.
+
+    Built from the wall-clock fields so no session time zone is involved
+    (casting NTZ to TIMESTAMP would shift by the zone's offset and DST).
+    """
+    seconds = (F.unix_date(F.to_date(ts_ntz)).cast("long") * 86400
+               + F.hour(ts_ntz) * 3600 + F.minute(ts_ntz) * 60)
+    micros_in_minute = (F.date_part(F.lit("SECOND"), ts_ntz) * 1_000_000).cast("long")
+    return (seconds * 1_000_000 + micros_in_minute) * 1000
 
 
 def _day_text(ts_ntz: Column) -> Column:
