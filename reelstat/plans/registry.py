@@ -14,6 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reelstat import config as C
+from reelstat.operators import profile as P
+from reelstat.operators import quality as Q
+from reelstat.plans import checks
+from reelstat.plans import dashboard as D
 from reelstat.plans import staging as S
 from reelstat.plans.marts import content, genres, recommendations, users
 from reelstat.sources import adapters as A
@@ -21,6 +25,13 @@ from reelstat.sources import raw as R
 
 # Tenure is measured to this date in registered queries so results are stable.
 AS_OF = dt.date(2026, 4, 1)
+# Dashboard filter values used by the registered dashboard queries: the
+# app's defaults (every plan and country selected) and one date range.
+DASH_PLANS = list(C.SUBSCRIPTION_PLANS)
+DASH_COUNTRIES = list(C.COUNTRIES)
+DASH_DATES = (dt.date(1998, 1, 1), dt.date(2000, 6, 30))
+# Driver tables the profile query describes.
+PROFILE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
 def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -80,6 +91,73 @@ def q_user_engagement(spark, sf_dir):
     return user_engagement_mart(spark, sf_dir)
 
 
+def content_mart(spark, sf_dir):
+    return q_content_performance(spark, sf_dir)
+
+
+def genre_mart(spark, sf_dir):
+    return q_genre_trends(spark, sf_dir)
+
+
+def q_kpi_summary(spark, sf_dir):
+    return D.kpi_summary(user_engagement_mart(spark, sf_dir), DASH_PLANS, DASH_COUNTRIES)
+
+
+def q_kpi_summary_dated(spark, sf_dir):
+    return D.kpi_summary(user_engagement_mart(spark, sf_dir), ["Basic", "Premium"], ["USA"], DASH_DATES)
+
+
+def q_active_users_by_month(spark, sf_dir):
+    return D.active_users_by_month(user_engagement_mart(spark, sf_dir), DASH_PLANS, DASH_COUNTRIES, DASH_DATES)
+
+
+def q_content_scatter(spark, sf_dir):
+    return D.content_scatter(content_mart(spark, sf_dir))
+
+
+def q_content_scatter_dated(spark, sf_dir):
+    return D.content_scatter(content_mart(spark, sf_dir), DASH_DATES)
+
+
+def q_genre_share(spark, sf_dir):
+    return D.genre_share(genre_mart(spark, sf_dir))
+
+
+def q_quality_report(spark, sf_dir):
+    tables = {}
+    for t in C.TABLES:
+        raw = raw_table(spark, sf_dir, t)
+        tables[("source", t)] = raw
+        tables[("staging", t)] = S.STAGING[t](raw)
+    return Q.quality_report(tables, checks.declared_rules())
+
+
+def q_mart_ready(spark, sf_dir):
+    return Q.mart_row_counts({
+        "mart_content_performance": content_mart(spark, sf_dir),
+        "mart_user_engagement": user_engagement_mart(spark, sf_dir),
+        "mart_genre_trends": genre_mart(spark, sf_dir),
+        "mart_recommendation_performance": q_recommendation_performance(spark, sf_dir),
+    })
+
+
+def q_profile_columns(spark, sf_dir):
+    from pyspark.sql import functions as F
+    report = P.profile_paths(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in PROFILE_TABLES])
+    return report.select("file_name", "ordinal", "column_name", "rows", "columns", "null_count", "null_pct",
+                         F.array_join("distinct_values", "|").alias("distinct_values"))
+
+
+def q_raw_union_by_name(spark, sf_dir):
+    return R.decode_binary_columns(R.union_snapshots([A.raw_movies(spark, sf_dir),
+                                                      A.raw_movies_previous_snapshot(spark, sf_dir)]))
+
+
+def q_raw_snapshot_latest(spark, sf_dir):
+    return R.clean_raw_table(R.union_snapshots([A.raw_movies_previous_snapshot(spark, sf_dir),
+                                                A.raw_movies(spark, sf_dir)]), "movies")
+
+
 def _stg(table: str):
     def run(spark, sf_dir):
         return staged(spark, sf_dir, table)
@@ -90,6 +168,8 @@ def _stg(table: str):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "raw_dedup_latest": q_raw_dedup_latest,
+        "raw_union_by_name": q_raw_union_by_name,
+        "raw_snapshot_latest": q_raw_snapshot_latest,
     }
     for t in C.TABLES:
         out[f"stg_{t}"] = _stg(t)
@@ -101,5 +181,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recommendation_performance": q_recommendation_performance,
         "user_mode_device": q_user_mode_device,
         "user_engagement": q_user_engagement,
+        "kpi_summary": q_kpi_summary,
+        "kpi_summary_dated": q_kpi_summary_dated,
+        "active_users_by_month": q_active_users_by_month,
+        "content_scatter": q_content_scatter,
+        "content_scatter_dated": q_content_scatter_dated,
+        "genre_share": q_genre_share,
+        "quality_report": q_quality_report,
+        "mart_ready": q_mart_ready,
+        "profile_columns": q_profile_columns,
     })
     return out
