@@ -54,13 +54,18 @@ def quality_report(tables: dict[tuple[str, str], DataFrame], rules: list[Rule])
     return reduce(DataFrame.unionByName, parts)
 
 
-def raise_on_failures(report: DataFrame) -> DataFrame:
-    """Fail the run when any rule has failing rows (the report has one row per rule)."""
-    failed = report.filter(F.col("failing_rows") > 0).collect()
+def raise_on_failures(report) -> None:
+    """Fail the run when any rule has failing rows.
+
+    ``report`` is the report DataFrame or its collected rows (one per rule,
+    so collecting it is bounded by the number of declared rules).
+    """
+    rows = report.collect() if isinstance(report, DataFrame) else report
+    failed = [r for r in rows if r["failing_rows"] > 0]
     if failed:
-        lines = [f"{r.layer}.{r.table_name}.{r.column_name} {r.test}: {r.failing_rows} rows" for r in failed]
+        lines = [f"{r['layer']}.{r['table_name']}.{r['column_name']} {r['test']}: {r['failing_rows']} rows"
+                 for r in failed]
         raise AssertionError("data tests failed:\n" + "\n".join(lines))
-    return report
 
 
 def mart_row_counts(marts: dict[str, DataFrame]) -> DataFrame:
