@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source product is made of daily batch jobs (ingest, load-and-build) and an
+hourly readiness check; it has no stream, watermark, window-over-time or state.
+Its daily reload reads every retained snapshot again, which is also what makes
+expired snapshots drop out, so it stays a batch job here (``plans.pipeline``).
+"""
