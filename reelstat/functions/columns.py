@@ -64,12 +64,14 @@ def exact_avg(c, scale: int) -> Column:
 # Dates
 # ---------------------------------------------------------------------------
 def ns_to_micros(c) -> Column:
-    """Nanoseconds since epoch (integer) -> microseconds, rounded half up.
+    """Nanoseconds since epoch (integer) -> microseconds, rounded half away from zero.
 
     Goes through a double like the original loader did, so sub-microsecond
-    digits round rather than truncate.
+    digits round rather than truncate. ``floor(|x| + 0.5)`` is exact here
+    (x is n/1000) and several times faster than ``round``, which builds a
+    BigDecimal per row.
     """
-    return F.round(col(c).cast("double") / NANOS_PER_MICRO).cast("long")
+    return round_half_up(col(c).cast("double") / NANOS_PER_MICRO, 0).cast("long")
 
 
 def ns_to_date(c) -> Column:

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstat import config as C
+from reelstat.functions.columns import round_half_up
 
 # Fixed values used only to label the synthetic mapping.
 GENRES_BY_PART_TYPE = {
@@ -167,7 +168,7 @@ def raw_watch_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(supp, C.DEVICES).alias("device_type"),
         _pick(okey, SESSION_COUNTRIES).alias("location_country"),
         F.when(qty.cast("long") % 8 != 0, qty * 3).alias("watch_duration_minutes"),
-        F.when(okey % 13 != 0, (F.round(F.col("l_discount") * 100).cast("long") * 10).cast("double"))
+        F.when(okey % 13 != 0, (round_half_up(F.col("l_discount") * 100, 0).cast("long") * 10).cast("double"))
         .alias("progress_percentage"),
         _pick(okey + line, C.WATCH_ACTIONS).alias("action"),
         _pick(part + supp, C.QUALITIES).alias("quality"),
