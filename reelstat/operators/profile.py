@@ -11,13 +11,14 @@ Two passes, both distributed:
    de-duplicated before anything is collected), kept when the exact count
    is within the limit.
 
-Only the small per-(file, column) estimate table of pass 1 is brought to the
-driver, to decide which columns pass 2 reads. High-cardinality columns are
-never shuffled value by value.
+Pass 1 is checkpointed and reused; only the names of the low-cardinality
+columns reach the driver (at most the schema width). High-cardinality
+columns are never shuffled value by value.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 
 from reelstat import config as C
 from reelstat.functions.columns import round_half_up
+from reelstat.session import ensure_checkpoint_dir
 
 _FILE, _ROW = "_profile_file", "_profile_row"
 HLL_RSD = 0.05  # 512 registers: exact enough to pre-select columns with <= 2 x 30 values
@@ -63,26 +65,28 @@ def _sort_key(df: DataFrame, column: str):
     return F.struct(F.lit(None).cast("double").alias("num"), c.cast("string").alias("txt"))
 
 
-def low_cardinality_values(df: DataFrame, candidates: list[tuple[str, str]],
+def low_cardinality_values(df: DataFrame, stats: DataFrame, columns: list[str],
                            max_distinct: int = C.PROFILE_MAX_DISTINCT) -> DataFrame | None:
-    """Pass 2: (file_path, column_name, distinct_count, distinct_values) for candidate pairs.
-
-    The candidate columns are unpivoted into (file, column, value) rows and
-    de-duplicated in one shuffle; values are gathered only for (file,
-    column) pairs whose exact count is within the limit, so no task ever
-    collects an unbounded list. Values are ordered by their own type
-    (numbers numerically) and shown as text; NULL is not a value here.
+    """Pass 2: (file_path, column_name, distinct_count, distinct_values).
+
+    Only ``columns`` are unpivoted into (file, column, value) rows, only the
+    (file, column) pairs whose estimate in ``stats`` is low are kept (a
+    distributed semi-join, no literal lists), values are de-duplicated with a
+    map-side combine, and they are gathered only for pairs whose exact count
+    is within the limit, so no task ever collects an unbounded list. Values
+    are ordered by their own type (numbers numerically) and shown as text;
+    NULL is not a value here.
     """
-    if not candidates:
+    if not columns:
         return None
-    columns = sorted({c for _, c in candidates})
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), _sort_key(df, c).alias("k"),
                                F.col(f"`{c}`").cast("string").alias("v")) for c in columns])
-    wanted = df.sparkSession.createDataFrame(candidates, "file_path string, column_name string")
+    wanted = (stats.filter(F.col("approx_distinct") <= 2 * max_distinct)
+                   .select("file_path", "column_name"))
     values = (_with_origin(df).select(F.col(_FILE).alias("file_path"), F.inline(pairs))
                               .filter(F.col("v").isNotNull())
-                              .join(F.broadcast(wanted), ["file_path", "column_name"], "left_semi")
-                              .distinct())
+                              .distinct()
+                              .join(wanted, ["file_path", "column_name"], "left_semi"))
     counts = values.groupBy("file_path", "column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
     listed = (values.join(counts.filter(F.col("distinct_count") <= max_distinct),
                           ["file_path", "column_name"], "left_semi")
@@ -96,27 +100,35 @@ def profile(df: DataFrame, max_distinct: int = C.PROFILE_MAX_DISTINCT) -> DataFr
     """One row per (file, column): type, rows, NULL count and percent, low-cardinality values.
 
     ``df`` must come straight from a file source (it reads ``_metadata``).
-    Runs pass 1 to pick pass-2 columns, then returns the combined lazy report.
+    Pass 1 runs once and is checkpointed (it feeds both the column choice
+    and the report); only the names of low-cardinality columns, at most the
+    schema width, reach the driver.
     """
-    stats = file_stats(df)
-    candidates = [(r.file_path, r.column_name) for r in
-                  stats.filter(F.col("approx_distinct") <= 2 * max_distinct)
-                       .select("file_path", "column_name").collect()]
+    ensure_checkpoint_dir(df.sparkSession)
+    stats = file_stats(df).checkpoint(eager=True)
+    columns = [r.column_name for r in
+               stats.filter(F.col("approx_distinct") <= 2 * max_distinct).select("column_name").distinct().collect()]
     report = stats.select(
         "file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "rows", "columns",
         "ordinal", "column_name", "data_type", "null_count",
         round_half_up(F.try_divide(F.col("null_count") * 100, F.col("rows")), 1).alias("null_pct"),
         "sample_row")
-    values = low_cardinality_values(df, candidates, max_distinct)
+    values = low_cardinality_values(df, stats, sorted(columns), max_distinct)
     if values is None:
         return report.select("*", F.lit(None).cast("array<string>").alias("distinct_values"))
     return (report.join(values.select("file_path", "column_name", "distinct_values"),
                         ["file_path", "column_name"], "left"))
 
 
-def profile_paths(spark: SparkSession, paths: list[str], max_distinct: int = C.PROFILE_MAX_DISTINCT) -> DataFrame:
-    """Profile several Parquet datasets (each may have its own schema)."""
-    parts = [profile(spark.read.parquet(p), max_distinct) for p in paths]
+def profile_paths(spark: SparkSession, paths: list[str], max_distinct: int = C.PROFILE_MAX_DISTINCT,
+                  max_parallel: int = 4) -> DataFrame:
+    """Profile several Parquet datasets (each may have its own schema).
+
+    The first passes of the datasets are independent jobs and run
+    concurrently; the combined report stays lazy.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(paths)))) as pool:
+        parts = list(pool.map(lambda p: profile(spark.read.parquet(p), max_distinct), paths))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -9,6 +9,7 @@ report. Nothing is collected; the caller decides how to run the plan.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from reelstat.operators import quality as Q
 from reelstat.plans import checks
 from reelstat.plans import dashboard as D
 from reelstat.plans import staging as S
+from reelstat.session import ensure_checkpoint_dir
 from reelstat.plans.marts import content, genres, recommendations, users
 from reelstat.sources import adapters as A
 from reelstat.sources import raw as R
@@ -148,6 +150,35 @@ def q_profile_columns(spark, sf_dir):
                          F.array_join("distinct_values", "|").alias("distinct_values"))
 
 
+def q_genre_weekly(spark, sf_dir):
+    return genres.weekly_watch(staged(spark, sf_dir, "watch_history"), staged(spark, sf_dir, "movies"))
+
+
+SNAPSHOT_DAYS = (dt.date(2026, 3, 27), dt.date(2026, 3, 28))
+
+
+def _write_movie_snapshots(spark, sf_dir) -> str:
+    """Write the two movies snapshots (older narrow one, current one) as daily
+    snapshot folders under the session's checkpoint folder; return the root."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snapshots-{uuid.uuid4().hex}"
+    old_day, new_day = SNAPSHOT_DAYS
+    R.write_snapshot(A.raw_movies_previous_snapshot(spark, sf_dir), root, "movies", old_day)
+    R.write_snapshot(A.raw_movies(spark, sf_dir), root, "movies", new_day)
+    return root
+
+
+def q_scan_parquet_snapshots(spark, sf_dir):
+    root = _write_movie_snapshots(spark, sf_dir)
+    assert R.list_snapshot_tables(spark, root) == ["movies"]
+    return R.clean_raw_table(R.read_snapshots(spark, root, "movies"), "movies")
+
+
+def q_snapshot_retention(spark, sf_dir):
+    root = _write_movie_snapshots(spark, sf_dir)
+    return R.decode_binary_columns(R.read_snapshots(spark, root, "movies", run_date=SNAPSHOT_DAYS[1],
+                                                    retention_days=1))
+
+
 def q_raw_union_by_name(spark, sf_dir):
     return R.decode_binary_columns(R.union_snapshots([A.raw_movies(spark, sf_dir),
                                                       A.raw_movies_previous_snapshot(spark, sf_dir)]))
@@ -170,12 +201,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_dedup_latest": q_raw_dedup_latest,
         "raw_union_by_name": q_raw_union_by_name,
         "raw_snapshot_latest": q_raw_snapshot_latest,
+        "scan_parquet_snapshots": q_scan_parquet_snapshots,
+        "snapshot_retention": q_snapshot_retention,
     }
     for t in C.TABLES:
         out[f"stg_{t}"] = _stg(t)
     out.update({
         "content_monthly": q_content_monthly,
         "content_performance": q_content_performance,
+        "genre_weekly": q_genre_weekly,
         "genre_trends": q_genre_trends,
         "recommendation_flags": q_recommendation_flags,
         "recommendation_performance": q_recommendation_performance,
