@@ -23,6 +23,9 @@ SESSION_CONF = {
     # A rewrite of one day's snapshot replaces only that day's partition.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Per-call Python stack capture for error context costs a JVM round trip
+    # per function call while a plan is built; errors still carry the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

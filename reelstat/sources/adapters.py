@@ -19,11 +19,10 @@ Mapping (sizes grow with the driver scale factor):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstat import config as C
-from reelstat.functions.columns import round_half_up
 
 # Fixed values used only to label the synthetic mapping.
 GENRES_BY_PART_TYPE = {
@@ -43,66 +42,100 @@ EPOCH_DAY_2015_01_01 = 16436
 EPOCH_DAY_2018_01_01 = 17532
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+SPREAD_MIN_BYTES = 4 << 20
+SPLIT_BYTES = 128 << 20
+_READS: dict = {}
 
 
-def _pick(index: Column, values: list) -> Column:
-    """values[index mod len(values)]."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
+def _file_status(spark: SparkSession, path: str) -> tuple[int, int]:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    summary = fs.getContentSummary(hpath)
+    return summary.getLength(), fs.getFileStatus(hpath).getModificationTime()
 
 
-def _epoch_ns(ts_ntz: Column) -> Column:
-    """TIMESTAMP_NTZ -> integer nanoseconds since epoch.
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table (the parsed scan is reused while the file is unchanged).
 
-    Built from the wall-clock fields so no session time zone is involved
-    (casting NTZ to TIMESTAMP would shift by the zone's offset and DST).
+    The driver writes each table as a single Parquet row group, i.e. one
+    input task. A table of some size (>= 4 MB) that is smaller than one
+    128 MB split per core is spread over the cores, otherwise the per-row
+    mapping and the map side of the first aggregate run in a single task.
+    Small tables, and large inputs (many splits), are read as they are.
     """
-    seconds = (F.unix_date(F.to_date(ts_ntz)).cast("long") * 86400
-               + F.hour(ts_ntz) * 3600 + F.minute(ts_ntz) * 60)
-    micros_in_minute = (F.date_part(F.lit("SECOND"), ts_ntz) * 1_000_000).cast("long")
-    return (seconds * 1_000_000 + micros_in_minute) * 1000
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    size, mtime = _file_status(spark, path)
+    key = (spark.sparkContext.applicationId, path, size, mtime)
+    if key not in _READS:
+        df = spark.read.parquet(path)
+        cores = spark.sparkContext.defaultParallelism
+        if SPREAD_MIN_BYTES <= size < cores * SPLIT_BYTES:
+            df = df.repartition(cores)
+        _READS[key] = df
+    return _READS[key]
+
+
+# ---------------------------------------------------------------------------
+# Spark SQL expression text for the mapping
+# ---------------------------------------------------------------------------
+def _q(v: str) -> str:
+    if "'" in v or "\\" in v:
+        raise ValueError(f"unexpected quote in {v!r}")
+    return f"'{v}'"
+
+
+def _pick(index: str, values: list) -> str:
+    """values[index mod len(values)]."""
+    return f"element_at(array({', '.join(_q(v) for v in values)}), CAST(({index}) % {len(values)} + 1 AS INT))"
+
 
+def _epoch_ns(ts_ntz: str) -> str:
+    """TIMESTAMP_NTZ -> integer nanoseconds since epoch, from the wall-clock
+    fields, so no session time zone is involved (casting NTZ to TIMESTAMP
+    would shift by the zone's offset and DST)."""
+    seconds = f"(CAST(unix_date(to_date({ts_ntz})) AS BIGINT) * 86400 + hour({ts_ntz}) * 3600 + minute({ts_ntz}) * 60)"
+    micros = f"CAST(date_part('SECOND', {ts_ntz}) * 1000000 AS BIGINT)"
+    return f"(({seconds} * 1000000 + {micros}) * 1000)"
 
-def _day_text(ts_ntz: Column) -> Column:
-    return F.to_date(ts_ntz).cast("string")
 
+def _day_text(ts_ntz: str) -> str:
+    return f"CAST(to_date({ts_ntz}) AS STRING)"
 
-def _lineage(record_set: str, source: str, ingestion: Column) -> list[Column]:
-    return [ingestion.alias(C.INGESTION_DATE),
-            F.lit(record_set).alias(C.RECORD_SET),
-            F.lit(source).alias(C.SOURCE)]
+
+def _lineage(record_set: str, source: str, ingestion: str) -> list[str]:
+    return [f"{ingestion} AS {C.INGESTION_DATE}", f"{_q(record_set)} AS {C.RECORD_SET}",
+            f"{_q(source)} AS {C.SOURCE}"]
+
+
+def _time_of_day_ns(a: str, b: str) -> str:
+    return f"((({a}) * 7919 + ({b}) * 104729) % 86400) * {NS_PER_SECOND}"
 
 
 def raw_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").filter(F.col("p_partkey") % 97 != 0)
-    key, size = F.col("p_partkey"), F.col("p_size")
-    genre = F.lit(None).cast("string")
-    for part_type, name in reversed(list(GENRES_BY_PART_TYPE.items())):
-        genre = F.when(F.col("p_type") == part_type, name).otherwise(genre)
-    series = (key % 5).isin(1, 3)
-    seasons = 1 + size % 5
-    return p.select(
-        key.alias("movie_id"),
-        F.encode("p_name", "UTF-8").alias("title"),
-        _pick(key, C.CONTENT_TYPES).alias("content_type"),
-        F.when(key % 41 != 0, genre).alias("genre_primary"),
-        F.when(size % 3 == 0, _pick(size, SECONDARY_GENRES)).alias("genre_secondary"),
-        F.when(key % 89 == 0, F.lit("UNRATED")).otherwise(_pick(key, C.AGE_RATINGS)).alias("rating"),
-        _pick(size, LANGUAGES).alias("language"),
-        _pick(key + size, ORIGIN_COUNTRIES).alias("country_of_origin"),
-        (1990 + size % 35).cast("long").alias("release_year"),
-        ((EPOCH_DAY_2015_01_01 + (key * 37) % 3650) * NS_PER_DAY + (key % 86400) * NS_PER_SECOND)
-        .alias("added_to_platform"),
-        (20 + size * 3).cast("double").alias("duration_minutes"),
-        F.when(key % 7 != 0, 1.0 + (size % 17) / 2.0).alias("imdb_rating"),
-        F.when(key % 3 == 0, F.col("p_retailprice") * 1000).alias("production_budget"),
-        F.when(key % 4 == 0, F.col("p_retailprice") * 2500).alias("box_office_revenue"),
-        F.when(series, seasons.cast("long")).alias("number_of_seasons"),
-        F.when(series, (seasons * 8).cast("long")).alias("number_of_episodes"),
-        (key % 3 == 0).alias("is_original"),
-        (key % 6 == 0).alias("content_warning"),
-        *_lineage("movies", "tpch/part", F.lit(SNAPSHOT_DATE)),
+    genre = "CASE p_type " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in GENRES_BY_PART_TYPE.items()) + " END"
+    series = "p_partkey % 5 IN (1, 3)"
+    return read_table(spark, sf_dir, "part").filter("p_partkey % 97 != 0").selectExpr(
+        "p_partkey AS movie_id",
+        "encode(p_name, 'UTF-8') AS title",
+        f"{_pick('p_partkey', C.CONTENT_TYPES)} AS content_type",
+        f"CASE WHEN p_partkey % 41 != 0 THEN {genre} END AS genre_primary",
+        f"CASE WHEN p_size % 3 = 0 THEN {_pick('p_size', SECONDARY_GENRES)} END AS genre_secondary",
+        f"CASE WHEN p_partkey % 89 = 0 THEN 'UNRATED' ELSE {_pick('p_partkey', C.AGE_RATINGS)} END AS rating",
+        f"{_pick('p_size', LANGUAGES)} AS language",
+        f"{_pick('p_partkey + p_size', ORIGIN_COUNTRIES)} AS country_of_origin",
+        "CAST(1990 + p_size % 35 AS BIGINT) AS release_year",
+        f"({EPOCH_DAY_2015_01_01} + (p_partkey * 37) % 3650) * {NS_PER_DAY} + (p_partkey % 86400) * {NS_PER_SECOND}"
+        " AS added_to_platform",
+        "CAST(20 + p_size * 3 AS DOUBLE) AS duration_minutes",
+        "CASE WHEN p_partkey % 7 != 0 THEN 1.0D + (p_size % 17) / 2.0D END AS imdb_rating",
+        "CASE WHEN p_partkey % 3 = 0 THEN p_retailprice * 1000 END AS production_budget",
+        "CASE WHEN p_partkey % 4 = 0 THEN p_retailprice * 2500 END AS box_office_revenue",
+        f"CASE WHEN {series} THEN CAST(1 + p_size % 5 AS BIGINT) END AS number_of_seasons",
+        f"CASE WHEN {series} THEN CAST((1 + p_size % 5) * 8 AS BIGINT) END AS number_of_episodes",
+        "p_partkey % 3 = 0 AS is_original",
+        "p_partkey % 6 = 0 AS content_warning",
+        *_lineage("movies", "tpch/part", _q(SNAPSHOT_DATE)),
     )
 
 
@@ -117,28 +150,29 @@ def raw_movies_previous_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer")
-    key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    start_ns = (EPOCH_DAY_2018_01_01 + (key * 37) % 2500) * NS_PER_DAY + (key % 86400) * NS_PER_SECOND
-    age_text = F.concat((18 + (key * 7) % 60).cast("string"), F.when(key % 13 == 0, ".5").otherwise(""))
-    return c.select(
-        key.alias("user_id"),
-        F.when(key % 8 == 0, F.lit(None)).when(key % 50 == 1, "n/a").otherwise(age_text).alias("age"),
-        F.when(key % 12 != 5, _pick(key, GENDERS)).alias("gender"),
-        F.when(nation % 2 == 0, "USA").otherwise("Canada").alias("country"),
-        F.concat(F.lit("State "), nation.cast("string")).alias("state_province"),
-        F.concat(F.lit("City "), (key % 50).cast("string")).alias("city"),
-        F.when(key % 97 == 0, F.lit("Trial")).otherwise(_pick(key, C.SUBSCRIPTION_PLANS)).alias("subscription_plan"),
-        start_ns.alias("subscription_start_date"),
-        F.when(key % 31 != 0, F.col("c_acctbal") >= 0).alias("is_active"),
-        F.when(key % 10 != 3, 7.99 + (key % 4) * 4.0).alias("monthly_spend"),
-        _pick(key + nation, C.DEVICES).alias("primary_device"),
-        F.when(key % 7 != 2, 1 + key % 5).alias("household_size"),
-        (start_ns + (key % 3600) * NS_PER_SECOND + (key * 123457) % NS_PER_SECOND).alias("created_at"),
-        F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        F.lit("Customer").alias("first_name"),
-        key.cast("string").alias("last_name"),
-        *_lineage("users", "tpch/customer", F.lit(SNAPSHOT_DATE)),
+    start_ns = (f"(({EPOCH_DAY_2018_01_01} + (c_custkey * 37) % 2500) * {NS_PER_DAY}"
+                f" + (c_custkey % 86400) * {NS_PER_SECOND})")
+    return read_table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS user_id",
+        "CASE WHEN c_custkey % 8 = 0 THEN NULL WHEN c_custkey % 50 = 1 THEN 'n/a'"
+        " ELSE concat(CAST(18 + (c_custkey * 7) % 60 AS STRING), CASE WHEN c_custkey % 13 = 0 THEN '.5' ELSE '' END)"
+        " END AS age",
+        f"CASE WHEN c_custkey % 12 != 5 THEN {_pick('c_custkey', GENDERS)} END AS gender",
+        "CASE WHEN c_nationkey % 2 = 0 THEN 'USA' ELSE 'Canada' END AS country",
+        "concat('State ', CAST(c_nationkey AS STRING)) AS state_province",
+        "concat('City ', CAST(c_custkey % 50 AS STRING)) AS city",
+        f"CASE WHEN c_custkey % 97 = 0 THEN 'Trial' ELSE {_pick('c_custkey', C.SUBSCRIPTION_PLANS)} END"
+        " AS subscription_plan",
+        f"{start_ns} AS subscription_start_date",
+        "CASE WHEN c_custkey % 31 != 0 THEN c_acctbal >= 0 END AS is_active",
+        "CASE WHEN c_custkey % 10 != 3 THEN 7.99D + (c_custkey % 4) * 4.0D END AS monthly_spend",
+        f"{_pick('c_custkey + c_nationkey', C.DEVICES)} AS primary_device",
+        "CASE WHEN c_custkey % 7 != 2 THEN 1 + c_custkey % 5 END AS household_size",
+        f"{start_ns} + (c_custkey % 3600) * {NS_PER_SECOND} + (c_custkey * 123457) % {NS_PER_SECOND} AS created_at",
+        "concat('user', CAST(c_custkey AS STRING), '@example.com') AS email",
+        "'Customer' AS first_name",
+        "CAST(c_custkey AS STRING) AS last_name",
+        *_lineage("users", "tpch/customer", _q(SNAPSHOT_DATE)),
     )
 
 
@@ -148,99 +182,85 @@ def _line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
 
 
-def _time_of_day_ns(a: Column, b: Column) -> Column:
-    return ((a * 7919 + b * 104729) % 86400) * NS_PER_SECOND
-
-
 def raw_watch_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lo = _line_orders(spark, sf_dir)
-    okey, line, part, supp = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
-    qty = F.col("l_quantity")
-    ingestion = (F.when(part % 53 == 0, F.lit(None).cast("string"))
-                  .when(part % 59 == 0, F.lit("unknown"))
-                  .otherwise(_day_text(F.col("l_shipdate"))))
-    return lo.select(
-        (okey * 100 + line).alias("session_id"),
-        F.col("o_custkey").alias("user_id"),
-        part.alias("movie_id"),
-        (_epoch_ns(F.col("l_shipdate")) + _time_of_day_ns(okey, line) + (part % 1000) * 1000 + supp % 1000)
-        .alias("watch_date"),
-        _pick(supp, C.DEVICES).alias("device_type"),
-        _pick(okey, SESSION_COUNTRIES).alias("location_country"),
-        F.when(qty.cast("long") % 8 != 0, qty * 3).alias("watch_duration_minutes"),
-        F.when(okey % 13 != 0, (round_half_up(F.col("l_discount") * 100, 0).cast("long") * 10).cast("double"))
-        .alias("progress_percentage"),
-        _pick(okey + line, C.WATCH_ACTIONS).alias("action"),
-        _pick(part + supp, C.QUALITIES).alias("quality"),
-        (F.col("l_returnflag") == "A").alias("is_download"),
-        F.when(okey % 5 == 0, (1 + part % 5).cast("double")).alias("user_rating"),
-        *_lineage("watch_history", "tpch/lineitem", ingestion),
+    return _line_orders(spark, sf_dir).selectExpr(
+        "l_orderkey * 100 + l_linenumber AS session_id",
+        "o_custkey AS user_id",
+        "l_partkey AS movie_id",
+        f"{_epoch_ns('l_shipdate')} + {_time_of_day_ns('l_orderkey', 'l_linenumber')}"
+        " + (l_partkey % 1000) * 1000 + l_suppkey % 1000 AS watch_date",
+        f"{_pick('l_suppkey', C.DEVICES)} AS device_type",
+        f"{_pick('l_orderkey', SESSION_COUNTRIES)} AS location_country",
+        "CASE WHEN CAST(l_quantity AS BIGINT) % 8 != 0 THEN l_quantity * 3 END AS watch_duration_minutes",
+        # progress 0..100 in steps of 10: discount x 100 rounded half up (sign * floor(|x| + 0.5)), x 10
+        "CASE WHEN l_orderkey % 13 != 0 THEN CAST(CAST(signum(l_discount * 100) * floor(abs(l_discount * 100) + 0.5)"
+        " AS BIGINT) * 10 AS DOUBLE) END AS progress_percentage",
+        f"{_pick('l_orderkey + l_linenumber', C.WATCH_ACTIONS)} AS action",
+        f"{_pick('l_partkey + l_suppkey', C.QUALITIES)} AS quality",
+        "l_returnflag = 'A' AS is_download",
+        "CASE WHEN l_orderkey % 5 = 0 THEN CAST(1 + l_partkey % 5 AS DOUBLE) END AS user_rating",
+        *_lineage("watch_history", "tpch/lineitem",
+                  "CASE WHEN l_partkey % 53 = 0 THEN NULL WHEN l_partkey % 59 = 0 THEN 'unknown'"
+                  f" ELSE {_day_text('l_shipdate')} END"),
     )
 
 
 def raw_recommendation_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lo = _line_orders(spark, sf_dir)
-    okey, line, part, supp = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
-    days_before_watch = (okey + line) % 14 - 3
-    return lo.select(
-        (okey * 100 + line).alias("recommendation_id"),
-        F.col("o_custkey").alias("user_id"),
-        part.alias("movie_id"),
-        (_epoch_ns(F.col("l_shipdate")) - days_before_watch * NS_PER_DAY + _time_of_day_ns(line, okey))
-        .alias("recommendation_date"),
-        _pick(supp, C.RECOMMENDATION_TYPES).alias("recommendation_type"),
-        F.when(okey % 10 != 0, (part % 128) / 128.0).alias("recommendation_score"),
-        ((okey + part) % 3 == 0).alias("was_clicked"),
-        F.when(okey % 37 != 0, 1 + part % 20).alias("position_in_list"),
-        _pick(okey, C.DEVICES).alias("device_type"),
-        _pick(line, C.TIMES_OF_DAY).alias("time_of_day"),
-        F.when(okey % 20 != 0, F.concat(F.lit("v"), (1 + okey % 3).cast("string"))).alias("algorithm_version"),
-        *_lineage("recommendation_logs", "tpch/lineitem", _day_text(F.col("l_shipdate"))),
+    return _line_orders(spark, sf_dir).selectExpr(
+        "l_orderkey * 100 + l_linenumber AS recommendation_id",
+        "o_custkey AS user_id",
+        "l_partkey AS movie_id",
+        # recommended 3 days after to 10 days before the watch (ship) date
+        f"{_epoch_ns('l_shipdate')} - ((l_orderkey + l_linenumber) % 14 - 3) * {NS_PER_DAY}"
+        f" + {_time_of_day_ns('l_linenumber', 'l_orderkey')} AS recommendation_date",
+        f"{_pick('l_suppkey', C.RECOMMENDATION_TYPES)} AS recommendation_type",
+        "CASE WHEN l_orderkey % 10 != 0 THEN (l_partkey % 128) / 128.0D END AS recommendation_score",
+        "(l_orderkey + l_partkey) % 3 = 0 AS was_clicked",
+        "CASE WHEN l_orderkey % 37 != 0 THEN 1 + l_partkey % 20 END AS position_in_list",
+        f"{_pick('l_orderkey', C.DEVICES)} AS device_type",
+        f"{_pick('l_linenumber', C.TIMES_OF_DAY)} AS time_of_day",
+        "CASE WHEN l_orderkey % 20 != 0 THEN concat('v', CAST(1 + l_orderkey % 3 AS STRING)) END AS algorithm_version",
+        *_lineage("recommendation_logs", "tpch/lineitem", _day_text("l_shipdate")),
     )
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
     n_titles = read_table(spark, sf_dir, "part").agg(F.count(F.lit(1))).scalar()
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    votes_missing = key % 9 == 0
-    return o.select(
-        key.alias("review_id"),
-        cust.alias("user_id"),
-        ((key * 7) % n_titles).alias("movie_id"),
-        (F.when(key % 89 == 0, F.lit(0)).when(key % 97 == 0, F.lit(6)).when(key % 101 == 0, F.lit(None))
-          .otherwise(F.substring("o_orderpriority", 1, 1).cast("long"))).cast("long").alias("rating"),
-        (_epoch_ns(F.col("o_orderdate")) + (key % 86400) * NS_PER_SECOND).alias("review_date"),
-        _pick(key, C.DEVICES).alias("device_type"),
-        (F.col("o_orderstatus") == "F").alias("is_verified_watch"),
-        F.when(~votes_missing, key % 11).alias("helpful_votes"),
-        F.when(~votes_missing, key % 11 + cust % 7).alias("total_votes"),
-        F.when(key % 20 != 0, F.concat(F.lit("review of order "), key.cast("string"))).alias("review_text"),
-        (F.when(F.col("o_orderstatus") == "F", "positive").when(F.col("o_orderstatus") == "O", "neutral")
-          .otherwise("negative")).alias("sentiment"),
-        F.when(key % 12 != 0, ((key % 9) - 4).cast("double") / 4).alias("sentiment_score"),
-        *_lineage("reviews", "tpch/orders", F.lit(SNAPSHOT_DATE)),
+    return read_table(spark, sf_dir, "orders").withColumn("_n_titles", n_titles).selectExpr(
+        "o_orderkey AS review_id",
+        "o_custkey AS user_id",
+        "(o_orderkey * 7) % _n_titles AS movie_id",
+        "CAST(CASE WHEN o_orderkey % 89 = 0 THEN 0 WHEN o_orderkey % 97 = 0 THEN 6 WHEN o_orderkey % 101 = 0 THEN NULL"
+        " ELSE CAST(substring(o_orderpriority, 1, 1) AS BIGINT) END AS BIGINT) AS rating",
+        f"{_epoch_ns('o_orderdate')} + (o_orderkey % 86400) * {NS_PER_SECOND} AS review_date",
+        f"{_pick('o_orderkey', C.DEVICES)} AS device_type",
+        "o_orderstatus = 'F' AS is_verified_watch",
+        "CASE WHEN o_orderkey % 9 != 0 THEN o_orderkey % 11 END AS helpful_votes",
+        "CASE WHEN o_orderkey % 9 != 0 THEN o_orderkey % 11 + o_custkey % 7 END AS total_votes",
+        "CASE WHEN o_orderkey % 20 != 0 THEN concat('review of order ', CAST(o_orderkey AS STRING)) END"
+        " AS review_text",
+        "CASE o_orderstatus WHEN 'F' THEN 'positive' WHEN 'O' THEN 'neutral' ELSE 'negative' END AS sentiment",
+        "CASE WHEN o_orderkey % 12 != 0 THEN CAST((o_orderkey % 9) - 4 AS DOUBLE) / 4 END AS sentiment_score",
+        *_lineage("reviews", "tpch/orders", _q(SNAPSHOT_DATE)),
     )
 
 
 def raw_search_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
-    eid, user = F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("long")
-    return e.select(
-        eid.alias("search_id"),
-        user.alias("user_id"),
-        F.when(~((F.col("event_type") == "signup") & (eid % 9 == 0)),
-               F.concat(F.col("event_type"), F.lit(" "), k.cast("string"))).alias("search_query"),
-        (_epoch_ns(F.col("ts")) + eid % 1000).alias("search_date"),
-        F.when(k < 10, F.lit(0).cast("long")).otherwise(k).alias("results_returned"),
-        F.when(eid % 2 != 0, 1 + eid % 7).alias("clicked_result_position"),
-        _pick(user, C.DEVICES).alias("device_type"),
-        F.when(eid % 20 != 0, F.col("value")).alias("search_duration_seconds"),
-        (F.col("event_type") == "error").alias("had_typo"),
-        F.col("event_type").isin("click", "purchase").alias("used_filters"),
-        _pick(user, C.COUNTRIES).alias("location_country"),
-        *_lineage("search_logs", "events", _day_text(F.col("ts"))),
+    k = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+    return read_table(spark, sf_dir, "events").selectExpr(
+        "event_id AS search_id",
+        "user_id",
+        f"CASE WHEN NOT (event_type = 'signup' AND event_id % 9 = 0) THEN concat(event_type, ' ', CAST({k} AS STRING))"
+        " END AS search_query",
+        f"{_epoch_ns('ts')} + event_id % 1000 AS search_date",
+        f"CASE WHEN {k} < 10 THEN CAST(0 AS BIGINT) ELSE {k} END AS results_returned",
+        "CASE WHEN event_id % 2 != 0 THEN 1 + event_id % 7 END AS clicked_result_position",
+        f"{_pick('user_id', C.DEVICES)} AS device_type",
+        "CASE WHEN event_id % 20 != 0 THEN value END AS search_duration_seconds",
+        "event_type = 'error' AS had_typo",
+        "event_type IN ('click', 'purchase') AS used_filters",
+        f"{_pick('user_id', C.COUNTRIES)} AS location_country",
+        *_lineage("search_logs", "events", _day_text("ts")),
     )
 
 
