@@ -26,8 +26,9 @@ class Rule:
     test: str           # NOT_NULL or ACCEPTED_VALUES
     values: tuple = ()
 
-    def failing(self) -> Column:
-        c = F.col(self.column)
+    def failing(self, c: Column | None = None) -> Column:
+        """True for rows that break the rule (``c`` defaults to the named column)."""
+        c = F.col(self.column) if c is None else c
         if self.test == NOT_NULL:
             return c.isNull()
         if self.test == ACCEPTED_VALUES:
@@ -38,6 +39,10 @@ class Rule:
 def check_table(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Report rows (layer, table_name, column_name, test, failing_rows) for one table."""
     counts = df.agg(*[F.count_if(r.failing()).alias(f"r{i}") for i, r in enumerate(rules)])
+    return _report_rows(counts, rules)
+
+
+def _report_rows(counts: DataFrame, rules: list[Rule]) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(r.layer).alias("layer"), F.lit(r.table).alias("table_name"),
                               F.lit(r.column).alias("column_name"), F.lit(r.test).alias("test"),
                               F.col(f"r{i}").alias("failing_rows"))
@@ -45,6 +50,23 @@ def check_table(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def check_raw_and_staged(raw: DataFrame, keep: Column, staged_columns: list,
+                         raw_rules: list[Rule], staged_rules: list[Rule]) -> DataFrame:
+    """Both rule sets of one table in a single scan of the raw table.
+
+    ``keep`` is the staging row filter and ``staged_columns`` the staging
+    projection (expressions over the raw columns): a staged rule counts only
+    rows that staging keeps.
+    """
+    staged = F.struct(*[F.col(c) if isinstance(c, str) else c for c in staged_columns])
+    base = raw.select("*", keep.alias("__keep"), staged.alias("__staged"))
+    counts = base.agg(
+        *[F.count_if(r.failing()).alias(f"r{i}") for i, r in enumerate(raw_rules)],
+        *[F.count_if(F.col("__keep") & r.failing(F.col("__staged")[r.column])).alias(f"r{len(raw_rules) + i}")
+          for i, r in enumerate(staged_rules)])
+    return _report_rows(counts, raw_rules + staged_rules)
+
+
 def quality_report(tables: dict[tuple[str, str], DataFrame], rules: list[Rule]) -> DataFrame:
     """Run every rule; ``tables`` maps (layer, table) to the DataFrame to test."""
     by_table: dict[tuple[str, str], list[Rule]] = {}

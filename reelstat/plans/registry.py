@@ -126,12 +126,7 @@ def q_genre_share(spark, sf_dir):
 
 
 def q_quality_report(spark, sf_dir):
-    tables = {}
-    for t in C.TABLES:
-        raw = raw_table(spark, sf_dir, t)
-        tables[("source", t)] = raw
-        tables[("staging", t)] = S.STAGING[t](raw)
-    return Q.quality_report(tables, checks.declared_rules())
+    return checks.declared_report({t: raw_table(spark, sf_dir, t) for t in C.TABLES})
 
 
 def q_mart_ready(spark, sf_dir):

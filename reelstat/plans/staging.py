@@ -1,31 +1,35 @@
 """Staging: type, rename and classify each raw table (one row per source row).
 
-Staging frames are lazy: marts inline them and Catalyst prunes the columns a
-mart does not read. Casts are strict (ANSI), except the lenient ones the
-domain asks for (``age``, text ingestion dates). Users' personal columns are
-never selected.
+Each table is a spec: the row filter (NULL keys, rating range) and the list
+of output columns, both plain ``Column`` expressions over the raw table, so
+the data tests can evaluate staging rules inside the same scan as the source
+rules. Staging frames are lazy: marts inline them and Catalyst prunes the
+columns a mart does not read. Casts are strict (ANSI), except the lenient
+ones the domain asks for (``age``, text ingestion dates). Users' personal
+columns are never selected.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.functions import columns as X
 
-def _ingestion_date():
+
+def _ingestion_date() -> Column:
     return X.lenient_date("_ingestion_date").alias("ingestion_date")
 
 
-def _not_null(*cols: str):
+def _not_null(*cols: str) -> Column:
     cond = F.col(cols[0]).isNotNull()
     for c in cols[1:]:
         cond = cond & F.col(c).isNotNull()
     return cond
 
 
-def stg_movies(raw: DataFrame) -> DataFrame:
-    return raw.filter(_not_null("movie_id")).select(
+def spec_movies() -> tuple[Column, list]:
+    return _not_null("movie_id"), [
         "movie_id", "title", "content_type", "genre_primary", "genre_secondary",
         F.col("rating").alias("age_rating"), "language", "country_of_origin",
         F.col("release_year").cast("long").alias("release_year"),
@@ -40,12 +44,12 @@ def stg_movies(raw: DataFrame) -> DataFrame:
         F.col("content_warning").cast("boolean").alias("has_content_warning"),
         X.is_single_title("content_type").alias("is_single_title"),
         _ingestion_date(),
-    )
+    ]
 
 
-def stg_users(raw: DataFrame) -> DataFrame:
+def spec_users() -> tuple[Column, list]:
     age = F.col("age").try_cast("double")
-    return raw.filter(_not_null("user_id")).select(
+    return _not_null("user_id"), [
         "user_id",
         age.alias("age"),
         "gender", "country", "state_province", "city", "subscription_plan",
@@ -58,13 +62,13 @@ def stg_users(raw: DataFrame) -> DataFrame:
         _ingestion_date(),
         X.plan_tier_rank("subscription_plan").alias("plan_tier_rank"),
         X.age_bucket(age).alias("age_bucket"),
-    )
+    ]
 
 
-def stg_watch_history(raw: DataFrame) -> DataFrame:
+def spec_watch_history() -> tuple[Column, list]:
     minutes = F.col("watch_duration_minutes").cast("double")
     progress = F.col("progress_percentage").cast("double")
-    return raw.filter(_not_null("session_id", "user_id", "movie_id")).select(
+    return _not_null("session_id", "user_id", "movie_id"), [
         "session_id", "user_id", "movie_id",
         X.ns_to_date("watch_date").alias("watch_date"),
         "device_type", "location_country",
@@ -76,14 +80,13 @@ def stg_watch_history(raw: DataFrame) -> DataFrame:
         X.is_completed("action", progress).alias("is_completed"),
         X.session_length_bucket(minutes).alias("session_length_bucket"),
         _ingestion_date(),
-    )
+    ]
 
 
-def stg_reviews(raw: DataFrame) -> DataFrame:
+def spec_reviews() -> tuple[Column, list]:
     rating = F.col("rating").cast("long")
     total = F.col("total_votes").cast("long")
-    return (raw.filter(_not_null("review_id", "user_id", "movie_id") & F.col("rating").between(1, 5))
-               .select(
+    return _not_null("review_id", "user_id", "movie_id") & F.col("rating").between(1, 5), [
         "review_id", "user_id", "movie_id",
         rating.alias("rating"),
         X.ns_to_date("review_date").alias("review_date"),
@@ -96,12 +99,12 @@ def stg_reviews(raw: DataFrame) -> DataFrame:
         X.helpfulness_ratio(F.col("helpful_votes").cast("long"), total).alias("helpfulness_ratio"),
         X.rating_sentiment(rating).alias("rating_sentiment"),
         _ingestion_date(),
-    ))
+    ]
 
 
-def stg_recommendation_logs(raw: DataFrame) -> DataFrame:
+def spec_recommendation_logs() -> tuple[Column, list]:
     position = F.col("position_in_list").cast("long")
-    return raw.filter(_not_null("recommendation_id", "user_id", "movie_id")).select(
+    return _not_null("recommendation_id", "user_id", "movie_id"), [
         "recommendation_id", "user_id", "movie_id",
         X.ns_to_date("recommendation_date").alias("recommendation_date"),
         "recommendation_type",
@@ -111,13 +114,13 @@ def stg_recommendation_logs(raw: DataFrame) -> DataFrame:
         "device_type", "time_of_day", "algorithm_version",
         X.position_bucket(position).alias("position_bucket"),
         _ingestion_date(),
-    )
+    ]
 
 
-def stg_search_logs(raw: DataFrame) -> DataFrame:
+def spec_search_logs() -> tuple[Column, list]:
     position = F.col("clicked_result_position").cast("long")
     results = F.col("results_returned").cast("long")
-    return raw.filter(_not_null("search_id", "user_id")).select(
+    return _not_null("search_id", "user_id"), [
         "search_id", "user_id", "search_query",
         X.ns_to_date("search_date").alias("search_date"),
         results.alias("results_returned"),
@@ -130,18 +133,36 @@ def stg_search_logs(raw: DataFrame) -> DataFrame:
         position.isNotNull().alias("had_click"),
         X.search_outcome(results, position).alias("search_outcome"),
         _ingestion_date(),
-    )
+    ]
 
 
-STAGING = {
-    "movies": stg_movies,
-    "users": stg_users,
-    "watch_history": stg_watch_history,
-    "reviews": stg_reviews,
-    "recommendation_logs": stg_recommendation_logs,
-    "search_logs": stg_search_logs,
+SPECS = {
+    "movies": spec_movies,
+    "users": spec_users,
+    "watch_history": spec_watch_history,
+    "reviews": spec_reviews,
+    "recommendation_logs": spec_recommendation_logs,
+    "search_logs": spec_search_logs,
 }
 
 
+def stage(table: str, raw: DataFrame) -> DataFrame:
+    cond, cols = SPECS[table]()
+    return raw.filter(cond).select(*cols)
+
+
+def _stager(table: str):
+    def run(raw: DataFrame) -> DataFrame:
+        return stage(table, raw)
+    run.__name__ = f"stg_{table}"
+    return run
+
+
+STAGING = {t: _stager(t) for t in SPECS}
+stg_movies, stg_users, stg_watch_history = STAGING["movies"], STAGING["users"], STAGING["watch_history"]
+stg_reviews, stg_recommendation_logs = STAGING["reviews"], STAGING["recommendation_logs"]
+stg_search_logs = STAGING["search_logs"]
+
+
 def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {t: STAGING[t](df) for t, df in raw.items()}
+    return {t: stage(t, df) for t, df in raw.items()}
