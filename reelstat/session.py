@@ -29,6 +29,33 @@ SESSION_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 shuffle_fraction: float = 0.3, partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized to the data for a cluster run.
+
+    Shuffle partitions are sized so that one partition of the largest
+    shuffle (``input_bytes * shuffle_fraction``: raw rows after projection
+    and map-side combine) is about ``partition_bytes``, and never fewer than
+    twice the cores; AQE coalesces the small shuffles down from there and
+    splits skewed join partitions. Scan splits use the same size. E.g. 100 TB
+    on 1000 x 8 cores gives ~120,000 shuffle partitions of ~256 MB, which fit
+    an executor's execution memory without spilling.
+    """
+    cores = executors * cores_per_executor
+    partitions = max(2 * cores, int(input_bytes * shuffle_fraction // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        # Stragglers on a large cluster: re-launch slow tasks elsewhere.
+        "spark.speculation": "true",
+        # Lost executors: retry shuffle fetches and tasks before failing a stage.
+        "spark.shuffle.io.maxRetries": "10",
+        "spark.task.maxFailures": "8",
+    }
+
+
 def build_session(master: str | None = None, app: str = "reelstat",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:

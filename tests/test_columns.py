@@ -116,3 +116,11 @@ def test_exact_avg_is_order_independent(spark):
     a = df.repartition(7).agg(X.exact_avg("v", 1)).collect()[0][0]
     b = df.coalesce(1).agg(X.exact_avg("v", 1)).collect()[0][0]
     assert a == b == float(sum(round(v * 10) for v in vals)) / 10 / len(vals)
+
+
+def test_cluster_conf_sizes_partitions_to_data():
+    from reelstat.session import cluster_conf
+    big = cluster_conf(100 * 10**12, executors=1000, cores_per_executor=8)
+    assert 100_000 < int(big["spark.sql.shuffle.partitions"]) < 130_000
+    small = cluster_conf(10**9, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80
