@@ -48,6 +48,11 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        # A side is broadcast only when its estimated (static) or measured
+        # (AQE) size is below this; the catalogue projection of a large
+        # service fits, fact tables never do.
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         # Stragglers on a large cluster: re-launch slow tasks elsewhere.
         "spark.speculation": "true",
         # Lost executors: retry shuffle fetches and tasks before failing a stage.
