@@ -9,9 +9,11 @@ dates (some NULL or unparsable), repeated primary keys, NULL-bearing columns.
 
 Mapping (sizes grow with the driver scale factor):
 
-* movies               <- part (titles with ``p_partkey % 97 = 0`` left out)
+* movies               <- part (every part is a title)
 * users                <- customer
-* watch_history        <- lineitem x orders; session = (order, line), repeats
+* watch_history        <- lineitem x orders; session = (order, line), repeats;
+                          sessions of parts with ``p_partkey % 97 = 0`` point at
+                          a title id outside the catalogue (all rows are kept)
 * reviews              <- orders
 * recommendation_logs  <- lineitem x orders; date offset -3..10 days from a watch
 * search_logs          <- events
@@ -40,6 +42,8 @@ NS_PER_SECOND = 1_000_000_000
 NS_PER_DAY = 86_400 * NS_PER_SECOND
 EPOCH_DAY_2015_01_01 = 16436
 EPOCH_DAY_2018_01_01 = 17532
+# Sessions of some titles carry an id this far above every catalogue id.
+UNCATALOGUED_OFFSET = 1_000_000_000
 
 
 SPREAD_MIN_BYTES = 4 << 20
@@ -115,7 +119,7 @@ def _time_of_day_ns(a: str, b: str) -> str:
 def raw_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     genre = "CASE p_type " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in GENRES_BY_PART_TYPE.items()) + " END"
     series = "p_partkey % 5 IN (1, 3)"
-    return read_table(spark, sf_dir, "part").filter("p_partkey % 97 != 0").selectExpr(
+    return read_table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS movie_id",
         "encode(p_name, 'UTF-8') AS title",
         f"{_pick('p_partkey', C.CONTENT_TYPES)} AS content_type",
@@ -140,11 +144,10 @@ def raw_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_movies_previous_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An older, narrower movies snapshot: even titles only, upper-case titles,
-    and without the two columns a later schema added."""
+    """An older, narrower snapshot of every title: upper-case titles, and
+    without the two columns a later schema added."""
     new = raw_movies(spark, sf_dir)
-    return (new.filter(F.col("movie_id") % 2 == 0)
-               .withColumn("title", F.encode(F.upper(F.decode("title", "UTF-8")), "UTF-8"))
+    return (new.withColumn("title", F.encode(F.upper(F.decode("title", "UTF-8")), "UTF-8"))
                .withColumn(C.INGESTION_DATE, F.lit(PREVIOUS_SNAPSHOT_DATE))
                .drop("content_warning", "box_office_revenue"))
 
@@ -186,7 +189,7 @@ def raw_watch_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_orders(spark, sf_dir).selectExpr(
         "l_orderkey * 100 + l_linenumber AS session_id",
         "o_custkey AS user_id",
-        "l_partkey AS movie_id",
+        f"CASE WHEN l_partkey % 97 = 0 THEN l_partkey + {UNCATALOGUED_OFFSET} ELSE l_partkey END AS movie_id",
         f"{_epoch_ns('l_shipdate')} + {_time_of_day_ns('l_orderkey', 'l_linenumber')}"
         " + (l_partkey % 1000) * 1000 + l_suppkey % 1000 AS watch_date",
         f"{_pick('l_suppkey', C.DEVICES)} AS device_type",
