@@ -86,12 +86,18 @@ def build_session(master: str | None = None, app: str = "reelstat",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is left
-    alone; a local fallback is only for single-machine runs and tests.
+    On a cluster ``spark.checkpoint.dir`` names shared storage and is used
+    as it is; a machine-local fallback is only created for ``local[...]``
+    masters (tests, single-machine runs). A cluster without the setting is a
+    configuration error: a local folder would not survive a lost executor.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     local = tempfile.mkdtemp(prefix="reelstat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
