@@ -69,8 +69,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     Small tables, and large inputs (many splits), are read as they are.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    size, mtime = _file_status(spark, path)
-    key = (spark.sparkContext.applicationId, path, size, mtime)
+    try:
+        size, mtime = _file_status(spark, path)
+        key = (spark.sparkContext.applicationId, path, size, mtime)
+    except Exception:  # no JVM gateway (e.g. a remote session): plain read
+        return spark.read.parquet(path)
     if key not in _READS:
         df = spark.read.parquet(path)
         cores = spark.sparkContext.defaultParallelism
