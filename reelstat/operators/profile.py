@@ -4,7 +4,7 @@ Two passes, both distributed:
 
 1. one aggregate over the dataset grouped by source file
    (``_metadata.file_path``): row count, NULL count and an HLL distinct
-   estimate per column, and the file's first row (smallest
+   estimate per column, and the file's first three rows (by
    ``_metadata.row_index``) as JSON;
 2. for the columns whose estimate is at most twice the limit, exact
    distinct values per file (a ``groupBy(file, value)``, so the values are
@@ -41,10 +41,13 @@ def file_stats(df: DataFrame) -> DataFrame:
     """Pass 1, long form: one row per (file, column) plus the file's first row."""
     cols = df.columns
     base = _with_origin(df)
+    row_json = F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]))
+    first_rows = F.when(F.col(_ROW) < C.PROFILE_SAMPLE_ROWS, F.struct(F.col(_ROW).alias("i"), row_json.alias("j")))
     wide = base.groupBy(_FILE).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.min_by(F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])), F.col(_ROW))
-        .alias("sample_row"),
+        F.min_by(row_json, F.col(_ROW)).alias("sample_row"),
+        # at most PROFILE_SAMPLE_ROWS entries per file (rows 0, 1, 2 of the file)
+        F.sort_array(F.collect_list(first_rows)).getField("j").alias("sample_rows"),
         *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)],
         *[F.approx_count_distinct(F.col(f"`{c}`"), HLL_RSD).alias(f"d{i}") for i, c in enumerate(cols)],
     )
@@ -53,7 +56,7 @@ def file_stats(df: DataFrame) -> DataFrame:
                                     F.col(f"n{i}").alias("null_count"), F.col(f"d{i}").alias("approx_distinct"))
                            for i, c in enumerate(cols)])
     return wide.select(F.col(_FILE).alias("file_path"), "rows", F.lit(len(cols)).alias("columns"),
-                       "sample_row", F.inline(per_column))
+                       "sample_row", "sample_rows", F.inline(per_column))
 
 
 def _sort_key(df: DataFrame, column: str):
@@ -112,7 +115,7 @@ def profile(df: DataFrame, max_distinct: int = C.PROFILE_MAX_DISTINCT) -> DataFr
         "file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "rows", "columns",
         "ordinal", "column_name", "data_type", "null_count",
         round_half_up(F.try_divide(F.col("null_count") * 100, F.col("rows")), 1).alias("null_pct"),
-        "sample_row")
+        "sample_row", "sample_rows")
     values = low_cardinality_values(df, stats, sorted(columns), max_distinct)
     if values is None:
         return report.select("*", F.lit(None).cast("array<string>").alias("distinct_values"))
@@ -134,7 +137,7 @@ def profile_paths(spark: SparkSession, paths: list[str], max_distinct: int = C.P
 
 def json_report(report: DataFrame) -> DataFrame:
     """One JSON document per file: path, rows, columns, schema, unique values, sample row."""
-    return (report.groupBy("file_path", "file_name", "rows", "columns", "sample_row")
+    return (report.groupBy("file_path", "file_name", "rows", "columns", "sample_row", "sample_rows")
                   .agg(F.map_from_entries(F.sort_array(F.collect_list(
                           F.struct("column_name", "data_type")))).alias("schema"),
                        F.map_from_entries(F.sort_array(F.collect_list(F.when(
@@ -142,4 +145,6 @@ def json_report(report: DataFrame) -> DataFrame:
                            F.struct("column_name", "distinct_values"))))).alias("unique_values"))
                   .select("file_name", F.to_json(F.struct(
                       F.col("file_path").alias("path"), "rows", "columns", "schema", "unique_values",
-                      F.from_json("sample_row", "map<string,string>").alias("sample_row"))).alias("report")))
+                      F.from_json("sample_row", "map<string,string>").alias("sample_row"),
+                      F.transform("sample_rows", lambda j: F.from_json(j, "map<string,string>"))
+                      .alias("sample_rows"))).alias("report")))

@@ -125,5 +125,6 @@ def test_profile_small_file(spark, tmp_dir):
     assert rep["k"].distinct_values is None and rep["s"].distinct_values is None
     assert rep["k"].rows == 100 and rep["k"].columns == 4
     assert '"k":"0"' in rep["k"].sample_row
+    assert [r[:8] for r in rep["k"].sample_rows] == ['{"k":"0"', '{"k":"1"', '{"k":"2"']
     doc = P.json_report(P.profile(spark.read.parquet(f"{tmp_dir}/t"))).collect()[0].report
     assert '"unique_values":{"c":["cat"],"x":["0.0","1.0","2.0"]}' in doc
