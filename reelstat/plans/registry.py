@@ -162,7 +162,9 @@ def _write_movie_snapshots(spark, sf_dir) -> str:
 
 def q_scan_parquet_snapshots(spark, sf_dir):
     root = _write_movie_snapshots(spark, sf_dir)
-    assert R.list_snapshot_tables(spark, root) == ["movies"]
+    tables = R.list_snapshot_tables(spark, root)
+    if tables != ["movies"]:
+        raise RuntimeError(f"unexpected snapshot folders {tables} under {root}")
     return R.clean_raw_table(R.read_snapshots(spark, root, "movies"), "movies")
 
 
