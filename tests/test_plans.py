@@ -36,3 +36,8 @@ def test_scans_read_only_needed_columns(spark):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     customer = [s for s in schemas if "c_custkey" in s]
     assert customer and all("c_name" not in s and "c_mktsegment" not in s for s in customer)
+
+
+def test_conversion_has_no_row_expansion(spark):
+    plan = physical_plan(E.queries()["recommendation_flags"](spark, SF_SMALL))
+    assert "Generate" not in plan and "BroadcastNestedLoopJoin" not in plan
