@@ -10,10 +10,12 @@ are equal: two documents that each publish their first D + 1 filled parts, in
 one order that all documents share, have one in common (pigeonhole, exact).
 
 Size bands: band j has p = 4^j parts and serves the pairs whose smaller set has
-0.6 x 4^j to 2.4 x 4^j elements. A document publishes in its own band and, if
+0.4 x 4^j to 1.6 x 4^j elements. A document publishes in its own band and, if
 its smallest partner would be in the band below, there too. The shared order
-puts parts of many elements first, as a part of one element matches wherever
-that one phrase occurs. A document with too few filled parts publishes them all
+puts parts of only common 5-grams last (passages that many documents share;
+any set of 5-grams gives right results here, a good one few false pairs) and
+then parts of many elements first, as a part of one element matches wherever
+that phrase occurs. A document with too few filled parts publishes them all
 and repeats the sketch with four times the parts, up to one element a part, so
 that two such documents meet there.
 
@@ -25,6 +27,11 @@ link that joins two components is lost. Components come from the verified
 links. Equal sets within one task are recognised by a 128-bit digest of the
 sorted set and only the first one publishes parts, which bounds a group of
 copies by the number of tasks.
+
+The second pairing compares whole-document sketches (about four bits an
+element) inside the tasks: their Hamming distance is at most the symmetric
+difference, so only pairs that can be similar enough leave a task. A part that
+many documents publish is dealt out in blocks, each pair of blocks to a task.
 """
 
 from __future__ import annotations
@@ -35,11 +42,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstat.llm.common import hashes, int_arrays, lower_words, mix, text_blocks, written
+from reelstat.llm.common import flat, hashes, lower_words, mix, text_blocks, written
 from reelstat.llm.components import component_ids
 
 WORDS = 5
-_LOAD = 2.4  # most elements a part, on average, in a band
+_LOAD = 1.6  # most elements a part, on average, in a band
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                          0xA0761D6478BD642F], np.uint64)
 
@@ -67,25 +74,24 @@ def shingle_sets(texts: list, n: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def _published(elements: np.ndarray, bits: int, wanted: int) -> tuple[np.ndarray, bool]:
+def _published(elements: np.ndarray, common: np.ndarray, bits: int, wanted: int) -> tuple[np.ndarray, bool]:
     """The first ``wanted`` filled parts of a sketch of 2^bits parts; whether there were enough."""
     if bits >= 60:
-        parts, held = elements, None
+        parts, held, shared = elements, 0, common
     else:
         part = elements >> np.uint64(64 - bits) if bits else np.zeros(len(elements), np.uint64)
         starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         parts = np.bitwise_xor.reduceat(mix(elements), starts)
         held = np.diff(np.append(starts, len(elements)))
-    enough = len(parts) >= wanted
+        shared = np.logical_and.reduceat(common, starts)
     if len(parts) <= wanted:
-        return parts, enough
-    if held is None:
-        return np.sort(parts)[:wanted], enough
-    return parts[np.lexsort((parts, -held))[:wanted]], enough
+        return parts, len(parts) == wanted
+    order = np.lexsort((parts, -(held + np.zeros(len(parts), np.int64)), shared))
+    return parts[order[:wanted]], True
 
 
-def signatures(elements: np.ndarray, percent: int = 75) -> np.ndarray:
-    """The parts that a document with this set publishes, as non-negative 63-bit values."""
+def signatures(elements: np.ndarray, common: np.ndarray, percent: int = 75) -> np.ndarray:
+    """The parts that a document with this set publishes, as non-negative 63-bit values; common: a flag per element."""
     n = len(elements)
     if not n:
         return elements.astype(np.int64)
@@ -104,29 +110,144 @@ def signatures(elements: np.ndarray, percent: int = 75) -> np.ndarray:
     for j, want in needs:
         bits, enough = 2 * j, False
         while not enough:
-            parts, enough = _published(elements, bits, want)
+            parts, enough = _published(elements, common, bits, want)
             out.append(mix(parts ^ np.uint64(bits)))
             bits = bits + 2 if bits + 2 < 24 else 64
     return (np.unique(np.concatenate(out)) >> np.uint64(1)).astype(np.int64)
 
 
-def _publish(docs: DataFrame, doc_id: str, text: str, percent: int, n: int) -> DataFrame:
-    """Rows (sig, id, rep). Every input row gives one row with a negative sig that holds its set's size,
-    and its first equal within the task as rep; the first of equals also gives a row for each published part."""
+def sketch(elements: np.ndarray) -> bytes:
+    """Parity sketch of 64 x 2^k bits, at least four an element; folding one in half by XOR gives the next smaller."""
+    bits = 64
+    while bits < 4 * len(elements):
+        bits *= 2
+    odd = np.bincount((mix(elements) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _near(members: list[tuple], others: list[tuple] | None, percent: int) -> list[tuple]:
+    """Pairs of ids (id, component, size, sketch) of different components whose sketches allow the similarity.
+
+    ``others`` None: pairs within ``members``. Of equal sets only the first is compared, the rest is paired with it.
+    """
+    out, firsts = [], {}
+    for side, rows in enumerate([members] if others is None else [members, others]):
+        for m in rows:
+            first = firsts.setdefault(m[3][:16], (side, m))[1]
+            if first is not m and first[0] != m[0]:
+                out.append((min(first[0], m[0]), max(first[0], m[0])))
+    width = min((len(m[3]) for _, m in firsts.values()), default=0) - 16
+
+    def side_of(which):
+        rows = [m for s, m in firsts.values() if s == which]
+        folded = np.zeros((len(rows), width), np.uint8)
+        for k, m in enumerate(rows):
+            folded[k] = np.bitwise_xor.reduce(np.frombuffer(m[3], np.uint8)[16:].reshape(-1, width))
+        return (np.array([m[0] for m in rows], np.int64), np.array([m[1] for m in rows], np.int64),
+                np.array([m[2] for m in rows], np.int64), folded.view(np.uint64))
+
+    a = side_of(0)
+    b = a if others is None else side_of(1)
+    for k in range(len(a[0])):
+        rest = slice(k + 1, None) if others is None else slice(None)
+        ids, components, sizes, bits = (x[rest] for x in b)
+        distance = np.bitwise_count(bits ^ a[3][k]).sum(axis=1)
+        fits = ((components != a[1][k]) & (distance * (100 + percent) <= (sizes + a[2][k]) * (100 - percent))
+                & (np.minimum(sizes, a[2][k]) * 100 >= np.maximum(sizes, a[2][k]) * percent))
+        out += [(min(a[0][k], i), max(a[0][k], i)) for i in ids[fits]]
+    return out
+
+
+def _cross_pairs(placed: DataFrame, percent: int, block: int = 4096) -> DataFrame:
+    """Distinct pairs (a, b) of rows (sig, id, c, n, sketch) of one sig that can be linked across components c."""
+    blocks = placed.groupBy("sig").agg(F.expr(f"cast(ceil(count(*) / {block}) as int)").alias("blocks"),
+                                       F.countDistinct("c").alias("cs")).where("cs > 1")
+    dealt = (placed.join(blocks, "sig").withColumn("own", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("sig", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "c", "n", "sketch"))
+    dealt = dealt.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "own")
+
+    def run(batches):
+        key, held = None, []
+
+        def pairs():
+            lo = [m for own, m in held if own == key[1]]
+            hi = [m for own, m in held if own == key[2]]
+            return _near(lo, None if key[1] == key[2] else hi, percent)
+
+        for batch in batches:
+            out = set()
+            for sig, lo, hi, own, i, c, n, sk in zip(*(col.to_pylist() for col in batch.columns)):
+                if (sig, lo, hi) != key:
+                    out.update(pairs() if held else ())
+                    key, held = (sig, lo, hi), []
+                held.append((own, (i, c, n, sk)))
+            if out:
+                yield _pair_batch(out)
+        if held and (out := pairs()):
+            yield _pair_batch(out)
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _pair_batch(pairs) -> pa.RecordBatch:
+    at = np.array(sorted(set(pairs)), np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1])], ["a", "b"])
+
+
+def common_shingles(docs: DataFrame, text: str = "text", n: int = WORDS, together: int = 4, least: int = 16,
+                    most: int = 200_000) -> np.ndarray:
+    """Sorted hashes of the n-grams of at least ``least`` documents, the ``most`` most frequent ones.
+
+    Every document counts; a task passes on what at least ``together`` of the
+    different sets of a batch hold. Only the order in which parts are published
+    depends on this array of at most ``most`` values, never a result.
+    """
+
+    def run(batches):
+        for batch in batches:
+            sets, seen = [], set()
+            for _, _, texts in text_blocks(batch, "text"):
+                for elements in shingle_sets(texts, n):
+                    if (digest := xxhash.xxh3_128_digest(elements.tobytes())) not in seen:
+                        seen.add(digest)
+                        sets.append(elements)
+            values, counts = np.unique(flat(sets, np.uint64), return_counts=True)
+            often = counts >= together
+            yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["h", "c"])
+
+    counted = (docs.select(F.col(text).alias("text")).mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+               .where(F.col("c") >= least).orderBy(F.desc("c"), "h").limit(most).select("h"))
+    return np.sort(counted.toPandas()["h"].to_numpy(np.int64).view(np.uint64))
+
+
+def _is_common(elements: np.ndarray, common: np.ndarray) -> np.ndarray:
+    if not len(common):
+        return np.zeros(len(elements), bool)
+    return common[np.minimum(np.searchsorted(common, elements), len(common) - 1)] == elements
+
+
+def _publish(docs: DataFrame, doc_id: str, text: str, percent: int, n: int, common: np.ndarray) -> DataFrame:
+    """Rows (sig, id, rep, sketch). Every input row gives one row with a negative sig that holds its set's size,
+    its first equal within the task as rep, and its set's digest and sketch; the first of equals also gives a row for each published part."""
 
     def run(batches):
         firsts: dict[bytes, int] = {}
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for start, _, texts in text_blocks(batch, "text"):
-                sizes, reps, own, parts = [], [], [], []
-                for k, elements in enumerate(shingle_sets(texts, n)):
+                sizes, reps, own, parts, sketches = [], [], [], [], []
+                sets = shingle_sets(texts, n)
+                ends = np.cumsum([len(x) for x in sets])
+                marks = np.split(_is_common(flat(sets, np.uint64), common), ends[:-1])
+                for k, elements in enumerate(sets):
                     i = ids[start + k]
-                    rep = i
+                    rep, digest = i, xxhash.xxh3_128_digest(elements.tobytes())
+                    sketches.append(digest + sketch(elements))
                     if i is not None and len(elements):
-                        rep = firsts.setdefault(xxhash.xxh3_128_digest(elements.tobytes()), i)
+                        rep = firsts.setdefault(digest, i)
                         if rep == i:
-                            parts.append(signatures(elements, percent))
+                            parts.append(signatures(elements, marks[k], percent))
                             own.append(i)
                     sizes.append(len(elements))
                     reps.append(rep)
@@ -136,10 +257,11 @@ def _publish(docs: DataFrame, doc_id: str, text: str, percent: int, n: int) -> D
                 counts = [len(p) for p in parts]
                 id_out = pa.concat_arrays([pa.array(mine, pa.int64()), pa.array(np.repeat(np.array(own, np.int64), counts))])
                 rep_out = pa.concat_arrays([pa.array(reps, pa.int64()), pa.nulls(int(sum(counts)), pa.int64())])
-                yield pa.RecordBatch.from_arrays([pa.array(sig), id_out, rep_out], ["sig", "id", "rep"])
+                sketch_out = pa.concat_arrays([pa.array(sketches, pa.binary()), pa.nulls(int(sum(counts)), pa.binary())])
+                yield pa.RecordBatch.from_arrays([pa.array(sig), id_out, rep_out, sketch_out], ["sig", "id", "rep", "sketch"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "sig long, id long, rep long")
+    return rows.mapInArrow(run, "sig long, id long, rep long, sketch binary")
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int, n: int) -> DataFrame:
@@ -178,35 +300,31 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     repeat an id count as one document that has all their texts' links. A null
     id stays alone, with a null component.
     """
-    published = _publish(docs, doc_id, text, percent, n)
+    published = _publish(docs, doc_id, text, percent, n, common_shingles(docs, text, n))
     by_part = Window.partitionBy("sig").orderBy("id")
     grouped = published.withColumns({
         "hub": F.first("id").over(by_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
         "next": F.lead("id").over(by_part),
     })
     # kept: the size rows, and the parts that more than one document published
-    found = written(grouped.where("sig < 0 or hub <> id or next <> id").select("sig", "id", "rep", "hub"), "ngram-parts")
-    sizes = found.where("sig < 0").select("id", "rep", F.expr("shiftright(-1 - sig, 31)").alias("n"))
-    equal = sizes.where("id <> rep").select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
+    found = written(grouped.where("sig < 0 or hub <> id or next <> id").select("sig", "id", "rep", "sketch", "hub"), "ngram-parts")
+    sizes = found.where("sig < 0").select("id", "rep", F.expr("shiftright(-1 - sig, 31)").alias("n"), "sketch")
+    equal = sizes.where("id <> rep").select("rep", "id").distinct().toDF("a", "b")
 
-    shared = found.where("sig >= 0")
+    shared = found.where("sig >= 0").select("sig", "id", "hub")
     star = shared.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     checked = written(_verify(star, docs, doc_id, text, percent, n), "ngram-star")
     links = checked.where("linked").select("a", "b").unionByName(equal)
     first = written(component_ids(links), "ngram-first")
 
-    # parts whose hub failed with a member: pair their members across components
-    failed = checked.groupBy("a", "b").agg(F.max("linked").alias("linked")).where("not linked")
-    odd = (shared.join(failed.select(F.col("a").alias("hub"), F.col("b").alias("id")), ["hub", "id"])
-           .select("sig", "id").distinct())
-    placed = (shared.where("hub <> id").join(odd.select("sig").distinct(), "sig", "left_semi")
+    # parts whose hub failed with a member: compare their members across components
+    failed = checked.groupBy(F.col("a").alias("hub"), F.col("b").alias("id")).agg(F.max("linked").alias("linked")).where("not linked")
+    odd = shared.join(failed, ["hub", "id"], "left_semi").select("sig").distinct()
+    placed = (shared.where("hub <> id").select("sig", "id").distinct().join(odd, "sig", "left_semi")
               .join(first.withColumnRenamed("component", "c"), "id", "left")
-              .select("sig", "id", F.coalesce("c", "id").alias("c")).distinct())
-    cross = (odd.select("sig", F.col("id").alias("x")).join(placed.select("sig", F.col("id").alias("x"), F.col("c").alias("cx")), ["sig", "x"])
-             .join(placed.select("sig", F.col("id").alias("y"), F.col("c").alias("cy")), "sig")
-             .where("x <> y and cx <> cy")
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-             .join(checked.select("a", "b"), ["a", "b"], "left_anti"))
+              .join(sizes.select("id", "n", "sketch").dropDuplicates(["id", "sketch"]), "id")
+              .select("sig", "id", F.coalesce("c", "id").alias("c"), "n", "sketch"))
+    cross = _cross_pairs(placed, percent).where("a <> b").join(checked.select("a", "b"), ["a", "b"], "left_anti")
     more = written(_verify(cross, docs, doc_id, text, percent, n).where("linked").select("a", "b"), "ngram-cross")
     final = component_ids(links.unionByName(more)) if more.take(1) else first
     return (sizes.join(final, "id", "left")
