@@ -264,11 +264,26 @@ def _publish(docs: DataFrame, doc_id: str, text: str, percent: int, n: int, comm
     return rows.mapInArrow(run, "sig long, id long, rep long, sketch binary")
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, text) of the documents named in the one column of ``ids``, without a shuffle of all texts.
+
+    The ids are kept as bitmaps, 4 KB for 32,768 neighbouring ids; Spark broadcasts them while they are
+    small and joins by bucket beyond its limit.
+    """
+    named = ids.toDF("i").groupBy(F.bitmap_bucket_number("i").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("i")).alias("bits"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    return (rows.withColumn("bucket", F.bitmap_bucket_number("id")).join(written(named, "ngram-ids"), "bucket")
+            .where(F.expr("shiftright(cast(conv(hex(substring(bits, cast(floor(bitmap_bit_position(id) / 8) as int) + 1, 1)), 16, 10) as int),"
+                          " cast(bitmap_bit_position(id) % 8 as int)) & 1 = 1"))
+            .select("id", "text"))
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int, n: int) -> DataFrame:
     """The pairs (a, b) with ``linked``: 100 x intersection >= percent x union, on the whole texts."""
-    one = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    both = (pairs.join(one.withColumnsRenamed({"id": "b", "text": "text_b"}), "b")
-            .join(one.withColumnsRenamed({"id": "a", "text": "text_a"}), "a"))
+    right = _texts_of(docs, pairs.select("b"), doc_id, text).toDF("b", "text_b")
+    left = _texts_of(docs, pairs.select("a"), doc_id, text).toDF("a", "text_a")
+    both = pairs.join(right, "b").join(left, "a")
 
     def run(batches):
         known, known_set = None, None
@@ -312,7 +327,7 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     equal = sizes.where("id <> rep").select("rep", "id").distinct().toDF("a", "b")
 
     shared = found.where("sig >= 0").select("sig", "id", "hub")
-    star = shared.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    star = written(shared.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "ngram-pairs")
     checked = written(_verify(star, docs, doc_id, text, percent, n), "ngram-star")
     links = checked.where("linked").select("a", "b").unionByName(equal)
     first = written(component_ids(links), "ngram-first")
@@ -324,7 +339,7 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
               .join(first.withColumnRenamed("component", "c"), "id", "left")
               .join(sizes.select("id", "n", "sketch").dropDuplicates(["id", "sketch"]), "id")
               .select("sig", "id", F.coalesce("c", "id").alias("c"), "n", "sketch"))
-    cross = _cross_pairs(placed, percent).where("a <> b").join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    cross = written(_cross_pairs(placed, percent).where("a <> b").join(checked.select("a", "b"), ["a", "b"], "left_anti"), "ngram-pairs")
     more = written(_verify(cross, docs, doc_id, text, percent, n).where("linked").select("a", "b"), "ngram-cross")
     final = component_ids(links.unionByName(more)) if more.take(1) else first
     return (sizes.join(final, "id", "left")
