@@ -158,11 +158,10 @@ def _near(members: list[tuple], others: list[tuple] | None, percent: int) -> lis
     return out
 
 
-def _cross_pairs(placed: DataFrame, percent: int, block: int = 4096) -> DataFrame:
-    """Distinct pairs (a, b) of rows (sig, id, c, n, sketch) of one sig that can be linked across components c."""
-    blocks = placed.groupBy("sig").agg(F.expr(f"cast(ceil(count(*) / {block}) as int)").alias("blocks"),
-                                       F.countDistinct("c").alias("cs")).where("cs > 1")
-    dealt = (placed.join(blocks, "sig").withColumn("own", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
+def _cross_pairs(placed: DataFrame, held: DataFrame, percent: int, block: int = 4096) -> DataFrame:
+    """Distinct pairs (a, b) of rows (sig, id, c) of one sig that can be linked across components c; held: (id, n, sketch)."""
+    blocks = placed.groupBy("sig").agg(F.expr(f"cast(ceil(count(*) / {block}) as int)").alias("blocks"))
+    dealt = (placed.join(blocks, "sig").join(held, "id").withColumn("own", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("sig", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "c", "n", "sketch"))
     dealt = dealt.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "own")
@@ -335,11 +334,16 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # parts whose hub failed with a member: compare their members across components
     failed = checked.groupBy(F.col("a").alias("hub"), F.col("b").alias("id")).agg(F.max("linked").alias("linked")).where("not linked")
     odd = shared.join(failed, ["hub", "id"], "left_semi").select("sig").distinct()
-    placed = (shared.where("hub <> id").select("sig", "id").distinct().join(odd, "sig", "left_semi")
-              .join(first.withColumnRenamed("component", "c"), "id", "left")
-              .join(sizes.select("id", "n", "sketch").dropDuplicates(["id", "sketch"]), "id")
-              .select("sig", "id", F.coalesce("c", "id").alias("c"), "n", "sketch"))
-    cross = written(_cross_pairs(placed, percent).where("a <> b").join(checked.select("a", "b"), ["a", "b"], "left_anti"), "ngram-pairs")
+    placed = written(shared.where("hub <> id").select("sig", "id").distinct().join(odd, "sig", "left_semi")
+                     .join(first.withColumnRenamed("component", "c"), "id", "left")
+                     .select("sig", "id", F.coalesce("c", "id").alias("c")), "ngram-odd")
+    # groups of several components, and of those with the same members one
+    several = (placed.groupBy("sig").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count("*").alias("k"),
+                                         F.bit_xor(F.xxhash64("id")).alias("x1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x2"))
+               .where("c1 <> c2").groupBy("k", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig"))
+    placed = written(placed.join(several, "sig", "left_semi"), "ngram-odd")
+    held = sizes.join(placed.select("id").distinct(), "id", "left_semi").select("id", "n", "sketch").dropDuplicates(["id", "sketch"])
+    cross = written(_cross_pairs(placed, held, percent).where("a <> b").join(checked.select("a", "b"), ["a", "b"], "left_anti"), "ngram-pairs")
     more = written(_verify(cross, docs, doc_id, text, percent, n).where("linked").select("a", "b"), "ngram-cross")
     final = component_ids(links.unionByName(more)) if more.take(1) else first
     return (sizes.join(final, "id", "left")
