@@ -28,7 +28,7 @@ links. Equal sets within one task are recognised by a 128-bit digest of the
 sorted set and only the first one publishes parts, which bounds a group of
 copies by the number of tasks.
 
-The second pairing compares whole-document sketches (about four bits an
+The second pairing compares whole-document sketches (two to four bits an
 element) inside the tasks: their Hamming distance is at most the symmetric
 difference, so only pairs that can be similar enough leave a task. A part that
 many documents publish is dealt out in blocks, each pair of blocks to a task.
@@ -117,9 +117,9 @@ def signatures(elements: np.ndarray, common: np.ndarray, percent: int = 75) -> n
 
 
 def sketch(elements: np.ndarray) -> bytes:
-    """Parity sketch of 64 x 2^k bits, at least four an element; folding one in half by XOR gives the next smaller."""
+    """Parity sketch of 64 x 2^k bits, at least two an element; folding one in half by XOR gives the next smaller."""
     bits = 64
-    while bits < 4 * len(elements):
+    while bits < 2 * len(elements):
         bits *= 2
     odd = np.bincount((mix(elements) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
@@ -158,6 +158,22 @@ def _near(members: list[tuple], others: list[tuple] | None, percent: int) -> lis
     return out
 
 
+def _allowed(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches allow the similarity; sizes: (id, n, sketch)."""
+    both = (pairs.join(sizes.toDF("a", "n_a", "sketch_a"), "a").join(sizes.toDF("b", "n_b", "sketch_b"), "b")
+            .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+            .select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b"))
+
+    def run(batches):
+        for batch in batches:
+            out = [(a, b) for a, b, n_a, n_b, x, y in zip(*(col.to_pylist() for col in batch.columns))
+                   if _near([(a, a, n_a, x)], [(b, b, n_b, y)], percent)]
+            if out:
+                yield _pair_batch(out)
+
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
 def _cross_pairs(placed: DataFrame, held: DataFrame, percent: int, block: int = 4096) -> DataFrame:
     """Distinct pairs (a, b) of rows (sig, id, c) of one sig that can be linked across components c; held: (id, n, sketch)."""
     blocks = placed.groupBy("sig").agg(F.expr(f"cast(ceil(count(*) / {block}) as int)").alias("blocks"))
@@ -194,8 +210,8 @@ def _pair_batch(pairs) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1])], ["a", "b"])
 
 
-def common_shingles(docs: DataFrame, text: str = "text", n: int = WORDS, together: int = 4, least: int = 16,
-                    most: int = 200_000) -> np.ndarray:
+def common_shingles(docs: DataFrame, text: str = "text", n: int = WORDS, together: int = 2, least: int = 8,
+                    most: int = 500_000) -> np.ndarray:
     """Sorted hashes of the n-grams of at least ``least`` documents, the ``most`` most frequent ones.
 
     Every document counts; a task passes on what at least ``together`` of the
@@ -327,12 +343,13 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     shared = found.where("sig >= 0").select("sig", "id", "hub")
     star = written(shared.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "ngram-pairs")
-    checked = written(_verify(star, docs, doc_id, text, percent, n), "ngram-star")
-    links = checked.where("linked").select("a", "b").unionByName(equal)
+    near = written(_allowed(star, sizes.select("id", "n", "sketch"), percent), "ngram-pairs")
+    linked = written(_verify(near, docs, doc_id, text, percent, n).where("linked").select("a", "b").distinct(), "ngram-star")
+    links = linked.unionByName(equal)
     first = written(component_ids(links), "ngram-first")
 
     # parts whose hub failed with a member: compare their members across components
-    failed = checked.groupBy(F.col("a").alias("hub"), F.col("b").alias("id")).agg(F.max("linked").alias("linked")).where("not linked")
+    failed = star.join(linked, ["a", "b"], "left_anti").toDF("hub", "id")
     odd = shared.join(failed, ["hub", "id"], "left_semi").select("sig").distinct()
     placed = written(shared.where("hub <> id").select("sig", "id").distinct().join(odd, "sig", "left_semi")
                      .join(first.withColumnRenamed("component", "c"), "id", "left")
@@ -343,7 +360,7 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                .where("c1 <> c2").groupBy("k", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig"))
     placed = written(placed.join(several, "sig", "left_semi"), "ngram-odd")
     held = sizes.join(placed.select("id").distinct(), "id", "left_semi").select("id", "n", "sketch").dropDuplicates(["id", "sketch"])
-    cross = written(_cross_pairs(placed, held, percent).where("a <> b").join(checked.select("a", "b"), ["a", "b"], "left_anti"), "ngram-pairs")
+    cross = written(_cross_pairs(placed, held, percent).where("a <> b").join(star, ["a", "b"], "left_anti"), "ngram-pairs")
     more = written(_verify(cross, docs, doc_id, text, percent, n).where("linked").select("a", "b"), "ngram-cross")
     final = component_ids(links.unionByName(more)) if more.take(1) else first
     return (sizes.join(final, "id", "left")
