@@ -10,8 +10,8 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import decontaminate, language, ngram_join, packing, secrets, token_counts
-from reelstat.llm.common import held_out, table
+from reelstat.llm import decontaminate, html_extract, language, lm_score, ngram_join, packing, quality, secrets, token_counts, url_filter
+from reelstat.llm.common import held_out, table, written
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -29,6 +29,30 @@ def ship_package(spark: SparkSession) -> None:
     context.addPyFile(path)
 
 
+#: The rules of the contract: host, path prefix, verdict.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
+             ("com", "/de/", "block")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filter.judge_urls(pages, url_filter.rules_frame(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    order = quality.order_rules(quality.sample_texts(docs), list(quality.RULES))
+    return quality.cascade(docs, order, measures=True).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_extract.extract(pages, html_extract.sample_words(pages))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(table(spark, sf_dir, "documents"))
 
@@ -48,6 +72,14 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    training = docs.where(~held_out("doc_id", 10, 0))
+    counts = written(lm_score.corpus_counts(training), "lm-counts")
+    scorer = lm_score.fit(training, counts)
+    return lm_score.score_texts(docs, counts, scorer, keep={"held_out": held_out("doc_id", 10, 0)})
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", *[c.alias(name) for name, c in secrets.digest_columns().items()])
@@ -62,7 +94,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = [op4_token_counts, op5_language, op6_packing, op7_decontaminate, op9_secrets, op10_ngram_join, pipeline]
+    named = [op1_url_filter, op2_quality_rules, op3_html_extract, op4_token_counts, op5_language, op6_packing, op7_decontaminate, op8_lm_scores, op9_secrets, op10_ngram_join, pipeline]
     return {f.__name__: _shipped(f) for f in named}
 
 
