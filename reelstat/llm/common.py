@@ -96,3 +96,21 @@ def int_arrays(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
+
+
+def most_frequent(counts: DataFrame, key: str, count: str, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts) by key of at most ``most`` rows (long key, positive long count): all rows whose count reaches
+    the least power of 2^(1/8) that so few rows reach. A histogram of at most 512 rows finds it, so no task or
+    driver ever holds more than ``most`` rows.
+    """
+    level = F.floor(F.log2(F.col(count)) * 8)
+    held, least = 0, None
+    for row in sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect(), reverse=True):
+        held += row["n"]
+        if held > most:
+            break
+        least = row["level"]
+    if least is None:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    rows = counts.where(level >= least).select(F.col(key).alias("k"), F.col(count).alias("c")).toPandas().sort_values("k")
+    return rows["k"].to_numpy(np.int64), rows["c"].to_numpy(np.int64)

@@ -4,12 +4,13 @@ Texts and items are sequences of words (A-Z in lower case, ASCII punctuation
 removed). A window of a document that has an item's length matches the item if
 their edit distance in words is at most ``max_error`` of the item's length.
 
-1. q-gram filter (loses nothing): k edits leave at least L - 1 - 2k of an
-   item's L - 1 word pairs, so only windows with that many pairs of any item go on.
+1. q-gram filter (loses nothing): k edits leave at least L - 2 - 3k of an
+   item's L - 2 word triples, so only windows with that many triples of any item go on.
+   The items whose triples a window holds are then known, and only those are tried.
 2. CGK random walk: a pointer moves on by 0 or 1 after each output, by a random
    bit of the step and the symbol. Few edits become few differing outputs. Each
    repetition has a walk of its own and samples ``SAMPLED`` outputs; a window
-   meets the items that agree in all of them. Repetitions follow from the recall
+   meets an item if all of them agree in any repetition. Repetitions follow from the recall
    wanted at the error allowed.
 3. Exact edit verification of each such window against the item, with free ends.
 
@@ -100,52 +101,69 @@ class Searcher:
     def __init__(self, items: list[tuple[int, np.ndarray]], max_error: float, recall: float):
         self.items, self.max_error = items, max_error
         self.walks = repetitions(recall, max_error)
-        self.pairs = np.unique(np.concatenate([_pairs(x) for _, x in items]))
+        self.triples = np.unique(np.concatenate([_triples(x) for _, x in items]))
         self.table = np.zeros(1 << 20, bool)
-        self.table[self.pairs & np.uint64((1 << 20) - 1)] = True
+        self.table[self.triples & np.uint64((1 << 20) - 1)] = True
         by_length = defaultdict(list)
         for k, (_, symbols) in enumerate(items):
             by_length[len(symbols)].append(k)
-        self.buckets = {}
-        for length, ks in by_length.items():
-            bucket = defaultdict(list)
-            for k, keys in zip(ks, cgk_keys(np.stack([items[k][1] for k in ks]), self.walks)):
-                for key in keys.tolist():
-                    bucket[key].append(k)
-            self.buckets[length] = bucket
-        self.least = min(self._needed(x) for x in self.buckets)
+        self.keys = {}
+        for ks in by_length.values():
+            self.keys.update(zip(ks, cgk_keys(np.stack([items[k][1] for k in ks]), self.walks)))
+        self.holders = defaultdict(list)
+        for k, (_, symbols) in enumerate(items):
+            for triple in np.unique(_triples(symbols)).tolist():
+                self.holders[triple].append(k)
+        spans = {x: x + allowed_edits(x, max_error) - 2 for x in by_length}
+        self.widest, self.narrow = max(spans.values()), min(spans.values())
+        #: Cut into stretches of the narrowest window, a window with enough triples has one stretch with this many.
+        self.least = min(-(-self._needed(x) // -(-spans[x] // self.narrow)) for x in spans)
 
     def _needed(self, length: int) -> int:
-        return max(length - 1 - 2 * allowed_edits(length, self.max_error), 1)
+        return max(length - 2 - 3 * allowed_edits(length, self.max_error), 1)
 
-    def known_pairs(self, pairs: np.ndarray) -> np.ndarray:
-        """Which word pairs occur in any item."""
-        hit = self.table[pairs & np.uint64((1 << 20) - 1)]
+    def known_triples(self, triples: np.ndarray) -> np.ndarray:
+        """Which word triples occur in any item."""
+        hit = self.table[triples & np.uint64((1 << 20) - 1)]
         at = np.flatnonzero(hit)
-        found = np.searchsorted(self.pairs, pairs[at])
-        hit[at] = self.pairs[np.minimum(found, len(self.pairs) - 1)] == pairs[at]
+        found = np.searchsorted(self.triples, triples[at])
+        hit[at] = self.triples[np.minimum(found, len(self.triples) - 1)] == triples[at]
         return hit
 
-    def matches(self, symbols: np.ndarray, known: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item index, start, end, edits) of a document with these symbols; overlapping matches of one item count once."""
-        if int(known.sum()) < self.least:
-            return []
+    def starts(self, known: np.ndarray) -> np.ndarray:
+        """Positions, of a run of documents, where a window may start: those near a stretch with enough known triples."""
         total = np.concatenate([[0], np.cumsum(known)])
+        at = np.arange(len(known))
+        dense = np.flatnonzero(total[np.minimum(at + self.narrow, len(known))] - total[:-1] >= self.least)
+        change = np.zeros(len(known) + 1, np.int64)
+        np.add.at(change, np.maximum(dense - self.widest, 0), 1)
+        np.add.at(change, np.minimum(dense + 1, len(known)), -1)
+        return np.flatnonzero(np.cumsum(change)[:-1] > 0)
+
+    def matches(self, symbols: np.ndarray, possible: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(item index, start, end, edits) of a document with these symbols, for windows that start at ``possible``;
+        overlapping matches of one item count once."""
+        low, high = int(possible[0]), min(int(possible[-1]) + self.widest + 2, len(symbols))
+        places = defaultdict(list)
+        for at, triple in enumerate(_triples(symbols[low:high]).tolist(), low):
+            for k in self.holders.get(triple, ()):
+                places[k].append(at)
         candidates = defaultdict(set)
-        for length, bucket in self.buckets.items():
-            slack = allowed_edits(length, self.max_error)
-            starts = np.arange(len(known))
-            ends = np.minimum(starts + length + slack - 1, len(known))
-            starts = starts[total[ends] - total[starts] >= self._needed(length)]
-            for part in np.split(starts, range(4096, len(starts), 4096)):
+        for k, hits in places.items():
+            length = len(self.items[k][1])
+            need, span = self._needed(length), length + allowed_edits(length, self.max_error) - 2
+            if len(hits) < need:
+                continue
+            starts = np.arange(max(hits[0] - span, 0), hits[-1] + 1)
+            enough = np.searchsorted(hits, starts + span) - np.searchsorted(hits, starts) >= need
+            for part in np.array_split(starts[enough], int(enough.sum()) // 4096 + 1):
                 if not len(part):
                     continue
                 at = part[:, None] + np.arange(length)
                 windows = np.where(at < len(symbols), symbols[np.minimum(at, len(symbols) - 1)], np.uint64(0))
-                for start, keys in zip(part.tolist(), cgk_keys(windows, self.walks).tolist()):
-                    for key in keys:
-                        for k in bucket.get(key, ()):
-                            candidates[k].add(start)
+                keys = cgk_keys(windows, self.walks)
+                met = (keys == self.keys[k]).any(axis=1)
+                candidates[k].update(part[met].tolist())
         out = []
         for k, where in candidates.items():
             item = self.items[k][1]
@@ -159,6 +177,8 @@ class Searcher:
                 if edits <= slack:
                     found.append((edits, low + a, low + b))
                     done = low + b - slack if edits else low + b
+                else:
+                    done = start + slack + 1  # the region held every match that starts before
             taken = []
             for edits, a, b in sorted(found):
                 if all(b <= x or a >= y for x, y in taken):
@@ -167,8 +187,11 @@ class Searcher:
         return out
 
 
-def _pairs(symbols: np.ndarray) -> np.ndarray:
-    return mix(symbols[:-1] * np.uint64(0x9E3779B97F4A7C15) + symbols[1:]) if len(symbols) > 1 else symbols[:0]
+def _triples(symbols: np.ndarray) -> np.ndarray:
+    """A hash for each run of three words."""
+    if len(symbols) < 3:
+        return symbols[:0]
+    return mix((symbols[:-2] * np.uint64(0x9E3779B97F4A7C15) + symbols[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + symbols[2:])
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
@@ -210,14 +233,19 @@ def _searching(items: list, max_error: float, recall: float):
             for start, _, texts in text_blocks(batch, "text"):
                 by_text = [plain_words(t) for t in texts]
                 symbols = hashes([w for ws in by_text for w in ws])
-                known = np.append(searcher.known_pairs(_pairs(symbols)), False)
-                at = 0
-                for k, ws in enumerate(by_text):
-                    stop = at + len(ws)
-                    for item, a, b, edits in searcher.matches(symbols[at:stop], known[at:max(stop - 1, at)]):
+                known = np.zeros(len(symbols), bool)
+                hit = searcher.known_triples(_triples(symbols))
+                known[:len(hit)] = hit
+                ends = np.cumsum([len(ws) for ws in by_text])
+                for back in (1, 2):
+                    known[np.maximum(ends - back, 0)[ends > 0]] = False
+                possible = searcher.starts(known)
+                owner = np.searchsorted(ends, possible, side="right")
+                for k in np.unique(owner).tolist():
+                    at, stop = int(ends[k]) - len(by_text[k]), int(ends[k])
+                    for item, a, b, edits in searcher.matches(symbols[at:stop], possible[owner == k] - at):
                         key, words = searcher.items[item]
                         found.append((ids[start + k], key, a, b, edits, 1 - edits / len(words)))
-                    at = stop
             if found:
                 columns = list(zip(*found))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns[:5]] + [pa.array(columns[5], pa.float64())],

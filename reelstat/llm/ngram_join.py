@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstat.llm.common import flat, hashes, lower_words, mix, text_blocks, written
+from reelstat.llm.common import flat, hashes, lower_words, mix, most_frequent, text_blocks, written
 from reelstat.llm.components import component_ids
 
 WORDS = 5
@@ -212,7 +212,7 @@ def _pair_batch(pairs) -> pa.RecordBatch:
 
 def common_shingles(docs: DataFrame, text: str = "text", n: int = WORDS, together: int = 2, least: int = 8,
                     most: int = 500_000) -> np.ndarray:
-    """Sorted hashes of the n-grams of at least ``least`` documents, the ``most`` most frequent ones.
+    """Sorted hashes of the n-grams of at least ``least`` documents, at most the ``most`` most frequent ones.
 
     Every document counts; a task passes on what at least ``together`` of the
     different sets of a batch hold. Only the order in which parts are published
@@ -231,9 +231,8 @@ def common_shingles(docs: DataFrame, text: str = "text", n: int = WORDS, togethe
             often = counts >= together
             yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["h", "c"])
 
-    counted = (docs.select(F.col(text).alias("text")).mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-               .where(F.col("c") >= least).orderBy(F.desc("c"), "h").limit(most).select("h"))
-    return np.sort(counted.toPandas()["h"].to_numpy(np.int64).view(np.uint64))
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    return np.sort(most_frequent(written(counted.where(F.col("c") >= least), "ngram-common"), "h", "c", most)[0].view(np.uint64))
 
 
 def _is_common(elements: np.ndarray, common: np.ndarray) -> np.ndarray:
