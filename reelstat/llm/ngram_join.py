@@ -278,19 +278,23 @@ def _publish(docs: DataFrame, doc_id: str, text: str, percent: int, n: int, comm
     return rows.mapInArrow(run, "sig long, id long, rep long, sketch binary")
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, text) of the documents named in the one column of ``ids``, without a shuffle of all texts.
+def _among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id in this column is named in the one column of ``ids``, without a shuffle of the rows.
 
     The ids are kept as bitmaps, 4 KB for 32,768 neighbouring ids; Spark broadcasts them while they are
     small and joins by bucket beyond its limit.
     """
     named = ids.toDF("i").groupBy(F.bitmap_bucket_number("i").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("i")).alias("bits"))
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return (rows.withColumn("bucket", F.bitmap_bucket_number("id")).join(written(named, "ngram-ids"), "bucket")
-            .where(F.expr("shiftright(cast(conv(hex(substring(bits, cast(floor(bitmap_bit_position(id) / 8) as int) + 1, 1)), 16, 10) as int),"
-                          " cast(bitmap_bit_position(id) % 8 as int)) & 1 = 1"))
-            .select("id", "text"))
+    place = f"bitmap_bit_position({column})"
+    byte = f"cast(conv(hex(substring(bits, cast(floor({place} / 8) as int) + 1, 1)), 16, 10) as int)"
+    return (rows.withColumn("bucket", F.bitmap_bucket_number(column)).join(written(named, "ngram-ids"), "bucket")
+            .where(F.expr(f"shiftright({byte}, cast({place} % 8 as int)) & 1 = 1")).select(*rows.columns))
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, text) of the documents named in the one column of ``ids``."""
+    return _among(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), "id", ids)
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, percent: int, n: int) -> DataFrame:
@@ -333,15 +337,14 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     by_part = Window.partitionBy("sig").orderBy("id")
     grouped = published.withColumns({
         "hub": F.first("id").over(by_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "next": F.lead("id").over(by_part),
     })
-    # kept: the size rows, and the parts that more than one document published
-    found = written(grouped.where("sig < 0 or hub <> id or next <> id").select("sig", "id", "rep", "sketch", "hub"), "ngram-parts")
+    # kept: the size rows, and for parts that several documents published all but the hub's own row
+    found = written(grouped.where("sig < 0 or hub <> id").select("sig", "id", "rep", "sketch", "hub"), "ngram-parts")
     sizes = found.where("sig < 0").select("id", "rep", F.expr("shiftright(-1 - sig, 31)").alias("n"), "sketch")
     equal = sizes.where("id <> rep").select("rep", "id").distinct().toDF("a", "b")
 
     shared = found.where("sig >= 0").select("sig", "id", "hub")
-    star = written(shared.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "ngram-pairs")
+    star = written(shared.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "ngram-pairs")
     near = written(_allowed(star, sizes.select("id", "n", "sketch"), percent), "ngram-pairs")
     linked = written(_verify(near, docs, doc_id, text, percent, n).where("linked").select("a", "b").distinct(), "ngram-star")
     links = linked.unionByName(equal)
@@ -349,8 +352,9 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # parts whose hub failed with a member: compare their members across components
     failed = star.join(linked, ["a", "b"], "left_anti").toDF("hub", "id")
-    odd = shared.join(failed, ["hub", "id"], "left_semi").select("sig").distinct()
-    placed = written(shared.where("hub <> id").select("sig", "id").distinct().join(odd, "sig", "left_semi")
+    suspect = _among(shared, "hub", failed.select("hub"))
+    odd = _among(suspect, "id", failed.select("id")).join(failed, ["hub", "id"], "left_semi").select("sig").distinct()
+    placed = written(suspect.select("sig", "id").join(odd, "sig", "left_semi").distinct()
                      .join(first.withColumnRenamed("component", "c"), "id", "left")
                      .select("sig", "id", F.coalesce("c", "id").alias("c")), "ngram-odd")
     # groups of several components, and of those with the same members one
