@@ -61,6 +61,7 @@ def text_blocks(batch: pa.RecordBatch, text: str, limit: int = BLOCK_CHARS) -> I
         held += int(size)
     if start < len(column):
         yield start, len(column), column.slice(start).to_pylist()
+    pa.default_memory_pool().release_unused()  # workers live on between tasks
 
 
 def crc_of_id(doc_id) -> int:

@@ -104,7 +104,7 @@ def suffix_automaton(codes: bytes, width: int) -> np.ndarray:
     return flat
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _models(samples: tuple) -> tuple[np.ndarray, list]:
     """(byte -> code, automata); code 0 is a byte that no sample has. Kept per worker process."""
     seen = sorted(set(b"".join(s for _, s in samples)))

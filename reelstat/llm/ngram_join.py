@@ -227,7 +227,12 @@ def common_shingles(docs: DataFrame, text: str = "text", n: int = WORDS, togethe
                     if (digest := xxhash.xxh3_128_digest(elements.tobytes())) not in seen:
                         seen.add(digest)
                         sets.append(elements)
-            values, counts = np.unique(flat(sets, np.uint64), return_counts=True)
+            together_all = flat(sets, np.uint64)
+            del sets
+            together_all.sort()
+            repeated = together_all[1:][together_all[1:] == together_all[:-1]]  # each value once less than it occurs
+            values, counts = np.unique(repeated, return_counts=True)
+            counts = counts + 1
             often = counts >= together
             yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["h", "c"])
 
