@@ -3,7 +3,7 @@
 A bounded sample of labelled text per language becomes a suffix automaton,
 which knows every substring of that sample. A text is parsed greedily into the
 longest phrases that a language's sample contains; a text of that language
-needs few. Bits = phrases x log2(sample length) estimates the cross entropy,
+needs few. A byte that the sample lacks closes the phrase before it. Bits = phrases x log2(sample length) estimates the cross entropy,
 and the language with the fewest bits per byte wins.
 
 Every text is parsed whole. Each is cut into segments of ``SEGMENT`` bytes that

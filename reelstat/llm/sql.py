@@ -2,7 +2,50 @@
 
 from __future__ import annotations
 
-QUERIES: dict[str, str] = {}
+_FITS = "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '{1}')"
+
+OP1 = f"""
+WITH located AS (
+  SELECT page_id,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+ruled AS (
+  SELECT *, CASE WHEN {_FITS.format('example.org', '/en/1')} THEN 'example.org/en/1'
+                 WHEN {_FITS.format('example.org', '/es/')} THEN 'example.org/es/'
+                 WHEN {_FITS.format('com', '/fr/')} THEN 'com/fr/'
+                 WHEN {_FITS.format('com', '/de/')} THEN 'com/de/'
+                 WHEN {_FITS.format('org', '/')} THEN 'org/' END AS rule
+  FROM located)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+OP2 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+e AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM w),
+g AS (SELECT rid, pos, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o || ' ' || lead(word, 3) OVER o || ' ' || lead(word, 4) OVER o AS g5
+      FROM e WINDOW o AS (PARTITION BY rid ORDER BY pos)),
+r AS (SELECT rid, pos FROM (SELECT rid, pos, count(*) OVER (PARTITION BY rid, g5) AS k FROM g WHERE g5 IS NOT NULL) WHERE k > 1),
+c AS (SELECT rid, count(DISTINCT pos + i) AS n FROM r, range(5) AS s(i) GROUP BY rid),
+f AS (SELECT d.rid, doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+             CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+             length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper_n, length(regexp_replace(t, '[^a-z]', '', 'g')) AS lower_n,
+             length(regexp_replace(t, '[^!-@\[-`{-~]', '', 'g')) AS other_n
+      FROM d JOIN w USING (rid) LEFT JOIN c USING (rid)),
+m AS (SELECT *, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * len(ls) OR word_chars > 20 * n_words
+            OR word_chars < 2 * n_words OR upper_n > lower_n OR 2 * other_n > word_chars) AS kept
+FROM m
+"""
+
+QUERIES: dict[str, str] = {"op1_url_filter": OP1, "op2_quality_rules": OP2}
 
 
 def oracle_sql() -> dict[str, str]:
