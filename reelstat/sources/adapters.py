@@ -46,41 +46,9 @@ EPOCH_DAY_2018_01_01 = 17532
 UNCATALOGUED_OFFSET = 1_000_000_000
 
 
-SPREAD_MIN_BYTES = 4 << 20
-SPLIT_BYTES = 128 << 20
-_READS: dict = {}
-
-
-def _file_status(spark: SparkSession, path: str) -> tuple[int, int]:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    summary = fs.getContentSummary(hpath)
-    return summary.getLength(), fs.getFileStatus(hpath).getModificationTime()
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table (the parsed scan is reused while the file is unchanged).
-
-    The driver writes each table as a single Parquet row group, i.e. one
-    input task. A table of some size (>= 4 MB) that is smaller than one
-    128 MB split per core is spread over the cores, otherwise the per-row
-    mapping and the map side of the first aggregate run in a single task.
-    Small tables, and large inputs (many splits), are read as they are.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        size, mtime = _file_status(spark, path)
-        key = (spark.sparkContext.applicationId, path, size, mtime)
-    except Exception:  # no JVM gateway (e.g. a remote session): plain read
-        return spark.read.parquet(path)
-    if key not in _READS:
-        df = spark.read.parquet(path)
-        cores = spark.sparkContext.defaultParallelism
-        if SPREAD_MIN_BYTES <= size < cores * SPLIT_BYTES:
-            df = df.repartition(cores)
-        _READS[key] = df
-    return _READS[key]
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------------------

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from reelstat.plans import registry
 
 from .conftest import SF_SMALL
 
@@ -16,7 +17,7 @@ def physical_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_plan_has_no_python_or_cross_join(spark, name):
     plan = physical_plan(E.queries()[name](spark, SF_SMALL))
     found = [op for op in FORBIDDEN if op in plan]
