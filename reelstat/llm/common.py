@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 from zlib import crc32
@@ -48,6 +49,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
+
+
+def release_memory() -> None:
+    """Hand freed memory back to the system: workers live on between tasks, beside the executor's JVM."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def bound_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Arrow batches of at most ``rows`` rows, as rows hold whole texts; a setting of the user's stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":  # Spark's default
+        spark.conf.set(key, str(rows))
+
+
+def gathered(batches, column: str, limit: int) -> Iterator[list]:
+    """Lists of the column's values with about ``limit`` characters, across batches."""
+    held, size = [], 0
+    for batch in batches:
+        for _, _, texts in text_blocks(batch, column):
+            held += texts
+            size += sum(len(t) for t in texts if t)
+            if size >= limit:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
 def text_blocks(batch: pa.RecordBatch, text: str, limit: int = BLOCK_CHARS) -> Iterator[tuple[int, int, list]]:
     """(from, to, texts) for runs of rows with about ``limit`` characters; one longer text is a run of its own."""
     column = batch.column(batch.schema.get_field_index(text))
@@ -61,7 +96,7 @@ def text_blocks(batch: pa.RecordBatch, text: str, limit: int = BLOCK_CHARS) -> I
         held += int(size)
     if start < len(column):
         yield start, len(column), column.slice(start).to_pylist()
-    pa.default_memory_pool().release_unused()  # workers live on between tasks
+    release_memory()
 
 
 def crc_of_id(doc_id) -> int:

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstat.llm.common import flat, hashes, lower_words, mix, most_frequent, text_blocks, written
+from reelstat.llm.common import flat, gathered, hashes, lower_words, mix, most_frequent, text_blocks, written
 from reelstat.llm.components import component_ids
 
 WORDS = 5
@@ -215,15 +215,15 @@ def common_shingles(docs: DataFrame, text: str = "text", n: int = WORDS, togethe
     """Sorted hashes of the n-grams of at least ``least`` documents, at most the ``most`` most frequent ones.
 
     Every document counts; a task passes on what at least ``together`` of the
-    different sets of a batch hold. Only the order in which parts are published
+    different sets of some 24 million characters hold. Only the order in which parts are published
     depends on this array of at most ``most`` values, never a result.
     """
 
     def run(batches):
-        for batch in batches:
+        for many in gathered(batches, "text", 24_000_000):
             sets, seen = [], set()
-            for _, _, texts in text_blocks(batch, "text"):
-                for elements in shingle_sets(texts, n):
+            for at in range(0, len(many), 500):
+                for elements in shingle_sets(many[at:at + 500], n):
                     if (digest := xxhash.xxh3_128_digest(elements.tobytes())) not in seen:
                         seen.add(digest)
                         sets.append(elements)

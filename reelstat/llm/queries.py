@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstat.llm import decontaminate, html_extract, language, lm_score, ngram_join, packing, quality, secrets, token_counts, url_filter
-from reelstat.llm.common import held_out, table, written
+from reelstat.llm.common import bound_batches, held_out, table, written
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send the package to the executors once per session, as their Python need not find it on a path of its own."""
+    """Send the package to the executors once per session, as their Python need not find it on a path of its own,
+    and bound the batches that its tasks get."""
+    bound_batches(spark)
     context = spark.sparkContext
     if "reelstat.zip" in context._python_includes:
         return
