@@ -60,6 +60,17 @@ def exact_avg(c, scale: int) -> Column:
     return F.try_divide(exact_sum(c, scale), F.count(col(c)))
 
 
+def to_long(c) -> Column:
+    """BIGINT of a number or of integer text; fractions round half away from zero.
+
+    A plain cast would cut fractions off. Text must be a whole number: other
+    text raises. ``typeof`` is constant, so the plan keeps only one branch.
+    """
+    kind = F.typeof(col(c))
+    fractional = kind.isin("float", "double") | kind.startswith("decimal")
+    return F.when(fractional, F.round(col(c).cast("double")).cast("long")).otherwise(col(c).cast("long"))
+
+
 # ---------------------------------------------------------------------------
 # Dates
 # ---------------------------------------------------------------------------
@@ -142,7 +153,8 @@ def is_completed(action, progress) -> Column:
 
 
 def helpfulness_ratio(helpful, total) -> Column:
-    return F.when(col(total) > 0,
+    """Ratio of the votes as they came; NULL unless the whole number of total votes is positive."""
+    return F.when(to_long(total) > 0,
                   round_half_up(F.try_divide(col(helpful).cast("double"), col(total).cast("double")), 4))
 
 
@@ -152,9 +164,10 @@ def rating_sentiment(rating) -> Column:
 
 
 def search_outcome(results, click_position) -> Column:
+    """Zero results is asked of the raw count, the top 3 of the whole position."""
     return (F.when(col(results) == 0, "zero_results")
              .when(col(click_position).isNull(), "no_click")
-             .when(col(click_position) <= 3, "top_3_click")
+             .when(to_long(click_position) <= 3, "top_3_click")
              .otherwise("lower_click"))
 
 

@@ -32,11 +32,14 @@ def keep_latest(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """One row per ``keys``: the one with the greatest ``order_col``.
 
     Order of ties: the remaining columns, compared left to right, descending,
-    NULLs last. Returns ``df`` unchanged when a key or the order column is
-    missing (the table has no usable key).
+    NULLs last. Returns ``df`` unchanged when a key is missing (the table
+    has no usable key). Raises when there is a key but no order column:
+    the copies could not be told apart and would inflate every count.
     """
-    if not keys or any(k not in df.columns for k in keys) or order_col not in df.columns:
+    if not keys or any(k not in df.columns for k in keys):
         return df
+    if order_col not in df.columns:
+        raise ValueError(f"no column {order_col} to choose the latest copy of {', '.join(keys)} by")
     rest = [c for c in df.columns if c not in keys and c != order_col]
     ordered = [order_col] + rest
     if not all(_orderable(df.schema[c].dataType) for c in ordered):

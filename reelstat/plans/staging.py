@@ -4,7 +4,8 @@ Each table is a spec: the row filter (NULL keys, rating range) and the list
 of output columns, both plain ``Column`` expressions over the raw table, so
 the data tests can evaluate staging rules inside the same scan as the source
 rules. Staging frames are lazy: marts inline them and Catalyst prunes the
-columns a mart does not read. Casts are strict (ANSI), except the lenient
+columns a mart does not read. Casts are strict (ANSI; fractions round to
+whole numbers), except the lenient
 ones the domain asks for (``age``, text ingestion dates). Users' personal
 columns are never selected.
 """
@@ -32,14 +33,14 @@ def spec_movies() -> tuple[Column, list]:
     return _not_null("movie_id"), [
         "movie_id", "title", "content_type", "genre_primary", "genre_secondary",
         F.col("rating").alias("age_rating"), "language", "country_of_origin",
-        F.col("release_year").cast("long").alias("release_year"),
+        X.to_long("release_year").alias("release_year"),
         X.ns_to_date("added_to_platform").alias("added_to_platform_date"),
         F.col("duration_minutes").cast("double").alias("duration_minutes"),
         F.col("imdb_rating").cast("double").alias("imdb_rating"),
         F.col("production_budget").cast("double").alias("production_budget"),
         F.col("box_office_revenue").cast("double").alias("box_office_revenue"),
-        F.col("number_of_seasons").cast("long").alias("number_of_seasons"),
-        F.col("number_of_episodes").cast("long").alias("number_of_episodes"),
+        X.to_long("number_of_seasons").alias("number_of_seasons"),
+        X.to_long("number_of_episodes").alias("number_of_episodes"),
         F.col("is_original").cast("boolean").alias("is_original"),
         F.col("content_warning").cast("boolean").alias("has_content_warning"),
         X.is_single_title("content_type").alias("is_single_title"),
@@ -57,7 +58,7 @@ def spec_users() -> tuple[Column, list]:
         F.col("is_active").cast("boolean").alias("is_active"),
         F.col("monthly_spend").cast("double").alias("monthly_spend"),
         "primary_device",
-        F.col("household_size").cast("long").alias("household_size"),
+        X.to_long("household_size").alias("household_size"),
         X.ns_to_timestamp("created_at").alias("created_at"),
         _ingestion_date(),
         X.plan_tier_rank("subscription_plan").alias("plan_tier_rank"),
@@ -84,26 +85,25 @@ def spec_watch_history() -> tuple[Column, list]:
 
 
 def spec_reviews() -> tuple[Column, list]:
-    rating = F.col("rating").cast("long")
-    total = F.col("total_votes").cast("long")
+    rating = X.to_long("rating")
     return _not_null("review_id", "user_id", "movie_id") & F.col("rating").between(1, 5), [
         "review_id", "user_id", "movie_id",
         rating.alias("rating"),
         X.ns_to_date("review_date").alias("review_date"),
         "device_type",
         F.col("is_verified_watch").cast("boolean").alias("is_verified_watch"),
-        F.col("helpful_votes").cast("long").alias("helpful_votes"),
-        total.alias("total_votes"),
+        X.to_long("helpful_votes").alias("helpful_votes"),
+        X.to_long("total_votes").alias("total_votes"),
         "review_text", "sentiment",
         F.col("sentiment_score").cast("double").alias("sentiment_score"),
-        X.helpfulness_ratio(F.col("helpful_votes").cast("long"), total).alias("helpfulness_ratio"),
+        X.helpfulness_ratio("helpful_votes", "total_votes").alias("helpfulness_ratio"),
         X.rating_sentiment(rating).alias("rating_sentiment"),
         _ingestion_date(),
     ]
 
 
 def spec_recommendation_logs() -> tuple[Column, list]:
-    position = F.col("position_in_list").cast("long")
+    position = X.to_long("position_in_list")
     return _not_null("recommendation_id", "user_id", "movie_id"), [
         "recommendation_id", "user_id", "movie_id",
         X.ns_to_date("recommendation_date").alias("recommendation_date"),
@@ -118,12 +118,11 @@ def spec_recommendation_logs() -> tuple[Column, list]:
 
 
 def spec_search_logs() -> tuple[Column, list]:
-    position = F.col("clicked_result_position").cast("long")
-    results = F.col("results_returned").cast("long")
+    position = X.to_long("clicked_result_position")
     return _not_null("search_id", "user_id"), [
         "search_id", "user_id", "search_query",
         X.ns_to_date("search_date").alias("search_date"),
-        results.alias("results_returned"),
+        X.to_long("results_returned").alias("results_returned"),
         position.alias("clicked_result_position"),
         "device_type",
         F.col("search_duration_seconds").cast("double").alias("search_duration_seconds"),
@@ -131,7 +130,7 @@ def spec_search_logs() -> tuple[Column, list]:
         F.col("used_filters").cast("boolean").alias("used_filters"),
         "location_country",
         position.isNotNull().alias("had_click"),
-        X.search_outcome(results, position).alias("search_outcome"),
+        X.search_outcome("results_returned", "clicked_result_position").alias("search_outcome"),
         _ingestion_date(),
     ]
 

@@ -4,7 +4,8 @@ The driver ships order/line-item style tables, not viewing activity, so these
 adapters map them onto the domain with integer arithmetic and CASE only; the
 oracle SQL in ``duck_oracle`` restates the same mapping independently.
 The raw tables come out in the shape the loader meets in the wild: dates as
-integer nanoseconds since epoch, one column as UTF-8 bytes, text ingestion
+integer nanoseconds since epoch, one column as UTF-8 bytes, whole numbers as
+doubles (some fractional) or text, text ingestion
 dates (some NULL or unparsable), repeated primary keys, NULL-bearing columns.
 
 Mapping (sizes grow with the driver scale factor):
@@ -65,6 +66,11 @@ def _pick(index: str, values: list) -> str:
     return f"element_at(array({', '.join(_q(v) for v in values)}), CAST(({index}) % {len(values)} + 1 AS INT))"
 
 
+def _half(condition: str) -> str:
+    """0.5 where the condition holds, else 0: makes a double column of whole and fractional values."""
+    return f"CASE WHEN {condition} THEN 0.5D ELSE 0.0D END"
+
+
 def _epoch_ns(ts_ntz: str) -> str:
     """TIMESTAMP_NTZ -> integer nanoseconds since epoch, from the wall-clock
     fields, so no session time zone is involved (casting NTZ to TIMESTAMP
@@ -106,8 +112,8 @@ def raw_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN p_partkey % 7 != 0 THEN 1.0D + (p_size % 17) / 2.0D END AS imdb_rating",
         "CASE WHEN p_partkey % 3 = 0 THEN p_retailprice * 1000 END AS production_budget",
         "CASE WHEN p_partkey % 4 = 0 THEN p_retailprice * 2500 END AS box_office_revenue",
-        f"CASE WHEN {series} THEN CAST(1 + p_size % 5 AS BIGINT) END AS number_of_seasons",
-        f"CASE WHEN {series} THEN CAST((1 + p_size % 5) * 8 AS BIGINT) END AS number_of_episodes",
+        f"CASE WHEN {series} THEN CAST(1 + p_size % 5 AS STRING) END AS number_of_seasons",
+        f"CASE WHEN {series} THEN (1 + p_size % 5) * 8 + {_half('p_partkey % 4 = 0')} END AS number_of_episodes",
         "p_partkey % 3 = 0 AS is_original",
         "p_partkey % 6 = 0 AS content_warning",
         *_lineage("movies", "tpch/part", _q(SNAPSHOT_DATE)),
@@ -115,10 +121,12 @@ def raw_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_movies_previous_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An older, narrower snapshot of every title: upper-case titles, and
-    without the two columns a later schema added."""
+    """An older, narrower snapshot of every title: upper-case titles that are
+    text rather than bytes, years as doubles, and without the two columns a
+    later schema added."""
     new = raw_movies(spark, sf_dir)
-    return (new.withColumn("title", F.encode(F.upper(F.decode("title", "UTF-8")), "UTF-8"))
+    return (new.withColumn("title", F.upper(F.decode("title", "UTF-8")))
+               .withColumn("release_year", F.col("release_year").cast("double"))
                .withColumn(C.INGESTION_DATE, F.lit(PREVIOUS_SNAPSHOT_DATE))
                .drop("content_warning", "box_office_revenue"))
 
@@ -141,7 +149,7 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN c_custkey % 31 != 0 THEN c_acctbal >= 0 END AS is_active",
         "CASE WHEN c_custkey % 10 != 3 THEN 7.99D + (c_custkey % 4) * 4.0D END AS monthly_spend",
         f"{_pick('c_custkey + c_nationkey', C.DEVICES)} AS primary_device",
-        "CASE WHEN c_custkey % 7 != 2 THEN 1 + c_custkey % 5 END AS household_size",
+        f"CASE WHEN c_custkey % 7 != 2 THEN 1 + c_custkey % 5 + {_half('c_custkey % 11 = 0')} END AS household_size",
         f"{start_ns} + (c_custkey % 3600) * {NS_PER_SECOND} + (c_custkey * 123457) % {NS_PER_SECOND} AS created_at",
         "concat('user', CAST(c_custkey AS STRING), '@example.com') AS email",
         "'Customer' AS first_name",
@@ -190,7 +198,7 @@ def raw_recommendation_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{_pick('l_suppkey', C.RECOMMENDATION_TYPES)} AS recommendation_type",
         "CASE WHEN l_orderkey % 10 != 0 THEN (l_partkey % 128) / 128.0D END AS recommendation_score",
         "(l_orderkey + l_partkey) % 3 = 0 AS was_clicked",
-        "CASE WHEN l_orderkey % 37 != 0 THEN 1 + l_partkey % 20 END AS position_in_list",
+        "CASE WHEN l_orderkey % 37 != 0 THEN CAST(1 + l_partkey % 20 AS STRING) END AS position_in_list",
         f"{_pick('l_orderkey', C.DEVICES)} AS device_type",
         f"{_pick('l_linenumber', C.TIMES_OF_DAY)} AS time_of_day",
         "CASE WHEN l_orderkey % 20 != 0 THEN concat('v', CAST(1 + l_orderkey % 3 AS STRING)) END AS algorithm_version",
@@ -205,12 +213,12 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey AS user_id",
         "(o_orderkey * 7) % _n_titles AS movie_id",
         "CAST(CASE WHEN o_orderkey % 89 = 0 THEN 0 WHEN o_orderkey % 97 = 0 THEN 6 WHEN o_orderkey % 101 = 0 THEN NULL"
-        " ELSE CAST(substring(o_orderpriority, 1, 1) AS BIGINT) END AS BIGINT) AS rating",
+        f" ELSE CAST(substring(o_orderpriority, 1, 1) AS BIGINT) END AS BIGINT) - {_half('o_orderkey % 7 = 0')} AS rating",
         f"{_epoch_ns('o_orderdate')} + (o_orderkey % 86400) * {NS_PER_SECOND} AS review_date",
         f"{_pick('o_orderkey', C.DEVICES)} AS device_type",
         "o_orderstatus = 'F' AS is_verified_watch",
-        "CASE WHEN o_orderkey % 9 != 0 THEN o_orderkey % 11 END AS helpful_votes",
-        "CASE WHEN o_orderkey % 9 != 0 THEN o_orderkey % 11 + o_custkey % 7 END AS total_votes",
+        f"CASE WHEN o_orderkey % 9 != 0 THEN o_orderkey % 11 + {_half('o_orderkey % 17 = 0')} END AS helpful_votes",
+        f"CASE WHEN o_orderkey % 9 != 0 THEN o_orderkey % 11 + o_custkey % 7 + {_half('o_orderkey % 19 = 0')} / 2 END AS total_votes",
         "CASE WHEN o_orderkey % 20 != 0 THEN concat('review of order ', CAST(o_orderkey AS STRING)) END"
         " AS review_text",
         "CASE o_orderstatus WHEN 'F' THEN 'positive' WHEN 'O' THEN 'neutral' ELSE 'negative' END AS sentiment",
@@ -227,8 +235,8 @@ def raw_search_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"CASE WHEN NOT (event_type = 'signup' AND event_id % 9 = 0) THEN concat(event_type, ' ', CAST({k} AS STRING))"
         " END AS search_query",
         f"{_epoch_ns('ts')} + event_id % 1000 AS search_date",
-        f"CASE WHEN {k} < 10 THEN CAST(0 AS BIGINT) ELSE {k} END AS results_returned",
-        "CASE WHEN event_id % 2 != 0 THEN 1 + event_id % 7 END AS clicked_result_position",
+        f"CASE WHEN {k} < 10 THEN {_half('event_id % 3 = 0')} / 2 ELSE CAST({k} AS DOUBLE) END AS results_returned",
+        f"CASE WHEN event_id % 2 != 0 THEN 1 + event_id % 7 + {_half('event_id % 4 = 1')} END AS clicked_result_position",
         f"{_pick('user_id', C.DEVICES)} AS device_type",
         "CASE WHEN event_id % 20 != 0 THEN value END AS search_duration_seconds",
         "event_type = 'error' AS had_typo",

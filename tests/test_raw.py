@@ -3,8 +3,11 @@
 import datetime as dt
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelstat import config as C
 from reelstat.operators.dedup import keep_latest
@@ -55,10 +58,64 @@ def test_union_by_name_fills_missing_columns(spark):
 
 
 def test_names():
-    assert R.normalise_column_name("movies.csv/Release Year ") == "release_year"
-    assert R.sanitise_name("watch history.csv") == "watch_history"
-    assert R.sanitise_name("--Movies!!.parquet") == "movies"
-    assert R.usable_record_sets(["movies.csv", "README.md", "LICENSE"]) == [("movies.csv", "movies")]
+    assert R.column_name("movies.csv/Release Year ") == "release_year"
+    assert R.column_name("Plain") == "plain"
+    assert R.folder_name("watch history.csv") == "watch_history"
+    assert R.folder_name("--Movies!!.parquet") == "movies"
+    assert R.folder_name("no suffix") == "no_suffix"
+    assert R.folder_name("v1.2 notes.tar.gz") == "v1_2_notes_tar"
+    assert R.table_folders(["movies.csv", "README.md", "LICENSE", ""]) == {"movies.csv": "movies"}
+
+
+def test_wider_type():
+    assert R.wider_type(T.LongType(), T.DoubleType()) == T.DoubleType()
+    assert R.wider_type(T.IntegerType(), T.LongType()) == T.LongType()
+    assert R.wider_type(T.BinaryType(), T.StringType()) == T.StringType()
+    assert R.wider_type(T.NullType(), T.BooleanType()) == T.BooleanType()
+    with pytest.raises(TypeError):
+        R.wider_type(T.StringType(), T.LongType())
+
+
+def test_snapshots_with_drifting_types(spark, tmp_dir):
+    d1, d2, d3 = (dt.date(2026, 3, d) for d in (26, 27, 28))
+    days = [(d1, "movie_id long, title binary, release_year long", [(1, bytearray(b"caf\xc3\xa9"), 2001)]),
+            (d2, "movie_id long, title string, release_year double", [(2, "text", None), (3, "more", 1999.5)]),
+            (d3, "movie_id int, title binary, release_year long, added boolean", [(1, bytearray(b"new"), 2002, True)])]
+    for day, schema, rows in days:
+        frame = spark.createDataFrame(rows, schema).withColumn("_ingestion_date", F.lit(str(day)))
+        R.write_snapshot(frame, tmp_dir, "movies", day)
+    raw = R.read_snapshots(spark, tmp_dir, "movies")
+    assert dict(raw.dtypes) == {"movie_id": "bigint", "title": "string", "release_year": "double",
+                                "added": "boolean", "_ingestion_date": "string"}
+    got = {r.movie_id: (r.title, r.release_year, r.added) for r in R.clean_raw_table(raw, "movies").collect()}
+    assert got == {1: ("new", 2002.0, True), 2: ("text", None, None), 3: ("more", 1999.5, None)}
+
+
+def test_snapshots_without_a_common_type_name_the_column(spark, tmp_dir):
+    R.write_snapshot(spark.createDataFrame([(1, "x")], "movie_id long, title string"), tmp_dir, "movies", dt.date(2026, 3, 27))
+    R.write_snapshot(spark.createDataFrame([(1, 2)], "movie_id long, title long"), tmp_dir, "movies", dt.date(2026, 3, 28))
+    with pytest.raises(TypeError, match="title"):
+        R.read_snapshots(spark, tmp_dir, "movies")
+
+
+def test_snapshot_files_as_pandas_writes_them(spark, tmp_dir):
+    """Nanosecond timestamps, byte strings, and a column that is all NULL on one day."""
+    stamp = 1_774_656_000_123_456_789
+    for day, genre in (("27", pa.array([None], pa.null())), ("28", pa.array(["Drama"]))):
+        folder = f"{tmp_dir}/movies/year=2026/month=03/day={day}"
+        os.makedirs(folder)
+        pq.write_table(pa.table({
+            "movie_id": pa.array([int(day)]), "title": pa.array([b"bytes"], pa.binary()), "genre_primary": genre,
+            "added_to_platform": pa.array([stamp], pa.timestamp("ns")), "_ingestion_date": pa.array([f"2026-03-{day}"]),
+        }), f"{folder}/movies.parquet", version="2.6")
+    rows = R.clean_raw_table(R.read_snapshots(spark, tmp_dir, "movies"), "movies").collect()
+    assert sorted((r.movie_id, r.title, r.genre_primary, r.added_to_platform) for r in rows) == [
+        (27, "bytes", None, stamp), (28, "bytes", "Drama", stamp)]
+
+
+def test_keep_latest_needs_the_order_column(spark):
+    with pytest.raises(ValueError, match="_ingestion_date"):
+        keep_latest(spark.createDataFrame([(1, "a")], "id long, v string"), ["id"], "_ingestion_date")
 
 
 def _snapshot(spark, ids, day, extra=False):
