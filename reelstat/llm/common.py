@@ -121,6 +121,24 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def smallest_hashes(df: DataFrame, column: str, size: int) -> list[str]:
+    """The ``size`` different non-null texts of the smallest hashes, in their order; all if there are fewer.
+
+    Only texts under a threshold leave a task, about twice as many as are
+    wanted over the whole table, however many partitions it has. Copies
+    combine before the shuffle. Where too few are found (nulls, copies) the
+    threshold grows eightfold.
+    """
+    share = 2 * size / max(df.count(), 1)
+    hashed = df.select(F.col(column).alias("t"), F.xxhash64(column).alias("h")).where("t is not null")
+    while True:
+        among = hashed if share >= 1 else hashed.where(F.col("h") < int(share * 2 ** 64) - 2 ** 63)
+        rows = among.groupBy("h").agg(F.first("t").alias("t")).orderBy("h").limit(size).collect()
+        if len(rows) == size or share >= 1:
+            return [r["t"] for r in rows]
+        share *= 8
+
+
 def flat(parts: Iterable[np.ndarray], dtype) -> np.ndarray:
     parts = list(parts)
     return np.concatenate(parts) if parts else np.empty(0, dtype)

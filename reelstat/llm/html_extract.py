@@ -22,10 +22,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reelstat.llm.common import text_blocks
+from reelstat.llm.common import smallest_hashes, text_blocks
 from reelstat.llm.gbt import BoostedTrees
 
 #: Fixed vocabularies of HTML: elements, and words that authors use in class and id.
@@ -229,9 +228,8 @@ def train(words: tuple, pages: int = 300, seed: int = 5) -> BoostedTrees:
 
 
 def sample_words(pages: DataFrame, html: str = "html", sample_pages: int = 40, most: int = 2_000) -> tuple:
-    """Words of at most ``sample_pages`` pages, those whose hashes are smallest; a few fixed ones if there are none."""
-    rows = pages.select(F.col(html).alias("h")).where("h is not null").orderBy(F.xxhash64("h")).limit(sample_pages).collect()
-    found = sorted({w for r in rows for _, t in parse(r["h"])[1] if t for w in t.split()})
+    """Words of at most ``sample_pages`` different pages, those whose hashes are smallest; a few fixed ones if there are none."""
+    found = sorted({w for page in smallest_hashes(pages, html, sample_pages) for _, t in parse(page)[1] if t for w in t.split()})
     return tuple(found[::max(len(found) // most, 1)][:most]) or ("a", "word", "of", "plain", "text.")
 
 

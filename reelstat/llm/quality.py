@@ -17,10 +17,9 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reelstat.llm.common import hashes, text_blocks, words
+from reelstat.llm.common import hashes, smallest_hashes, text_blocks, words
 
 _SPACE = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -131,8 +130,8 @@ def order_rules(sample: list[str | None], names: list[str]) -> list[str]:
 
 
 def sample_texts(docs: DataFrame, text: str = "text", size: int = 300) -> list[str | None]:
-    """At most ``size`` texts, those whose hashes are smallest."""
-    return [r[0] for r in docs.select(F.col(text).alias("t")).where("t is not null").orderBy(F.xxhash64("t")).limit(size).collect()]
+    """At most ``size`` different texts, those whose hashes are smallest."""
+    return smallest_hashes(docs, text, size)
 
 
 def cascade(docs: DataFrame, order: list[str], text: str = "text", measures: bool = False) -> DataFrame:

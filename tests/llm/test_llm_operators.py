@@ -11,7 +11,7 @@ import pytest
 
 import __spark_entry__ as E
 from reelstat.llm import html_extract, language, lm_score, ngram_join, packing, quality, secrets, sql, token_counts, url_filter
-from reelstat.llm.common import held_out
+from reelstat.llm.common import held_out, smallest_hashes
 from reelstat.llm.tokens import encode
 
 SF = "/root/testdata/sf0.001"
@@ -248,3 +248,13 @@ def test_pipeline_equals_its_steps_in_plain_python(spark):
     total = sum(len(encode(secrets.redacted(t, secrets.find_spans(t)))) + 1 for t in kept.values())
     rows = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in rows} == set(kept) and sum(r.length for r in rows) == total
+
+
+def test_smallest_hashes_over_copies_nulls_and_few_rows(spark):
+    texts = [f"text {i}" for i in range(500)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(600 + i, "copy") for i in range(3000)] + [(9000 + i, None) for i in range(3000)]
+    docs = docs_of(spark, rows).repartition(7)
+    hashed = docs.where("text is not null").selectExpr("text", "xxhash64(text) as h").distinct().collect()
+    assert smallest_hashes(docs, "text", 20) == [r.text for r in sorted(hashed, key=lambda r: r.h)[:20]]
+    assert sorted(smallest_hashes(docs, "text", 1000)) == sorted([*texts, "copy"])
+    assert smallest_hashes(docs.limit(0), "text", 5) == []
