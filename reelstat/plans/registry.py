@@ -3,7 +3,8 @@
 Every query starts from the driver's tables in ``sf_dir``, maps them onto the
 six raw activity tables (``sources.adapters``), cleans them the way the raw
 loader does (decode + keep-latest), stages them, and then builds the mart or
-report. Nothing is collected; the caller decides how to run the plan.
+report. Most are lazy; the snapshot scans, the written mart and the profile
+write or measure tables while the query is built.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from reelstat.operators import quality as Q
 from reelstat.operators.mode import exact_mode
 from reelstat.plans import checks
 from reelstat.plans import dashboard as D
+from reelstat.plans import pipeline
 from reelstat.plans import staging as S
 from reelstat.plans.marts import content, genres, recommendations, users
 from reelstat.session import ensure_checkpoint_dir
@@ -120,6 +122,13 @@ def q_content_scatter_dated(spark, sf_dir):
     return D.content_scatter(content_mart(spark, sf_dir), DASH_DATES)
 
 
+def q_content_mart_dated(spark, sf_dir):
+    """Writes the content mart and reads the months of the dashboard's range back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/mart-{uuid.uuid4().hex}"
+    pipeline.write_mart(content_mart(spark, sf_dir), path, "watch_month", ["genre_primary"])
+    return pipeline.read_mart(spark, path, "watch_month", DASH_DATES)
+
+
 def q_genre_share(spark, sf_dir):
     return D.genre_share(genre_mart(spark, sf_dir))
 
@@ -215,6 +224,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "active_users_by_month": q_active_users_by_month,
         "content_scatter": q_content_scatter,
         "content_scatter_dated": q_content_scatter_dated,
+        "content_mart_dated": q_content_mart_dated,
         "genre_share": q_genre_share,
         "quality_report": q_quality_report,
         "mart_ready": q_mart_ready,

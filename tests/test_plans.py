@@ -39,6 +39,13 @@ def test_scans_read_only_needed_columns(spark):
     assert customer and all("c_name" not in s and "c_mktsegment" not in s for s in customer)
 
 
-def test_conversion_has_no_row_expansion(spark):
+def test_conversion_joins_the_recommendations_once(spark):
+    """The one expansion is the two blocks a session counts for, below its map-side combine."""
     plan = physical_plan(E.queries()["recommendation_flags"](spark, SF_SMALL))
-    assert "Generate" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert plan.count("Generate inline") == 1 and "BroadcastNestedLoopJoin" not in plan
+    assert len(re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[[^]]*\], \[[^]]*\], LeftOuter", plan)) == 1
+
+
+def test_dated_mart_read_opens_only_its_months(spark):
+    plan = physical_plan(registry.q_content_mart_dated(spark, SF_SMALL))
+    assert re.search(r"PartitionFilters: \[isnotnull\(partition_month", plan)
