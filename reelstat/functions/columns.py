@@ -45,19 +45,21 @@ def count_rate_pct(cond: Column, digits: int) -> Column:
     return rate_pct(F.count_if(cond), F.count(F.lit(1)), digits)
 
 
-def exact_sum(c, scale: int) -> Column:
-    """Aggregate: order-independent sum of values that carry ``scale`` decimals.
+def fixed_point(c, digits: int) -> Column:
+    """Number as a BIGINT count of 10^-digits, rounded. Sums of these do not
+    depend on the order of rows (sums of doubles do); they raise beyond
+    9.2e18 / 10^digits."""
+    return F.round(col(c).cast("double") * 10 ** digits).cast("long")
 
-    Summing as DECIMAL makes the result independent of row order (a double
-    sum is not), which matters when the inputs are already rounded values
-    such as mart percentages.
-    """
-    return F.sum(col(c).cast(f"decimal(18,{scale})")).cast("double")
+
+def exact_sum(c, digits: int = 4) -> Column:
+    """Aggregate: order-independent sum of values rounded to ``digits`` decimals."""
+    return F.sum(fixed_point(c, digits)) / 10 ** digits
 
 
-def exact_avg(c, scale: int) -> Column:
-    """Aggregate: order-independent mean of values carrying ``scale`` decimals."""
-    return F.try_divide(exact_sum(c, scale), F.count(col(c)))
+def exact_avg(c, digits: int = 4) -> Column:
+    """Aggregate: order-independent mean of values rounded to ``digits`` decimals."""
+    return F.try_divide(exact_sum(c, digits), F.count(col(c)))
 
 
 def to_long(c) -> Column:

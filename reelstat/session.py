@@ -7,10 +7,12 @@ timestamps read the same everywhere.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -30,18 +32,25 @@ SESSION_CONF = {
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 shuffle_fraction: float = 0.3, partition_bytes: int = 256 << 20) -> dict:
+                 shuffle_fraction: float = 0.3, least_bytes: int = 256 << 20,
+                 shuffle_blocks: float = 1e9) -> dict:
     """Settings sized to the data for a cluster run.
 
-    Shuffle partitions are sized so that one partition of the largest
-    shuffle (``input_bytes * shuffle_fraction``: raw rows after projection
-    and map-side combine) is about ``partition_bytes``, and never fewer than
-    twice the cores; AQE coalesces the small shuffles down from there and
-    splits skewed join partitions. Scan splits use the same size. E.g. 100 TB
-    on 1000 x 8 cores gives ~120,000 shuffle partitions of ~256 MB, which fit
-    an executor's execution memory without spilling.
+    Scan splits and shuffle partitions of the largest shuffle
+    (``input_bytes * shuffle_fraction``: raw rows after projection and
+    map-side combine) have the same size, 256 MB or whatever more keeps
+    map tasks x shuffle partitions at about ``shuffle_blocks``: beyond that,
+    fetching blocks of under a KB and tracking them costs more than the data.
+    There are never fewer partitions than twice the cores; AQE merges those
+    of small shuffles and splits skewed join partitions. E.g. 100 TB on
+    1000 x 8 cores gives 1.7 GB each: ~58,000 map tasks and ~17,000
+    partitions. A partition of that size is sorted and aggregated with
+    spilling in an executor of 8 cores and 32 GB or more. Map output is
+    assumed to outlive its executor (an external shuffle service);
+    without one a lost executor's map tasks run again.
     """
     cores = executors * cores_per_executor
+    partition_bytes = max(least_bytes, math.ceil(input_bytes * math.sqrt(shuffle_fraction / shuffle_blocks)))
     partitions = max(2 * cores, int(input_bytes * shuffle_fraction // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
@@ -101,3 +110,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="reelstat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def written_once(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame, written under the shared checkpoint folder and read back.
+
+    For a result that several branches of a plan read: it is computed once,
+    and a lost executor re-reads it rather than its sources.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -121,6 +121,7 @@ def test_exact_avg_is_order_independent(spark):
 def test_cluster_conf_sizes_partitions_to_data():
     from reelstat.session import cluster_conf
     big = cluster_conf(100 * 10**12, executors=1000, cores_per_executor=8)
-    assert 100_000 < int(big["spark.sql.shuffle.partitions"]) < 130_000
+    partitions, split = int(big["spark.sql.shuffle.partitions"]), int(big["spark.sql.files.maxPartitionBytes"])
+    assert partitions >= 16_000 and 0.9e9 < partitions * 100 * 10**12 / split < 1.1e9
     small = cluster_conf(10**9, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 80

@@ -6,6 +6,9 @@ import pytest
 
 import __spark_entry__ as E
 from reelstat.plans import registry
+from reelstat.plans import staging as S
+from reelstat.plans.marts import content, users
+from reelstat.session import written_once
 
 from .conftest import SF_SMALL
 
@@ -49,3 +52,44 @@ def test_conversion_joins_the_recommendations_once(spark):
 def test_dated_mart_read_opens_only_its_months(spark):
     plan = physical_plan(registry.q_content_mart_dated(spark, SF_SMALL))
     assert re.search(r"PartitionFilters: \[isnotnull\(partition_month", plan)
+
+
+def written_staging(spark, tmp_path, *names):
+    """Staging over written raw tables, as in a production build: no exchange of the adapters to reuse."""
+    frames = []
+    for name in names:
+        path = str(tmp_path / name)
+        registry.raw_table(spark, SF_SMALL, name).write.parquet(path)
+        frames.append(S.STAGING[name](spark.read.parquet(path)))
+    return frames
+
+
+def scans_of(df, name) -> int:
+    """Scans of one written table in the plan, with paths in full."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        return len(re.findall(rf"FileScan parquet [^\n]*/{name}\]", physical_plan(df.select("*"))))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_content_mart_reads_sessions_once(spark, tmp_path, monkeypatch):
+    plans = []
+    monkeypatch.setattr(content, "written_once", lambda df, purpose: plans.append(df) or written_once(df, purpose))
+    movies, watch, reviews = written_staging(spark, tmp_path, "movies", "watch_history", "reviews")
+    mart = content.content_performance(movies, watch, reviews)
+    assert [scans_of(plans[0], t) for t in ("movies", "watch_history", "reviews")] == [1, 1, 1]
+    assert scans_of(mart, "watch_history") == 0 and mart.count() > 0
+
+
+def test_user_mart_reads_sessions_twice_at_most(spark, tmp_path, monkeypatch):
+    plans = []
+    monkeypatch.setattr(users, "written_once", lambda df, purpose: plans.append(df) or written_once(df, purpose))
+    frames = written_staging(spark, tmp_path, "users", "watch_history", "reviews", "search_logs", "recommendation_logs")
+    mart = users.user_engagement(*frames, as_of=registry.AS_OF)
+    assert scans_of(plans[0], "watch_history") == 2 and scans_of(mart, "watch_history") == 0
+
+
+def test_recommendation_mart_does_not_expand_rows(spark):
+    assert "Expand" not in physical_plan(E.queries()["recommendation_performance"](spark, SF_SMALL))
