@@ -86,7 +86,8 @@ class BuildConfig:
 
     ``warehouse`` is the root folder every layer is written under; on a cluster
     it must be shared storage. ``as_of`` replaces "today" in tenure so that a
-    rebuild is reproducible.
+    rebuild is reproducible. ``column_aliases`` maps, per table, column names of
+    the given snapshots to the names staging reads.
     """
 
     warehouse: str
@@ -95,6 +96,7 @@ class BuildConfig:
     retention_days: int | None = None
     layers: dict = field(default_factory=lambda: dict(DEFAULT_LAYERS))
     tables: tuple = TABLES
+    column_aliases: dict = field(default_factory=dict)
 
     def layer_path(self, layer: str, table: str) -> str:
         db = layer_name(self.layers.get(layer), DEFAULT_LAYERS[layer])

@@ -3,8 +3,9 @@
 Every query starts from the driver's tables in ``sf_dir``, maps them onto the
 six raw activity tables (``sources.adapters``), cleans them the way the raw
 loader does (decode + keep-latest), stages them, and then builds the mart or
-report. Most are lazy; the snapshot scans, the written mart and the profile
-write or measure tables while the query is built.
+report. Most are lazy; the snapshot scans, the ingest, the content and user
+marts, the whole build and the profile write or measure tables while the
+query is built.
 """
 
 from __future__ import annotations
@@ -183,6 +184,40 @@ def q_snapshot_retention(spark, sf_dir):
                                                     retention_days=1))
 
 
+def q_ingest_snapshot(spark, sf_dir):
+    """Ingests two record sets whose names and columns need cleaning (a third fails), reads one snapshot back."""
+    def given(table):
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+        return df.toDF(*[f"{table}/{c.replace('_', ' ').upper()}" for c in df.columns])
+
+    def broken():
+        raise OSError("no such record set")
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingested-{uuid.uuid4().hex}"
+    readers = {"Customer List.csv": lambda: given("customer"), "part": lambda: given("part"), "gone": broken,
+               "README.md": broken}
+    pipeline.ingest_snapshots(readers, root, SNAPSHOT_DAYS[1], "tables")
+    if (tables := R.list_snapshot_tables(spark, root)) != ["customer_list", "part"]:
+        raise RuntimeError(f"unexpected snapshot folders {tables} under {root}")
+    return R.read_snapshots(spark, root, "customer_list")
+
+
+def q_build_report(spark, sf_dir):
+    """The whole build on snapshots of the six tables: rows written per raw table and mart, failing rows per test."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/build-{uuid.uuid4().hex}"
+    for table in C.TABLES:
+        R.write_snapshot(A.RAW_ADAPTERS[table](spark, sf_dir), f"{root}/snapshots", table, SNAPSHOT_DAYS[1])
+    cfg = C.BuildConfig(warehouse=f"{root}/warehouse", snapshots=f"{root}/snapshots", as_of=AS_OF)
+    built = pipeline.build_all(spark, cfg, raise_on_test_failure=False, max_parallel=3)
+    rows = [("raw", r.table, r.rows) for r in built.raw]
+    rows += [("test", f"{r['layer']}.{r['table_name']}.{r['column_name']}.{r['test']}", r["failing_rows"])
+             for r in built.quality]
+    written = Q.mart_row_counts({m: pipeline.read_mart(spark, path) for m, path in built.marts.items()})
+    return (spark.createDataFrame(rows, "kind string, name string, value long")
+                 .unionByName(written.select(F.lit("mart").alias("kind"), F.col("mart").alias("name"),
+                                             F.col("row_count").alias("value"))))
+
+
 def q_raw_union_by_name(spark, sf_dir):
     return R.decode_binary_columns(R.union_snapshots([A.raw_movies(spark, sf_dir),
                                                       A.raw_movies_previous_snapshot(spark, sf_dir)]))
@@ -207,6 +242,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_snapshot_latest": q_raw_snapshot_latest,
         "scan_parquet_snapshots": q_scan_parquet_snapshots,
         "snapshot_retention": q_snapshot_retention,
+        "ingest_snapshot": q_ingest_snapshot,
+        "build_report": q_build_report,
     }
     for t in C.TABLES:
         out[f"stg_{t}"] = _stg(t)

@@ -128,3 +128,12 @@ def test_profile_small_file(spark, tmp_dir):
     assert [r[:8] for r in rep["k"].sample_rows] == ['{"k":"0"', '{"k":"1"', '{"k":"2"']
     doc = P.json_report(P.profile(spark.read.parquet(f"{tmp_dir}/t"))).collect()[0].report
     assert '"unique_values":{"c":["cat"],"x":["0.0","1.0","2.0"]}' in doc
+
+
+def test_profile_lists_values_up_to_the_limit_in_each_file(spark, tmp_dir):
+    """30 values are listed, 31 are not, also where another file's column is unique."""
+    for name, distinct in (("a", 30), ("b", 31), ("c", 400)):
+        spark.range(400).selectExpr(f"id % {distinct} AS v").coalesce(1).write.parquet(f"{tmp_dir}/d/{name}")
+    df = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_dir}/d")
+    got = {r.file_path.split("/")[-2]: r.distinct_values for r in P.profile(df).collect()}
+    assert got["a"] == [str(i) for i in range(30)] and got["b"] is None and got["c"] is None

@@ -170,3 +170,10 @@ def test_ingest_all_skips_empty_and_failing(spark):
                             "_record_set": "movies", "_source": "test"}
     with pytest.raises(RuntimeError):
         R.ingest_all({"broken.csv": boom}, dt.date(2026, 3, 28), "test")
+
+
+def test_column_aliases_rename_or_fill(spark):
+    df = spark.createDataFrame([(1, None, 7), (2, 5, 9)], "id long, seen long, given long")
+    assert [tuple(r) for r in R.apply_aliases(df, {"given": "seen", "absent": "x"}).orderBy("id").collect()] == [(1, 7), (2, 5)]
+    assert R.apply_aliases(df, {"given": "is_original"}).columns == ["id", "seen", "is_original"]
+    assert R.apply_aliases(df, {"id": "id"}).columns == df.columns
