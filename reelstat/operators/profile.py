@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from reelstat import config as C
 from reelstat.functions.columns import round_half_up
 from reelstat.session import ensure_checkpoint_dir
+from reelstat.sources.raw import list_datasets
 
 _FILE, _ROW = "_profile_file", "_profile_row"
 HLL_RSD = 0.05  # 512 registers: exact enough to pre-select columns with <= 2 x 30 values
@@ -44,7 +45,6 @@ def file_stats(df: DataFrame) -> DataFrame:
     first_rows = F.when(F.col(_ROW) < C.PROFILE_SAMPLE_ROWS, F.struct(F.col(_ROW).alias("i"), row_json.alias("j")))
     wide = base.groupBy(_FILE).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.min_by(row_json, F.col(_ROW)).alias("sample_row"),
         # at most PROFILE_SAMPLE_ROWS entries per file (rows 0, 1, 2 of the file)
         F.sort_array(F.collect_list(first_rows)).getField("j").alias("sample_rows"),
         *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)],
@@ -55,7 +55,7 @@ def file_stats(df: DataFrame) -> DataFrame:
                                     F.col(f"n{i}").alias("null_count"), F.col(f"d{i}").alias("approx_distinct"))
                            for i, c in enumerate(cols)])
     return wide.select(F.col(_FILE).alias("file_path"), "rows", F.lit(len(cols)).alias("columns"),
-                       "sample_row", "sample_rows", F.inline(per_column))
+                       F.get("sample_rows", F.lit(0)).alias("sample_row"), "sample_rows", F.inline(per_column))
 
 
 def _sort_key(df: DataFrame, column: str):
@@ -127,14 +127,33 @@ def profile_paths(spark: SparkSession, paths: list[str], max_distinct: int = C.P
                   max_parallel: int = 4) -> DataFrame:
     """Profile several Parquet datasets (each may have its own schema).
 
-    The first passes of the datasets are independent jobs and run
-    concurrently; the combined report stays lazy.
+    A folder is read with all folders in it. The first passes of the datasets
+    are independent jobs and run concurrently; the combined report stays lazy.
     """
+    read = spark.read.option("recursiveFileLookup", "true")
     with ThreadPoolExecutor(max_workers=max(1, min(max_parallel, len(paths)))) as pool:
-        parts = list(pool.map(lambda p: profile(spark.read.parquet(p), max_distinct), paths))
+        parts = list(pool.map(lambda p: profile(read.parquet(p), max_distinct), paths))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def profile_folder(spark: SparkSession, folder: str, max_distinct: int = C.PROFILE_MAX_DISTINCT,
+                   max_parallel: int = 4) -> DataFrame:
+    """Profile every Parquet file under a folder; each file or folder directly in it is a dataset of one schema.
+
+    Raises when the folder holds none.
+    """
+    paths = list_datasets(spark, folder)
+    if not paths:
+        raise RuntimeError(f"no Parquet data under {folder}")
+    return profile_paths(spark, paths, max_distinct, max_parallel)
+
+
+def write_report(report: DataFrame, path: str) -> str:
+    """Write the report's JSON documents, one line per profiled file."""
+    json_report(report).select("report").write.mode("overwrite").text(path)
+    return path
+
+
 def json_report(report: DataFrame) -> DataFrame:
     """One JSON document per file: path, rows, columns, schema, unique values, sample row."""
     return (report.groupBy("file_path", "file_name", "rows", "columns", "sample_row", "sample_rows")

@@ -153,6 +153,19 @@ def q_profile_columns(spark, sf_dir):
                          F.array_join("distinct_values", "|").alias("distinct_values"))
 
 
+def q_profile_report(spark, sf_dir):
+    """Profiles all Parquet data in the folder, writes the JSON report and reads it back: one row per column."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/profile-{uuid.uuid4().hex}"
+    P.write_report(P.profile_folder(spark, sf_dir), path)
+    doc = F.from_json("value", "path string, rows long, columns int, schema map<string,string>, "
+                               "unique_values map<string,array<string>>")
+    read = spark.read.text(path).select(doc.alias("d")).select("d.*")
+    return (read.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "rows", "columns", "unique_values",
+                        F.explode(F.map_keys("schema")).alias("column_name"))
+                .select("file_name", "rows", "columns", "column_name",
+                        F.array_join(F.try_element_at("unique_values", F.col("column_name")), "|").alias("distinct_values")))
+
+
 def q_genre_weekly(spark, sf_dir):
     return genres.weekly_watch(staged(spark, sf_dir, "watch_history"), staged(spark, sf_dir, "movies"))
 
@@ -266,5 +279,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_report": q_quality_report,
         "mart_ready": q_mart_ready,
         "profile_columns": q_profile_columns,
+        "profile_report": q_profile_report,
     })
     return out

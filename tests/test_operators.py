@@ -137,3 +137,15 @@ def test_profile_lists_values_up_to_the_limit_in_each_file(spark, tmp_dir):
     df = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_dir}/d")
     got = {r.file_path.split("/")[-2]: r.distinct_values for r in P.profile(df).collect()}
     assert got["a"] == [str(i) for i in range(30)] and got["b"] is None and got["c"] is None
+
+
+def test_profile_folder_finds_files_in_all_folders(spark, tmp_dir):
+    spark.range(3).coalesce(1).write.parquet(f"{tmp_dir}/p/table/year=2026/day=01")
+    spark.range(5).coalesce(1).write.parquet(f"{tmp_dir}/p/table/year=2026/day=02")
+    spark.range(2).selectExpr("id AS other").coalesce(1).write.parquet(f"{tmp_dir}/p/single")
+    report = P.profile_folder(spark, f"{tmp_dir}/p")
+    assert sorted((r.column_name, r.rows) for r in report.collect()) == [("id", 3), ("id", 5), ("other", 2)]
+    assert spark.read.text(P.write_report(report, f"{tmp_dir}/out")).count() == 3
+    spark.range(1).write.csv(f"{tmp_dir}/none/x")
+    with pytest.raises(RuntimeError, match="no Parquet"):
+        P.profile_folder(spark, f"{tmp_dir}/none")
