@@ -77,6 +77,22 @@ def test_conversion_flags_edges(spark):
     assert conversion_flags(r, w, 7).count() == len(recs)
 
 
+@pytest.mark.parametrize("days", [0, 61, 62, 63, 124, 200])
+def test_conversion_flags_in_wide_windows(spark, days):
+    rnd = random.Random(days)
+    base = dt.date(2026, 1, 1)
+    recs = [(i, rnd.randrange(3), rnd.randrange(3), base + dt.timedelta(rnd.randrange(300))) for i in range(150)]
+    watch = [(rnd.randrange(3), rnd.randrange(3), base + dt.timedelta(rnd.randrange(400)), rnd.random() < 0.5) for _ in range(25)]
+    r = spark.createDataFrame(recs, "recommendation_id long, user_id long, movie_id long, recommendation_date date")
+    w = spark.createDataFrame(watch, "user_id long, movie_id long, watch_date date, is_completed boolean")
+    flagged = conversion_flags(r, w, days)
+    assert flagged.columns == [*r.columns, "led_to_watch", "led_to_completion"]
+    got = {x.recommendation_id: (x.led_to_watch, x.led_to_completion) for x in flagged.collect()}
+    for i, u, m, d in recs:
+        hits = [c for wu, wm, wd, c in watch if (wu, wm) == (u, m) and 0 <= (wd - d).days <= days]
+        assert got[i] == (bool(hits), any(hits))
+
+
 def test_conversion_flags_match_brute_force(spark):
     rnd = random.Random(3)
     base = dt.date(2026, 1, 1)
