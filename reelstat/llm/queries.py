@@ -75,7 +75,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = lm_score.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"))
     training = docs.where(~held_out("doc_id", 10, 0))
     counts = written(lm_score.corpus_counts(training), "lm-counts")
     scorer = lm_score.fit(training, counts)

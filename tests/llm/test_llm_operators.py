@@ -201,6 +201,15 @@ def test_base_scores_equal_plain_counts(spark):
         assert all(r.train_tokens == total and math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_subwords_are_counted_as_they_are_scored(spark):
+    rows = [(1, "The cat.\nThe Cat sat\n\n ON it"), (2, None), (3, ""), (4, "End Of\tText"), (4, "End Of\tText")]
+    want = collections.Counter(x for _, t in rows for x in encode(t).tolist())
+    want[50256] = len(rows)  # the end of each text
+    docs = docs_of(spark, rows)
+    for frame in (docs, lm_score.encoded(docs.repartition(3))):
+        assert {r.key: r.c for r in lm_score.corpus_counts(frame).where("sub").collect()} == want
+
+
 def test_html_extraction(spark):
     page = ("<html><head><title>T</title><style>p{}</style></head><body><nav class='menu'><ul><li><a href=/>Home</a></li></ul></nav>"
             "<div class=\"content\"><h1>Head &amp; line</h1><p>First <b>bold</b>est paragraph of the story, long enough to be read.<p>Second\n one follows it with"
