@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as E
-from reelstat.llm import html_extract, language, lm_score, ngram_join, packing, quality, secrets, sql, token_counts, url_filter
+from reelstat.llm import attention, html_extract, language, lm_score, ngram_join, packing, quality, secrets, sql, token_counts, url_filter
 from reelstat.llm.common import held_out, smallest_hashes
 from reelstat.llm.tokens import encode
 
@@ -210,6 +210,28 @@ def test_subwords_are_counted_as_they_are_scored(spark):
         assert {r.key: r.c for r in lm_score.corpus_counts(frame).where("sub").collect()} == want
 
 
+def test_transitions_and_windows_come_from_whole_texts(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choice(["The", "cat", "sat\n", "on", "it"]) for _ in range(n))) for i, n in enumerate([0, 1, 20, 2500, 4000])] + [(9, None)]
+    sequences = [encode(t).tolist() + [50256] for _, t in rows]
+    counts = np.bincount([x for s in sequences for x in s], minlength=50257)
+    row = attention.input_rows(counts, 50256)
+    start = attention.OWN_ROWS + 1
+    want = collections.Counter(a * start + row[b] for s in sequences for a, b in zip([start, *row[s]], s))
+    drawn = []
+    for parts in (1, 4):
+        got = lm_score.context_rows(docs_of(spark, rows).repartition(parts), row, 50256, 1.0).collect()
+        pairs = collections.Counter()
+        for r in got:
+            if r.window is None:
+                pairs[r.pair] += r.c
+        assert pairs == want
+        drawn.append(sorted(r.window for r in got if r.window))
+    assert drawn[0] == drawn[1] == sorted([([-1, *s, *[-1] * 16])[a:a + 17] for s in sequences for a in attention.windows_of(len(s)).tolist()])
+    few = [r for r in lm_score.context_rows(docs_of(spark, rows), row, 50256, 0.25).collect() if r.window]
+    assert 0.15 < len(few) / len(drawn[0]) < 0.35
+
+
 def test_html_extraction(spark):
     page = ("<html><head><title>T</title><style>p{}</style></head><body><nav class='menu'><ul><li><a href=/>Home</a></li></ul></nav>"
             "<div class=\"content\"><h1>Head &amp; line</h1><p>First <b>bold</b>est paragraph of the story, long enough to be read.<p>Second\n one follows it with"
