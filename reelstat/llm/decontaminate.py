@@ -1,4 +1,4 @@
-"""Benchmark decontamination by CGK embedding and bit-sampling LSH.
+"""Benchmark decontamination by a lossless q-gram filter and exact edit verification.
 
 Texts and items are sequences of words (A-Z in lower case, ASCII punctuation
 removed). A window of a document that has an item's length matches the item if
@@ -7,12 +7,10 @@ their edit distance in words is at most ``max_error`` of the item's length.
 1. q-gram filter (loses nothing): k edits leave at least L - 2 - 3k of an
    item's L - 2 word triples, so only windows with that many triples of any item go on.
    The items whose triples a window holds are then known, and only those are tried.
-2. CGK random walk: a pointer moves on by 0 or 1 after each output, by a random
-   bit of the step and the symbol. Few edits become few differing outputs. Each
-   repetition has a walk of its own and samples ``SAMPLED`` outputs; a window
-   meets an item if all of them agree in any repetition. Repetitions follow from the recall
-   wanted at the error allowed.
-3. Exact edit verification of each such window against the item, with free ends.
+2. Exact edit verification with free ends of every stretch of such windows
+   against the item, one pass a stretch. So every match is found at any item
+   length. (Random walks before the check, as ``cgk_keys`` makes them, lose
+   edited passages the more the longer they are, and cost more than the check.)
 
 Items are a stated query set, sent to the tasks in blocks of ``block_words``
 words at most; more items mean more passes, not a larger broadcast.
@@ -20,7 +18,6 @@ words at most; more items mean more passes, not a larger broadcast.
 
 from __future__ import annotations
 
-import math
 import string
 from collections import defaultdict
 
@@ -45,15 +42,6 @@ def allowed_edits(length: int, max_error: float) -> int:
     return int(length * max_error)
 
 
-def repetitions(recall: float, max_error: float) -> int:
-    """Walks needed so that a window at the largest error meets its item with this probability.
-
-    An edit makes about two outputs of the walk differ among two outputs a word.
-    """
-    agree = (1 - 2 * max_error) ** SAMPLED
-    return math.ceil(math.log(1 - recall) / math.log(1 - agree))
-
-
 def cgk_keys(windows: np.ndarray, walks: int) -> np.ndarray:
     """Keys (windows, walks) of equally long symbol sequences: the sampled outputs of each random walk."""
     count, length = windows.shape
@@ -74,8 +62,8 @@ def cgk_keys(windows: np.ndarray, walks: int) -> np.ndarray:
     return keys
 
 
-def best_match(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
-    """(edits, start, end) of the best part of the region: least edit distance, then the earliest end, then the latest start."""
+def edit_ends(item: np.ndarray, region: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each end in the region, the least edit distance of the item to a part that ends there, and its latest start."""
     width = len(region) + 1
     cost, start = np.zeros(width, np.int64), np.arange(width)
     for i, symbol in enumerate(item):
@@ -91,6 +79,12 @@ def best_match(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
         fresh = np.concatenate([[True], slack[1:] < lowest[:-1]])
         source = np.maximum.accumulate(np.where(fresh, np.arange(width), 0))
         cost, start = lowest + np.arange(width), start[source]
+    return cost, start
+
+
+def best_match(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
+    """(edits, start, end) of the best part of the region: least edit distance, then the earliest end, then the latest start."""
+    cost, start = edit_ends(item, region)
     end = int(cost.argmin())
     return int(cost[end]), int(start[end]), end
 
@@ -98,23 +92,16 @@ def best_match(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
 class Searcher:
     """The items of one block, ready to be looked for in documents."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], max_error: float, recall: float):
+    def __init__(self, items: list[tuple[int, np.ndarray]], max_error: float):
         self.items, self.max_error = items, max_error
-        self.walks = repetitions(recall, max_error)
         self.triples = np.unique(np.concatenate([_triples(x) for _, x in items]))
         self.table = np.zeros(1 << 20, bool)
         self.table[self.triples & np.uint64((1 << 20) - 1)] = True
-        by_length = defaultdict(list)
-        for k, (_, symbols) in enumerate(items):
-            by_length[len(symbols)].append(k)
-        self.keys = {}
-        for ks in by_length.values():
-            self.keys.update(zip(ks, cgk_keys(np.stack([items[k][1] for k in ks]), self.walks)))
         self.holders = defaultdict(list)
         for k, (_, symbols) in enumerate(items):
             for triple in np.unique(_triples(symbols)).tolist():
                 self.holders[triple].append(k)
-        spans = {x: x + allowed_edits(x, max_error) - 2 for x in by_length}
+        spans = {x: x + allowed_edits(x, max_error) - 2 for x in {len(symbols) for _, symbols in items}}
         self.widest, self.narrow = max(spans.values()), min(spans.values())
         #: Cut into stretches of the narrowest window, a window with enough triples has one stretch with this many.
         self.least = min(-(-self._needed(x) // -(-spans[x] // self.narrow)) for x in spans)
@@ -148,41 +135,25 @@ class Searcher:
         for at, triple in enumerate(_triples(symbols[low:high]).tolist(), low):
             for k in self.holders.get(triple, ()):
                 places[k].append(at)
-        candidates = defaultdict(set)
+        out = []
         for k, hits in places.items():
-            length = len(self.items[k][1])
-            need, span = self._needed(length), length + allowed_edits(length, self.max_error) - 2
+            item = self.items[k][1]
+            slack = allowed_edits(len(item), self.max_error)
+            need, span = self._needed(len(item)), len(item) + slack - 2
             if len(hits) < need:
                 continue
             starts = np.arange(max(hits[0] - span, 0), hits[-1] + 1)
-            enough = np.searchsorted(hits, starts + span) - np.searchsorted(hits, starts) >= need
-            for part in np.array_split(starts[enough], int(enough.sum()) // 4096 + 1):
-                if not len(part):
-                    continue
-                at = part[:, None] + np.arange(length)
-                windows = np.where(at < len(symbols), symbols[np.minimum(at, len(symbols) - 1)], np.uint64(0))
-                keys = cgk_keys(windows, self.walks)
-                met = (keys == self.keys[k]).any(axis=1)
-                candidates[k].update(part[met].tolist())
-        out = []
-        for k, where in candidates.items():
-            item = self.items[k][1]
-            slack, found = allowed_edits(len(item), self.max_error), []
-            done = -1
-            for start in sorted(where):
-                if start < done:
-                    continue
-                low = max(start - slack, 0)
-                edits, a, b = best_match(item, symbols[low:start + len(item) + 2 * slack])
-                if edits <= slack:
-                    found.append((edits, low + a, low + b))
-                    done = low + b - slack if edits else low + b
-                else:
-                    done = start + slack + 1  # the region held every match that starts before
-            taken = []
-            for edits, a, b in sorted(found):
-                if all(b <= x or a >= y for x, y in taken):
-                    taken.append((a, b))
+            starts = starts[np.searchsorted(hits, starts + span) - np.searchsorted(hits, starts) >= need]
+            found = []
+            for part in np.split(starts, np.flatnonzero(np.diff(starts) > len(item) + slack) + 1) if len(starts) else ():
+                first = int(part[0])  # every match that starts in this stretch ends in the region
+                cost, begin = edit_ends(item, symbols[first:int(part[-1]) + len(item) + slack])
+                ends = np.flatnonzero(cost <= slack)
+                found += zip(cost[ends].tolist(), (first + begin[ends]).tolist(), (first + ends).tolist())
+            taken = np.zeros(len(symbols), bool)
+            for edits, b, a in sorted((e, b, a) for e, a, b in found):
+                if not taken[a:b].any():
+                    taken[a:b] = True
                     out.append((k, a, b, edits))
         return out
 
@@ -195,7 +166,7 @@ def _triples(symbols: np.ndarray) -> np.ndarray:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-               item_text: str = "text", max_error: float = 0.2, recall: float = 0.99, min_words: int = 8,
+               item_text: str = "text", max_error: float = 0.2, min_words: int = 8,
                block_words: int = 2_000_000) -> DataFrame:
     """One row per match: doc_id, item_id, start_word, end_word (exclusive), edits, similarity (1 - edits / item words).
 
@@ -207,7 +178,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     result = spark.createDataFrame([], SCHEMA)
     for block in _blocks(benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")), min_words, block_words):
-        result = result.unionByName(rows.mapInArrow(_searching(block, max_error, recall), SCHEMA))
+        result = result.unionByName(rows.mapInArrow(_searching(block, max_error), SCHEMA))
     return result
 
 
@@ -225,9 +196,9 @@ def _blocks(benchmark: DataFrame, min_words: int, block_words: int):
         yield held
 
 
-def _searching(items: list, max_error: float, recall: float):
+def _searching(items: list, max_error: float):
     def run(batches):
-        searcher = Searcher(items, max_error, recall)
+        searcher = Searcher(items, max_error)
         for batch in batches:
             ids, found = batch.column(0).to_pylist(), []
             for start, _, texts in text_blocks(batch, "text"):

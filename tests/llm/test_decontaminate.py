@@ -72,6 +72,28 @@ def test_recall_of_edited_passages(spark):
     assert (None, 0) in found and sum(r.doc_id == 7 and r.item_id == 3 for r in rows) == 2
 
 
+def test_long_passages_with_all_allowed_edits_are_found(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=length))) for i, length in enumerate([60, 90, 120, 200, 300, 400])]
+    docs = []
+    for d in range(60):
+        passage = items[d % 6][1].split()
+        words = rng.choices(vocabulary, k=rng.randint(0, 300))
+        at = rng.randint(0, len(words))
+        words[at:at] = _edited(rng, passage, D.allowed_edits(len(passage), 0.2))
+        docs.append((d, " ".join(words)))
+    docs.append((60, " ".join([items[0][1], " ".join(_edited(rng, items[0][1].split(), 12)), items[0][1]])))
+    rows = D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in rows if r.doc_id < 60} == {(d, d % 6) for d in range(60)}
+    for r in rows:
+        words, item = docs[r.doc_id][1].split(), items[r.item_id][1].split()
+        assert plain_best(item, words[r.start_word:r.end_word]) == r.edits <= D.allowed_edits(len(item), 0.2)
+        if r.doc_id < 60:
+            assert r.edits == plain_best(item, words)
+    assert len([r for r in rows if r.doc_id == 60]) == 3
+
+
 def test_item_blocks_give_the_same_rows(spark):
     rng = random.Random(3)
     items = [(i, " ".join(f"v{rng.randint(0, 50)}" for _ in range(20))) for i in range(12)]
