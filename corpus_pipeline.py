@@ -11,10 +11,10 @@ from reelstat.llm.queries import ship_package
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents whose language is undetermined."""
+    """Drops the documents whose language is undetermined: without a letter, or far from every learned language."""
     ship_package(spark)
     samples = language.training_texts(docs.where(~held_out("doc_id", 3, 1)))
-    found = language.identify(docs, samples)
+    found = language.identify(docs, samples, max_bits=7.0)
     return found.where(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
 
 

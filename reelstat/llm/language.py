@@ -18,6 +18,7 @@ columns choose training rows only and are never read for a prediction.
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -148,15 +149,16 @@ def phrase_counts(texts: list[np.ndarray], code: np.ndarray, automata: list[np.n
     return out
 
 
-def identify(docs: DataFrame, samples: dict[str, bytes], text: str = "text", max_bits: float = 7.0,
+def identify(docs: DataFrame, samples: dict[str, bytes], text: str = "text", max_bits: float = math.inf,
              min_bytes: int = 32) -> DataFrame:
     """The rows with ``lang_pred``, ``lang_score`` (0 to 1) and ``lang_bits`` (per byte)
     in front of all columns of ``docs``.
 
     The score is the share of the winner's likelihood 2^-bits among all
-    languages. A text that costs more than ``max_bits`` a byte in every
-    language (unknown scripts, random strings) is ``und`` too, unless it is
-    shorter than ``min_bytes``; prose of a learned language costs 2 to 4. New columns take the place of equally named ones.
+    languages, the best learned one for every text with a letter. With a
+    finite ``max_bits``, a text that costs more a byte in every language
+    (unknown scripts, random strings) is ``und`` too, unless it is shorter than
+    ``min_bytes``; prose of a learned language costs 2 to 4. New columns take the place of equally named ones.
     """
     new = ["lang_pred", "lang_score", "lang_bits"]
     rest = [c for c in docs.columns if c not in new]

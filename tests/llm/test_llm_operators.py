@@ -168,6 +168,15 @@ def test_language_on_held_out_documents(spark):
     assert [(r.lang_pred, r.lang_score) for r in odd] == [("und", 0.0)] * 3
 
 
+def test_every_text_with_a_letter_gets_a_learned_language(spark):
+    samples = language.training_texts(spark.read.parquet(f"{SF}/documents.parquet"))
+    odd = ["Это предложение написано по-русски, его букв нет в образцах.", "Αυτή η πρόταση είναι γραμμένη στα ελληνικά και μόνο", "漢字" * 30, "🙂🙃" * 40 + " a", "xqzjkvw" * 9]
+    rows = language.identify(docs_of(spark, list(enumerate(odd))), samples).collect()
+    assert all(r.lang_pred in samples and 0 < r.lang_score <= 1 for r in rows)
+    bounded = language.identify(docs_of(spark, list(enumerate(odd))), samples, max_bits=7.0).collect()
+    assert bounded[0].lang_pred == "und" and bounded[0].lang_score == 0
+
+
 def test_phrase_counts_equal_greedy_parsing():
     sample, text = b"the cat sat on the mat and ran", b"the mat ran on catx and then"
     code = np.zeros(256, np.uint8)
