@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.llm.common import int_arrays, text_blocks
-from reelstat.llm.tokens import VOCABULARY, encode
+from reelstat.llm.tokens import VOCABULARY, encode_added
 
 END_ID = 1
 CLASSES = 32
@@ -119,7 +119,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity:
             ids = batch.column(0).to_pylist()
             for start, _, texts in text_blocks(batch, "text"):
                 for k, t in enumerate(texts):
-                    rows += packer.add(ids[start + k], np.append(encode(t, vocabulary), np.uint32(END_ID)))
+                    rows += packer.add(ids[start + k], np.append(encode_added(t, vocabulary), np.uint32(END_ID)))
                 if rows:
                     yield table_of(rows)
                     rows = []

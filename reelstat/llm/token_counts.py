@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelstat.llm.common import text_blocks
-from reelstat.llm.tokens import VOCABULARY, encode
+from reelstat.llm.tokens import VOCABULARY, encode_added
 
 RANGE = 256
 
@@ -25,7 +25,7 @@ def token_lengths(docs: DataFrame, text: str = "text", vocabulary: str = VOCABUL
 
     def run(batches):
         for batch in batches:
-            lengths = [len(encode(t, vocabulary)) for _, _, texts in text_blocks(batch, "text") for t in texts]
+            lengths = [len(encode_added(t, vocabulary)) for _, _, texts in text_blocks(batch, "text") for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(np.array(lengths, np.int64))], ["n_tokens"])
 
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "n_tokens long")

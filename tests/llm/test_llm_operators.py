@@ -136,6 +136,23 @@ def test_vocabularies_agree():
         assert encode(t).tolist() == reference.encode(t, add_special_tokens=False).ids
 
 
+def test_counts_and_pieces_have_the_ids_of_the_tokenizers_file(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(14)
+    parts = ["<|endoftext|>", "<|endoftext|", "a", " b", "  ", "\n\n", "it's", "é漢 ", "12", "\t"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", *("".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(300))]
+    wanted = [reference.encode(t, add_special_tokens=False).ids for t in texts]
+    docs = docs_of(spark, list(enumerate(texts)))
+    assert wanted[0] == [64, 220, 50256, 275]
+    pieces = collections.defaultdict(list)
+    for r in sorted(packing.pack(docs).collect(), key=lambda r: r.start):
+        pieces[r.doc_id] += r.ids
+    assert [pieces[i] for i in range(len(texts))] == [ids + [packing.END_ID] for ids in wanted]
+    assert {r.n_tokens: r.n_docs for r in token_counts.length_histogram(docs).collect()} == collections.Counter(map(len, wanted))
+
+
 def test_token_histogram(spark):
     rows = random_docs(8)
     lengths = sorted(len(encode(t)) for _, t in rows)
