@@ -1,11 +1,13 @@
 """Secret scans: fixed patterns, and a token-efficiency test for random strings.
 
 A vocabulary learnt from ordinary text spends few tokens on words and many on
-random characters. A run of 20 or more key characters that mixes letters and
-digits and yields fewer than ``max_ratio`` characters a token is reported as
-``random``, unless it has the form of a known digest, a UUID or an identifier
-(words joined by separators, with a number at the end), or lies inside a span
-that a pattern has found.
+random characters. A run of 20 or more key characters, with a letter, that
+yields fewer than ``max_ratio`` characters a token is reported as ``random``,
+unless it has the form of a known digest, a UUID or an identifier (words joined
+by separators, with a number at the end, words by the same ratio), or lies
+inside a span that a pattern has found. Of any other run, the stretches between
+``= / _ -`` are judged as well: each run of adjoining stretches of 20 or more
+characters that falls furthest below the ratio, separators not counted.
 """
 
 from __future__ import annotations
@@ -26,13 +28,63 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 KINDS = ["assign", "access", "hex", "random"]
 
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20
+_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}")
+_STRETCH = re.compile(r"[A-Za-z0-9+]+")
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 _DIGEST_LENGTHS = {32, 40, 48, 56, 64, 96, 128}
-_UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+_UUID = re.compile(r"(?<![A-Za-z0-9+])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9+])")
 _IDENTIFIER = re.compile(r"[+/_=-]*(?:[A-Za-z]+[+/_=-]+)*[A-Za-z]+[+/_=-]*[0-9]{0,8}[/=]*")
 
 
+def _tokens(s: str, vocabulary: str) -> int:
+    return len(encoding(vocabulary).encode_ordinary(s))
+
+
+def _known_form(s: str) -> bool:
+    return bool(_UUID.fullmatch(s) or (len(s) in _DIGEST_LENGTHS and _DIGEST.fullmatch(s)))
+
+
+def _named(s: str, vocabulary: str, max_ratio: float) -> bool:
+    """Whether a run has the form of an identifier of words; words under four letters tell nothing."""
+    if not _IDENTIFIER.fullmatch(s):
+        return False
+    words = re.findall(r"[A-Za-z]{4,}", s)
+    return sum(map(len, words)) < LEAST or sum(map(len, words)) >= max_ratio * sum(_tokens(w, vocabulary) for w in words)
+
+
+def _random_parts(s: str, vocabulary: str, max_ratio: float) -> list[tuple[int, int]]:
+    """Runs of adjoining stretches with the most tokens beyond ``max_ratio``, from the best on, none overlapping."""
+    known = [m.span() for m in _UUID.finditer(s)]
+    stretches, groups = [], []
+    for m in _STRETCH.finditer(s):
+        if any(a <= m.start() and m.end() <= b for a, b in known) or _known_form(m[0]):
+            groups.append(stretches)
+            stretches = []
+        else:
+            stretches.append((*m.span(), max_ratio * _tokens(m[0], vocabulary) - len(m[0])))
+    groups.append(stretches)
+    out = []
+    while groups:
+        group = groups.pop()
+        best, total, sums, first, least = (0.0, 0, 0), 0.0, [], 0, (0.0, 0)
+        for j, (_, end, gain) in enumerate(group):
+            sums.append(total)
+            total += gain
+            while first <= j and group[first][0] <= end - LEAST:
+                least = min(least, (sums[first], first)) if first else (sums[0], 0)
+                first += 1
+            if first and total - least[0] > best[0]:
+                best = (total - least[0], least[1], j + 1)
+        if best[0] > 0:
+            _, i, j = best
+            span = group[i][0], group[j - 1][1]
+            if any(map(str.isalpha, s[span[0]:span[1]])) and not _named(s[span[0]:span[1]], vocabulary, max_ratio):
+                out.append(span)
+            groups += [group[:i], group[j:]]
+    return out
+
+
 def find_spans(text: str | None, vocabulary: str = VOCABULARY, max_ratio: float = 2.0) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start and then kind as listed; none for a null or empty text."""
     if not text:
@@ -42,12 +94,13 @@ def find_spans(text: str | None, vocabulary: str = VOCABULARY, max_ratio: float
     spans += [("hex", *m.span()) for m in HEX.finditer(text)]
     found = list(spans)
     for m in _CANDIDATE.finditer(text):
-        s = m[0]
-        if (_IDENTIFIER.fullmatch(s) or _UUID.fullmatch(s) or (len(s) in _DIGEST_LENGTHS and _DIGEST.fullmatch(s))
-                or any(a <= m.start() and m.end() <= b for _, a, b in spans)):
+        s, at = m[0], m.start()
+        if any(a <= at and m.end() <= b for _, a, b in spans) or _known_form(s):
             continue
-        if len(s) < max_ratio * len(encoding(vocabulary).encode_ordinary(s)):
-            found.append(("random", *m.span()))
+        whole = len(s) < max_ratio * _tokens(s, vocabulary) and not _named(s, vocabulary, max_ratio)
+        for a, b in [(0, len(s))] if whole else _random_parts(s, vocabulary, max_ratio):
+            if not any(x <= at + a and at + b <= y for _, x, y in spans):
+                found.append(("random", at + a, at + b))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 

@@ -176,6 +176,20 @@ def test_secret_spans(spark):
     assert rows[0].redacted_text.count("[SECRET]") == 4 and rows[1].redacted_text is None and rows[3].secret_spans == rows[0].secret_spans
 
 
+@pytest.mark.parametrize("alphabet", ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"])
+def test_random_strings_are_found_next_to_words(alphabet):
+    rng = random.Random(15)
+    for before in ["", "authorization_header=", "com/downloads/public/files/", "/services/webhook/", "a/very/long/path/of/ordinary/words/until/the/key/"]:
+        for _ in range(60):
+            key = "".join(rng.choices(alphabet, k=24))
+            spans = secrets.find_spans(f"see {before}{key}/index end")
+            at = len("see " + before)
+            assert any(kind == "random" and a <= at and at + 24 <= b for kind, a, b in spans), (before, key)
+    for harmless in ["Donaudampfschifffahrtsgesellschaft", "some/plain/path/to/documentation/pages", "internationalization_settings_file", "x=====================",
+                     "some_words_123e4567-e89b-12d3-a456-426614174000_more_words_of_text_here"]:
+        assert not secrets.find_spans(f"see {harmless} end"), harmless
+
+
 def test_language_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     samples = language.training_texts(docs.where(~held_out("doc_id", 3, 1)))
