@@ -10,7 +10,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import decontaminate, html_extract, language, lm_score, ngram_join, packing, quality, secrets, token_counts, url_filter
+from reelstat.llm import decontaminate, html_extract, language, lm_score, ngram_join, packing, prefix_trie, quality, secrets, token_counts, url_filter
 from reelstat.llm.common import bound_batches, held_out, table, written
 
 
@@ -91,12 +91,20 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = written(prefix_trie.conversation_paths(table(spark, sf_dir, "conversations")), "trie-turns")
+    conv_id = F.col("conv_id")
+    shared = prefix_trie.share_heads(paths, conv_id - conv_id % 20, F.crc32(conv_id.cast("string").cast("binary")) % 4, most=3)
+    return prefix_trie.trie_nodes(shared)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
 
 def queries() -> dict:
-    named = [op1_url_filter, op2_quality_rules, op3_html_extract, op4_token_counts, op5_language, op6_packing, op7_decontaminate, op8_lm_scores, op9_secrets, op10_ngram_join, pipeline]
+    named = [op1_url_filter, op2_quality_rules, op3_html_extract, op4_token_counts, op5_language, op6_packing, op7_decontaminate, op8_lm_scores, op9_secrets, op10_ngram_join,
+             op12_prefix_trie, pipeline]
     return {f.__name__: _shipped(f) for f in named}
 
 

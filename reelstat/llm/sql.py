@@ -45,7 +45,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM m
 """
 
-QUERIES: dict[str, str] = {"op1_url_filter": OP1, "op2_quality_rules": OP2}
+# The CRC-32 of the decimal conversation id: eight shifts a byte under the polynomial 0xEDB88320.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+OP12 = rf"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+turns AS (
+  SELECT ids.conv_id, 0 AS part, b.i, b.role, b.text FROM ids JOIN own b ON b.conv_id = ids.conv_id - ids.conv_id % 20 AND b.i <= h
+  UNION ALL
+  SELECT ids.conv_id, 1, o.i, o.role, o.text FROM ids JOIN own o ON o.conv_id = ids.conv_id AND o.i > h),
+placed AS (
+  SELECT conv_id, row_number() OVER w AS depth, len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
+         list(length(role)::VARCHAR || ':' || role || text) OVER w AS path
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, i ROWS UNBOUNDED PRECEDING)),
+member AS (
+  SELECT conv_id, depth, words, sha256(array_to_string(list_transform(path, lambda x: sha256(x)), '')) AS node FROM placed
+  UNION ALL SELECT conv_id, 0, 0, 'root' FROM ids),
+held AS (SELECT *, max(depth) OVER (PARTITION BY conv_id) = depth AS ends FROM member),
+nodes AS (
+  SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(words) AS words,
+         bool_and(ends) AS leaf, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM held GROUP BY node),
+-- a node's ancestors lie on the path of its smallest member
+above AS (
+  SELECT n.node, m.node AS ancestor, m.depth = n.depth - 1 AS direct
+  FROM nodes n JOIN member m ON m.conv_id = n.conv_id AND m.depth <= n.depth),
+subtree AS (
+  SELECT ancestor AS node, count(*) FILTER (direct) AS n_children, count(*) FILTER (leaf) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+  FROM above JOIN nodes USING (node) GROUP BY ancestor)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, s.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN subtree s USING (node) LEFT JOIN above a ON a.node = n.node AND a.direct LEFT JOIN nodes p ON p.node = a.ancestor
+"""
+
+
+QUERIES: dict[str, str] = {"op1_url_filter": OP1, "op2_quality_rules": OP2, "op12_prefix_trie": OP12}
 
 
 def oracle_sql() -> dict[str, str]:
