@@ -121,6 +121,12 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Removes a written intermediate table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def smallest_hashes(df: DataFrame, column: str, size: int) -> list[str]:
     """The ``size`` different non-null texts of the smallest hashes, in their order; all if there are fewer.
 

@@ -10,7 +10,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import decontaminate, html_extract, language, lm_score, ngram_join, packing, prefix_trie, quality, secrets, token_counts, url_filter
+from reelstat.llm import collocations, decontaminate, html_extract, language, lm_score, ngram_join, packing, prefix_trie, quality, secrets, token_counts, url_filter
 from reelstat.llm.common import bound_batches, held_out, table, written
 
 
@@ -98,13 +98,17 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_nodes(shared)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_collocations(table(spark, sf_dir, "documents"), most=2_000, least=30)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
 
 def queries() -> dict:
     named = [op1_url_filter, op2_quality_rules, op3_html_extract, op4_token_counts, op5_language, op6_packing, op7_decontaminate, op8_lm_scores, op9_secrets, op10_ngram_join,
-             op12_prefix_trie, pipeline]
+             op12_prefix_trie, op13_collocations, pipeline]
     return {f.__name__: _shipped(f) for f in named}
 
 

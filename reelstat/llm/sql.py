@@ -83,7 +83,35 @@ FROM nodes n JOIN subtree s USING (node) LEFT JOIN above a ON a.node = n.node AN
 """
 
 
-QUERIES: dict[str, str] = {"op1_url_filter": OP1, "op2_quality_rules": OP2, "op12_prefix_trie": OP12}
+OP13 = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+           FROM documents WHERE text IS NOT NULL),
+piece AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+ws AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM piece),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM ws GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM ws, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS c FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+inner_phrase AS (
+  SELECT lang, a, unnest(list_transform(range(1, k - j + 2), lambda i: array_to_string(w[i:i + j - 1], ' '))) AS phrase
+  FROM cand, (SELECT unnest([2, 3]) AS j) WHERE j < k),
+longer AS (SELECT lang, phrase, max(a) AS b FROM inner_phrase GROUP BY ALL),
+free AS (SELECT cand.* FROM cand LEFT JOIN longer USING (lang, phrase) WHERE b IS NULL OR 100 * b < 80 * a),
+cut AS (
+  SELECT lang, phrase, a, x, array_to_string(w[1:x], ' ') AS lp, array_to_string(w[x + 1:k], ' ') AS rp
+  FROM free, (SELECT unnest([1, 2, 3]) AS x) WHERE x < k),
+s AS (
+  SELECT cut.lang, cut.phrase, a, x, fl.c AS l, fr.c AS r, (2000000 * a) // (fl.c + fr.c) AS score
+  FROM cut JOIN f fl ON fl.lang = cut.lang AND fl.phrase = lp JOIN f fr ON fr.lang = cut.lang AND fr.phrase = rp),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, x) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+QUERIES: dict[str, str] = {"op1_url_filter": OP1, "op2_quality_rules": OP2, "op12_prefix_trie": OP12, "op13_collocations": OP13}
 
 
 def oracle_sql() -> dict[str, str]:
