@@ -10,7 +10,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import collocations, decontaminate, html_extract, language, lm_score, ngram_join, packing, prefix_trie, quality, secrets, token_counts, url_filter
+from reelstat.llm import collocations, decontaminate, html_extract, language, lm_score, ngram_join, packing, prefix_trie, quality, quality_classifier, secrets, token_counts, url_filter
 from reelstat.llm.common import bound_batches, held_out, table, written
 
 
@@ -91,6 +91,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outside = held_out("doc_id", 3, 1)
+    return quality_classifier.quality_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), ~outside, keep={"held_out": outside})
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = written(prefix_trie.conversation_paths(table(spark, sf_dir, "conversations")), "trie-turns")
     conv_id = F.col("conv_id")
@@ -108,7 +113,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     named = [op1_url_filter, op2_quality_rules, op3_html_extract, op4_token_counts, op5_language, op6_packing, op7_decontaminate, op8_lm_scores, op9_secrets, op10_ngram_join,
-             op12_prefix_trie, op13_collocations, pipeline]
+             op11_quality_classifier, op12_prefix_trie, op13_collocations, pipeline]
     return {f.__name__: _shipped(f) for f in named}
 
 
