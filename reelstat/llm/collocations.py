@@ -15,8 +15,9 @@ at the end, so the map's size changes the work and never the result. The map
 (``SLOTS`` bytes) is the only thing that is broadcast, newly reached slots (a
 bit for each) the only thing that comes to the driver.
 
-Counting a task's block is exact too: phrases are told apart by the positions of
-their words in the block's list of words, and meet in Spark by their text.
+While they are counted, phrases are known by 128-bit hashes of their words and
+language, made in numpy from the bytes of a block. A last scan gives the texts of
+the frequent ones; a hash that stood for two texts would raise an error there.
 
 Edge cases: a null text is empty, a null language is ``und``; repeated rows count
 again; a text longer than a block is counted piece by piece; without a phrase that
@@ -25,7 +26,7 @@ is frequent enough the result is empty; other columns are not read.
 
 from __future__ import annotations
 
-from itertools import chain
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -41,96 +42,191 @@ SLOTS = 1 << 24
 SHARDS = 4
 #: Words of the longest phrase.
 LONGEST = 4
-#: A block's pieces are counted in runs of about so many words.
-RUN_WORDS = 500_000
+#: Words that a task gathers before it counts their phrases.
+RUN_WORDS = 2_000_000
 _NEVER = 255
-_ENDS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d", b"\n" * 10)
-
-
-def runs_of_pieces(texts: list):
-    """(words, piece sizes) in runs of about ``RUN_WORDS`` words; a text's end is a piece's end."""
-    joined = b"\n".join(t.encode("utf-8", "surrogatepass") for t in texts if t).lower().translate(_ENDS)
-    held, size = [], 0
-    for piece in joined.split(b"\n"):
-        held.append(piece.split())
-        size += len(held[-1])
-        if size >= RUN_WORDS:
-            yield list(chain.from_iterable(held)), np.fromiter(map(len, held), np.int64, len(held))
-            held, size = [], 0
-    if size:
-        yield list(chain.from_iterable(held)), np.fromiter(map(len, held), np.int64, len(held))
-
-
-def phrase_counts(lang: str, words: list[bytes], sizes: np.ndarray, reached: np.ndarray, scan: int, shards: int):
-    """(length, phrases, slots, scans at which they joined, counts) of the phrases that this scan counts, by length;
-    length 0 is the empty phrase, which stands for all words."""
-    ids, known = pd.factorize(np.array(words, object))
-    ids = ids.astype(np.int64)
-    seed = hashes([lang.encode()])
-    word = (hashes(list(known)) ^ mix(seed + np.uint64(1)))[ids]
-    piece = np.repeat(np.arange(len(sizes)), sizes)
-    bits = np.uint64(64 - (len(reached).bit_length() - 1))
-    if scan < shards:
-        yield 0, [b""], np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([len(words)])
-    state = mix(word)
-    since = np.zeros(len(words), np.int64)  # words join at the first scan
-    for length in range(1, LONGEST + 1):
+#: What a byte is: 0 part of a word, 1 a gap between words, 2 the end of a piece.
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(b" \t")] = 1
+_KIND[list(b".,;:!?\x0a\x0b\x0c\x0d")] = 2
+#: Two odd bases of polynomial hashes modulo 2^64, and a random number for each byte (A-Z as a-z).
+_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
+_BYTES = np.random.default_rng(20).integers(1, 2 ** 63, (2, 256), np.uint64)
+_BYTES[:, 65:91] = _BYTES[:, 97:123]
+#: Bytes whose powers of the bases are kept; longer blocks are cut at the end of a piece where there is one.
+_PART = 1 << 20
+
+
+def _powers(base: np.uint64) -> np.ndarray:
+    return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(_PART, base))])
+
+
+_POWERS = tuple(map(_powers, _BASES))
+_INVERSES = tuple(_powers(np.uint64(pow(int(b), -1, 2 ** 64))) for b in _BASES)
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(128-bit hashes as two rows, piece of each word, starts, ends) of the words of a text."""
+    codes = np.frombuffer(data, np.uint8)
+    kind = _KIND[codes]
+    inside = np.concatenate([[False], kind == 0, [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    piece = np.concatenate([[0], np.cumsum(kind == 2)])[starts]
+    found = np.zeros((2, len(starts)), np.uint64)
+    longest = int((ends - starts).max(initial=0))
+    for row, (powers, inverses, table, base) in enumerate(zip(_POWERS, _INVERSES, _BYTES, _BASES, strict=True)):
+        for at in range(0, len(codes), _PART):  # a word's hash is its last byte's sum less that before its first, moved to power 0
+            part = codes[at:at + _PART]
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table[part] * powers[:len(part)])])
+            low, high = np.searchsorted(ends, at, "right"), np.searchsorted(starts, at + len(part))
+            if low == high:
+                continue
+            first, last = np.maximum(starts[low:high] - at, 0), np.minimum(ends[low:high] - at, len(part))
+            here = (sums[last] - sums[first]) * inverses[first]
+            before = at + first - starts[low:high]  # bytes of the word in earlier parts
+            if longest < _PART:
+                found[row, low:high] += here * powers[before]
+            else:
+                found[row, low:high] += here * np.array([np.uint64(pow(int(base), int(n), 2 ** 64)) for n in before], np.uint64)
+        found[row] = mix(found[row] ^ mix((ends - starts).astype(np.uint64)))
+    return found, piece, starts, ends
+
+
+class _Run:
+    """The words of some texts of one language; ``texts`` keeps their bytes where phrases are to be written out."""
+
+    def __init__(self, lang: str, texts: bool = False):
+        self.lang, self.texts, self.held, self.size, self.pieces = lang, [] if texts else None, [], 0, 0
+
+    def add(self, texts: list) -> None:
+        data = b"\n".join(t.encode("utf-8", "surrogatepass") for t in texts if t)
+        found, piece, starts, ends = word_hashes(data)
+        self.held.append((found, piece + self.pieces, starts, ends, np.full(len(starts) if self.texts is not None else 0, len(self.held))))
+        self.size += len(starts)
+        self.pieces += int(piece[-1]) + 1 if len(piece) else 1
+        if self.texts is not None:
+            self.texts.append(data)
+
+    def phrases(self):
+        """(length, hashes in two rows, same piece, start) by length; hashes of length 0 stand for all words of the language."""
+        found = np.concatenate([h[0] for h in self.held], axis=1)
+        piece = np.concatenate([h[1] for h in self.held])
+        seed = hashes([self.lang.encode() + b"|%d" % i for i in range(2)])[:, None]
+        yield 0, seed, np.ones(1, bool)
+        word = mix(found ^ seed)
+        state = word
+        for length in range(1, min(LONGEST, len(piece)) + 1):
+            if length > 1:
+                state = mix(state[:, :-1] * _BASES[1] + word[:, length - 1:])
+            yield length, state, piece[:state.shape[1]] == piece[length - 1:]
+
+    @cached_property
+    def _places(self) -> tuple:
+        return tuple(np.concatenate([h[i] for h in self.held]) for i in (4, 2, 3))
+
+    def text(self, position: int, length: int) -> str:
+        of, starts, ends = self._places
+        data = self.texts[of[position]]
+        return b" ".join(data[starts[p]:ends[p]].lower() for p in range(position, position + length)).decode("utf-8", "surrogatepass")
+
+
+def slots_of(state: np.ndarray, slots: int) -> np.ndarray:
+    return (state >> np.uint64(64 - (slots.bit_length() - 1))).astype(np.int64)
+
+
+def _grouped(state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first place, number) of each different column of two rows of hashes."""
+    code, _ = pd.factorize(state[0])
+    first = np.zeros(int(code.max(initial=-1)) + 1, np.int64)
+    first[code[::-1]] = np.arange(len(code))[::-1]
+    if (state[1][first[code]] != state[1]).any():  # one half of a hash is not enough here
+        _, first, code = np.unique(state, axis=1, return_index=True, return_inverse=True)
+    return first, np.bincount(code.ravel(), minlength=len(first))
+
+
+def phrase_counts(run: _Run, reached: np.ndarray, scan: int, shards: int):
+    """(length, hashes, scans at which they joined, counts) of the phrases that this scan counts, by length."""
+    slots = None
+    for length, state, whole in run.phrases():
         if length > 1:
-            if len(words) < length:
-                return
             before = reached[slots].astype(np.int64)
             since = np.maximum(before[:-1], before[1:])
-            state = mix(state[:-1] * np.uint64(0x9E3779B97F4A7C15) + word[length - 1:])
-        slots = (state >> bits).astype(np.int64)
-        at = np.flatnonzero((since <= scan) & (scan < since + shards) & (piece[:len(slots)] == piece[length - 1:]))
+        else:
+            since = np.zeros(state.shape[1], np.int64)  # words join at the first scan
+        slots = slots_of(state[0], len(reached))
+        at = np.flatnonzero(whole & (since <= scan) & (scan < since + shards))
         if not len(at):
             continue
-        code = ids[at]
-        for k in range(1, length):
-            code = pd.factorize(code * len(known) + ids[at + k])[0]
-        first = np.full(code.max() + 1, -1)
-        first[code[::-1]] = at[::-1]
-        counts = np.bincount(code)
-        used = np.flatnonzero(counts)
-        first = first[used]
-        phrases = [b" ".join(words[p:p + length]) for p in first.tolist()]
-        yield length, phrases, slots[first], since[first], counts[used]
+        first, counts = _grouped(state[:, at])
+        if not length:
+            counts = np.array([run.size])
+        yield length, state[:, at[first]], since[at[first]], counts
+
+
+def _runs(batches, texts: bool = False):
+    """Runs of words of one language each, of about ``RUN_WORDS`` words."""
+    held: dict[str, _Run] = {}
+    words = 0
+    for batch in batches:
+        for start, stop, block in text_blocks(batch, "text"):
+            by_lang: dict[str, list] = {}
+            for lang, text in zip(batch.column(0).slice(start, stop - start).to_pylist(), block, strict=True):
+                by_lang.setdefault(lang, []).append(text)
+            for lang, group in by_lang.items():
+                run = held.setdefault(lang, _Run(lang, texts))
+                words -= run.size
+                run.add(group)
+                words += run.size
+            if words >= RUN_WORDS:
+                yield from (r for r in held.values() if r.size)
+                held, words = {}, 0
+    yield from (r for r in held.values() if r.size)
 
 
 def _scanned(docs: DataFrame, reached, scan: int, shards: int) -> DataFrame:
-    """(lang, length, phrase, slot, since, c) of a shard, for the phrases that the scan counts."""
+    """(a, b, length, since, c) of a shard, for the phrases that the scan counts; a and b: halves of their hash."""
+
+    def run(batches):
+        for words in _runs(batches):
+            for length, state, since, counts in phrase_counts(words, reached.value, scan, shards):
+                n = len(counts)
+                for i in range(0, n, 200_000):
+                    cut = slice(i, i + 200_000)
+                    m = len(counts[cut])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(state[0, cut].view(np.int64)), pa.array(state[1, cut].view(np.int64)), pa.array(np.full(m, length, np.int32)),
+                         pa.array(since[cut].astype(np.int32)), pa.array(counts[cut].astype(np.int64))], ["a", "b", "length", "since", "c"])
+
+    return docs.select("lang", "text").mapInArrow(run, "a long, b long, length int, since int, c long")
+
+
+def _written_out(docs: DataFrame, frequent) -> DataFrame:
+    """(a, b, lang, phrase) of the phrases whose slots are marked as frequent, in the order of no rows in particular."""
 
     def run(batches):
-        for batch in batches:
-            langs = batch.column(0)
-            for start, stop, texts in text_blocks(batch, "text"):
-                by_lang: dict[str, list] = {}
-                for lang, text in zip(langs.slice(start, stop - start).to_pylist(), texts, strict=True):
-                    by_lang.setdefault(lang, []).append(text)
-                for lang, group in by_lang.items():
-                    for words, sizes in runs_of_pieces(group):
-                        for length, phrases, slots, since, counts in phrase_counts(lang, words, sizes, reached.value, scan, shards):
-                            n = len(phrases)
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array([lang] * n, pa.string()), pa.array(np.full(n, length, np.int32)), pa.array(phrases, pa.binary()).cast(pa.string()),
-                                 pa.array(slots.astype(np.int32)), pa.array(since.astype(np.int32)), pa.array(counts.astype(np.int64))],
-                                ["lang", "length", "phrase", "slot", "since", "c"])
-
-    return docs.select("lang", "text").mapInArrow(run, "lang string, length int, phrase string, slot int, since int, c long")
-
-
-def _reached(counted: DataFrame, least: int) -> np.ndarray:
-    """Slots of the phrases that have reached the threshold; a bitmap, 4 KB for 32,768 slots at most."""
-    place = F.col("slot").cast("long") + 1
-    rows = (counted.where((F.col("c") >= least) & F.col("length").between(1, LONGEST - 1)).groupBy(F.bitmap_bucket_number(place).alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
+        for words in _runs(batches, texts=True):
+            for length, state, whole in words.phrases():
+                at = np.flatnonzero(whole & frequent.value[slots_of(state[0], len(frequent.value))])
+                first = at[_grouped(state[:, at])[0]] if len(at) else at
+                texts = [words.text(p, length) for p in first.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(state[0, first].view(np.int64)), pa.array(state[1, first].view(np.int64)),
+                                                  pa.array([words.lang] * len(first), pa.string()), pa.array(texts, pa.string())], ["a", "b", "lang", "phrase"])
+
+    return docs.select("lang", "text").mapInArrow(run, "a long, b long, lang string, phrase string")
+
+
+def _marked(counted: DataFrame, slots: int) -> np.ndarray:
+    """Slots of the phrases, ascending; a bitmap, 4 KB for 32,768 slots at most."""
+    place = F.shiftrightunsigned("a", 64 - (slots.bit_length() - 1)) + 1
+    rows = counted.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
     found = [np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")) + (r["bucket"] - 1) * 32_768 for r in rows]
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30, lang: str = "lang", text: str = "text", shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
     """(lang, length, phrase, c): the phrases of 1 to ``LONGEST`` words that occur ``least`` times or more, by language,
-    and for each language the empty phrase (length 0) with the number of all its words."""
+    and for each language the empty phrase (length 0) with the number of all its words. ``slots``: a power of 2."""
     spark = docs.sparkSession
     folder = shared_folder(spark, "phrase-shards")
     (docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"),
@@ -143,20 +239,29 @@ def frequent_phrases(docs: DataFrame, least: int = 30, lang: str = "lang", text:
         sent = spark.sparkContext.broadcast(reached)
         rows = _scanned(texts.where(F.col("shard") == scan % shards), sent, scan, shards)
         together = rows if counted is None else rows.unionAll(counted)
-        together = together.groupBy("lang", "length", "phrase", "slot", "since").agg(F.sum("c").alias("c"))
+        together = together.groupBy("a", "b", "length", "since").agg(F.sum("c").alias("c"))
         open_yet = F.col("since") + shards - 1 > scan
         counted, path, old = *_kept(spark, together.where(open_yet | (F.col("c") >= least) | (F.col("length") == 0))), path
         if old:
             drop_folder(spark, old)
         sent.destroy()
         scan += 1
-        new = _reached(counted, least)
+        new = _marked(counted.where((F.col("c") >= least) & F.col("length").between(1, LONGEST - 1)), slots)
         new = new[reached[new] == _NEVER]
         if len(new):
             reached = reached.copy()
             reached[new], last = scan, scan
+    counted = counted.where((F.col("c") >= least) | (F.col("length") == 0))
+    wanted = np.zeros(slots, bool)
+    wanted[_marked(counted, slots)] = True
+    names = _written_out(texts, spark.sparkContext.broadcast(wanted)).join(counted.select("a", "b", "length", "c"), ["a", "b"])
+    names = names.groupBy("a", "b", "length", "c").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"), F.max("lang").alias("l"), F.max("phrase").alias("p"))
+    same = (F.col("l") == F.col("lang")) & (F.col("p") == F.col("phrase"))
+    checked = F.when(same, F.col("phrase")).otherwise(F.raise_error(F.concat(F.lit("one hash of two phrases: "), "phrase", F.lit(" / "), "p")).cast("string"))
+    found, _ = _kept(spark, names.select("lang", "length", checked.alias("phrase"), "c"))
+    drop_folder(spark, path)
     drop_folder(spark, folder)
-    return counted.where((F.col("c") >= least) | (F.col("length") == 0)).select("lang", "length", "phrase", "c")
+    return found
 
 
 def _kept(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, str]:

@@ -81,27 +81,55 @@ def test_a_small_map_and_other_shards_change_no_count(spark):
         assert sorted(tuple(r) for r in got.collect()) == expected
 
 
-def test_phrases_join_when_both_subphrases_have_been_seen(monkeypatch):
+def run_of(*texts, lang="en"):
+    run = collocations._Run(lang, texts=True)
+    for t in texts:
+        run.add([t])
+    return run
+
+
+def test_phrases_join_when_both_subphrases_have_been_seen():
     """The map decides what a scan counts: nothing longer than a word at first, then for one cycle."""
-    words, sizes = [b"a", b"b", b"a", b"b"], np.array([4])
+    run = run_of("a b A", " b")  # two texts are two pieces
+    run2 = run_of("a b a b")
     reached = np.full(1 << 16, 255, np.uint8)
-    first = {k: (p, c.tolist()) for k, p, _, _, c in collocations.phrase_counts("en", words, sizes, reached, 0, 2)}
-    assert first == {0: ([b""], [4]), 1: ([b"a", b"b"], [2, 2])}
-    slots = {p: s for k, ps, ss, _, _ in collocations.phrase_counts("en", words, sizes, reached, 0, 2) for p, s in zip(ps, ss, strict=True)}
-    reached[slots[b"a"]] = 1
-    assert [k for k, *_ in collocations.phrase_counts("en", words, sizes, reached, 1, 2)] == [0, 1]
-    reached[slots[b"b"]] = 2
-    second = {k: (p, since.tolist(), c.tolist()) for k, p, _, since, c in collocations.phrase_counts("en", words, sizes, reached, 2, 2)}
-    assert second == {2: ([b"a b", b"b a"], [2, 2], [2, 1])}
-    assert [k for k, *_ in collocations.phrase_counts("en", words, sizes, reached, 4, 2)] == []
-
-
-def test_long_texts_in_runs_of_pieces(monkeypatch):
-    monkeypatch.setattr(collocations, "RUN_WORDS", 10)
-    text = "a b c. " * 50 + "x " * 30
-    runs = list(collocations.runs_of_pieces([text, None, "Y z"]))
-    assert sum(len(w) for w, _ in runs) == 182 and all(len(w) <= 42 for w, _ in runs)
-    assert all(sum(s) == len(w) for w, s in runs) and runs[-1][0][-2:] == [b"y", b"z"]
+    first = {k: sorted(c.tolist()) for k, _, _, c in collocations.phrase_counts(run2, reached, 0, 2)}
+    assert first == {0: [4], 1: [2, 2]} == {k: sorted(c.tolist()) for k, _, _, c in collocations.phrase_counts(run, reached, 0, 2)}
+    words = dict(zip("ab", next(s for k, s, *_ in collocations.phrase_counts(run2, reached, 0, 2) if k == 1).T, strict=True))
+    slot = {w: collocations.slots_of(h[:1], 1 << 16)[0] for w, h in words.items()}
+    reached[slot["a"]] = 1
+    assert [k for k, *_ in collocations.phrase_counts(run2, reached, 1, 2)] == [0, 1]
+    reached[slot["b"]] = 2
+    second = {k: (since.tolist(), c.tolist()) for k, _, since, c in collocations.phrase_counts(run2, reached, 2, 2)}
+    assert second == {2: ([2, 2], [2, 1])}
+    assert [k for k, *_ in collocations.phrase_counts(run2, reached, 4, 2)] == []
+
+
+def test_hashes_follow_the_words_alone(monkeypatch):
+    monkeypatch.setattr(collocations, "_PART", 16)
+    rng = random.Random(4)
+    words = ["w%d" % i for i in range(9)] + ["É" * 30, "long" * 40, "x"]
+    text = "".join(rng.choice(words) + rng.choice([" ", "  ", "\t", ". ", "\n"]) for _ in range(400))
+    found, piece, starts, ends = collocations.word_hashes(text.encode())
+    data = text.encode()
+    by_word = collections.defaultdict(set)
+    for i in range(len(starts)):
+        by_word[data[starts[i]:ends[i]]].add(tuple(found[:, i]))
+    assert {w.decode() for w in by_word} == set(words) and all(len(h) == 1 for h in by_word.values())
+    assert len(set().union(*by_word.values())) == len(words)
+    assert piece.tolist() == sorted(piece) and (collocations.word_hashes(b"ABC")[0] == collocations.word_hashes(b"abc")[0]).all()
+    assert collocations.word_hashes(b"")[0].shape == (2, 0)
+
+
+def test_runs_gather_texts_of_one_language():
+    run = run_of("One two. Three", "four")
+    assert run.size == 4 and run.text(0, 2) == "one two" and run.text(3, 1) == "four"
+    same = {k: w.tolist() for k, _, w in run.phrases()}
+    assert same[2] == [True, False, False]
+    half = np.zeros((2, 3), np.uint64)
+    half[1] = [5, 6, 5]  # equal in one half only
+    first, counts = collocations._grouped(half)
+    assert sorted(zip(half[1][first].tolist(), counts.tolist())) == [(5, 2), (6, 1)]
 
 
 def test_empty_table_and_exact_scores(spark):
