@@ -32,7 +32,10 @@ def round_half_up(c, digits: int) -> Column:
     """
     x = col(c).cast("double")
     scale = float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale
+    shifted = F.abs(x) * scale + 0.5
+    # FLOOR gives a BIGINT; doubles beyond its range (and NaN) have no fraction to cut
+    whole = F.when(shifted < float(2 ** 62), F.floor(shifted).cast("double")).otherwise(shifted)
+    return F.signum(x) * whole / scale
 
 
 def rate_pct(hits: Column, total: Column, digits: int) -> Column:
@@ -45,23 +48,6 @@ def count_rate_pct(cond: Column, digits: int) -> Column:
     return rate_pct(F.count_if(cond), F.count(F.lit(1)), digits)
 
 
-def fixed_point(c, digits: int) -> Column:
-    """Number as a BIGINT count of 10^-digits, rounded. Sums of these do not
-    depend on the order of rows (sums of doubles do); they raise beyond
-    9.2e18 / 10^digits."""
-    return F.round(col(c).cast("double") * 10 ** digits).cast("long")
-
-
-def exact_sum(c, digits: int = 4) -> Column:
-    """Aggregate: order-independent sum of values rounded to ``digits`` decimals."""
-    return F.sum(fixed_point(c, digits)) / 10 ** digits
-
-
-def exact_avg(c, digits: int = 4) -> Column:
-    """Aggregate: order-independent mean of values rounded to ``digits`` decimals."""
-    return F.try_divide(exact_sum(c, digits), F.count(col(c)))
-
-
 def to_long(c) -> Column:
     """BIGINT of a number or of integer text; fractions round half away from zero.
 

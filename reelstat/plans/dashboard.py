@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.functions import columns as X
+from reelstat.functions import sums
 
 
 def in_filter(column: str, values: Sequence | None) -> Column:
@@ -40,7 +41,7 @@ def kpi_summary(user_mart: DataFrame, plans=None, countries=None, date_range=Non
     return (user_mart.filter(user_filter(plans, countries, date_range))
                      .agg(n.alias("total_users"),
                           (F.try_divide(F.count_if("is_active"), n) * 100).alias("active_rate"),
-                          (F.try_divide(X.exact_sum("total_watch_minutes", 1), n) / 60).alias("avg_watch_hours")))
+                          (F.try_divide(sums.exact_sum("total_watch_minutes"), n) / 60).alias("avg_watch_hours")))
 
 
 def active_users_by_month(user_mart: DataFrame, plans=None, countries=None, date_range=None) -> DataFrame:
@@ -56,7 +57,7 @@ def content_scatter(content_mart: DataFrame, date_range=None) -> DataFrame:
     return (content_mart.filter(date_range_filter("watch_month", date_range))
                         .groupBy("genre_primary")
                         .agg(F.sum("total_sessions").alias("sessions"),
-                             X.exact_avg("completion_rate_pct", 1).alias("completion")))
+                             sums.exact_avg("completion_rate_pct").alias("completion")))
 
 
 def genre_share(genre_mart: DataFrame) -> DataFrame:

@@ -173,10 +173,14 @@ def raw_watch_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         " + (l_partkey % 1000) * 1000 + l_suppkey % 1000 AS watch_date",
         f"{_pick('l_suppkey', C.DEVICES)} AS device_type",
         f"{_pick('l_orderkey', SESSION_COUNTRIES)} AS location_country",
-        "CASE WHEN CAST(l_quantity AS BIGINT) % 8 != 0 THEN l_quantity * 3 END AS watch_duration_minutes",
-        # progress 0..100 in steps of 10: discount x 100 rounded half up (sign * floor(|x| + 0.5)), x 10
+        # thirds, seven decimals, whole minutes and a few values of 1e15
+        "CASE WHEN CAST(l_quantity AS BIGINT) % 8 = 0 THEN NULL WHEN l_orderkey % 1999 = 0 THEN 1.0E15D"
+        " WHEN l_linenumber % 3 = 0 THEN l_quantity * 10.0D / 3.0D"
+        " WHEN l_linenumber % 3 = 1 THEN l_quantity * 3.0D + CAST(l_partkey * 7919 % 10000000 AS DOUBLE) / 1.0E7D"
+        " ELSE l_quantity * 3.0D END AS watch_duration_minutes",
+        # progress 0..100 in steps of 9.9: discount x 100 rounded half up (sign * floor(|x| + 0.5)), x 9.9
         "CASE WHEN l_orderkey % 13 != 0 THEN CAST(CAST(signum(l_discount * 100) * floor(abs(l_discount * 100) + 0.5)"
-        " AS BIGINT) * 10 AS DOUBLE) END AS progress_percentage",
+        " AS BIGINT) * 10 AS DOUBLE) * 0.99D END AS progress_percentage",
         f"{_pick('l_orderkey + l_linenumber', C.WATCH_ACTIONS)} AS action",
         f"{_pick('l_partkey + l_suppkey', C.QUALITIES)} AS quality",
         "l_returnflag = 'A' AS is_download",
@@ -196,7 +200,7 @@ def raw_recommendation_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{_epoch_ns('l_shipdate')} - ((l_orderkey + l_linenumber) % 14 - 3) * {NS_PER_DAY}"
         f" + {_time_of_day_ns('l_linenumber', 'l_orderkey')} AS recommendation_date",
         f"{_pick('l_suppkey', C.RECOMMENDATION_TYPES)} AS recommendation_type",
-        "CASE WHEN l_orderkey % 10 != 0 THEN (l_partkey % 128) / 128.0D END AS recommendation_score",
+        "CASE WHEN l_orderkey % 10 != 0 THEN (l_partkey % 127) / 127.0D END AS recommendation_score",
         "(l_orderkey + l_partkey) % 3 = 0 AS was_clicked",
         "CASE WHEN l_orderkey % 37 != 0 THEN CAST(1 + l_partkey % 20 AS STRING) END AS position_in_list",
         f"{_pick('l_orderkey', C.DEVICES)} AS device_type",
@@ -222,7 +226,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN o_orderkey % 20 != 0 THEN concat('review of order ', CAST(o_orderkey AS STRING)) END"
         " AS review_text",
         "CASE o_orderstatus WHEN 'F' THEN 'positive' WHEN 'O' THEN 'neutral' ELSE 'negative' END AS sentiment",
-        "CASE WHEN o_orderkey % 12 != 0 THEN CAST((o_orderkey % 9) - 4 AS DOUBLE) / 4 END AS sentiment_score",
+        "CASE WHEN o_orderkey % 12 != 0 THEN CAST((o_orderkey % 15) - 7 AS DOUBLE) / 7 END AS sentiment_score",
         *_lineage("reviews", "tpch/orders", _q(SNAPSHOT_DATE)),
     )
 

@@ -110,14 +110,6 @@ def test_rate_pct_empty_group_and_zero(spark):
     assert df.filter("k = 2").groupBy("k").agg(X.count_rate_pct(F.col("c"), 1)).count() == 0
 
 
-def test_exact_avg_is_order_independent(spark):
-    vals = [33.3, 66.7, 12.1, 0.1, 0.2] * 40
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    a = df.repartition(7).agg(X.exact_avg("v", 1)).collect()[0][0]
-    b = df.coalesce(1).agg(X.exact_avg("v", 1)).collect()[0][0]
-    assert a == b == float(sum(round(v * 10) for v in vals)) / 10 / len(vals)
-
-
 def test_cluster_conf_sizes_partitions_to_data():
     from reelstat.session import cluster_conf
     big = cluster_conf(100 * 10**12, executors=1000, cores_per_executor=8)
