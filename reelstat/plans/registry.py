@@ -38,6 +38,7 @@ DASH_PLANS = list(C.SUBSCRIPTION_PLANS)
 DASH_COUNTRIES = list(C.COUNTRIES)
 DASH_DATES = (dt.date(1998, 1, 1), dt.date(2000, 6, 30))
 # Driver tables the profile query describes.
+SAMPLED_TABLES = ["region", "nation", "part"]
 PROFILE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -130,6 +131,26 @@ def q_content_mart_dated(spark, sf_dir):
     return pipeline.read_mart(spark, path, "watch_month", DASH_DATES)
 
 
+def q_mart_rebuild(spark, sf_dir):
+    """Builds the monthly mart twice: first with all sessions, then with those that a retention rule leaves. The second
+    table holds none of the first one's months."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rebuilt-{uuid.uuid4().hex}"
+    watch = staged(spark, sf_dir, "watch_history")
+    for sessions in (watch, watch.where(F.col("watch_date") >= F.lit(DASH_DATES[0]))):
+        pipeline.write_mart(content.watch_monthly(sessions), path, "watch_month", ["movie_id"])
+    return pipeline.read_mart(spark, path)
+
+
+def q_catalog_tables(spark, sf_dir):
+    """The monthly mart under its name in the session catalog, read for the months of the dashboard's range."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/catalog-{uuid.uuid4().hex}"
+    cfg = C.BuildConfig(warehouse=root, layers={"marts": f" reel_{uuid.uuid4().hex} "})
+    pipeline.write_mart(q_content_monthly(spark, sf_dir), cfg.layer_path("marts", "content_monthly"), "watch_month", ["movie_id"])
+    table = spark.table(pipeline.register_table(spark, cfg, "marts", "content_monthly"))
+    first, last = (F.lit(d.replace(day=1)) for d in DASH_DATES)
+    return table.where(F.col(pipeline.PARTITION_COLUMN).between(first, last)).drop(pipeline.PARTITION_COLUMN)
+
+
 def q_genre_share(spark, sf_dir):
     return D.genre_share(genre_mart(spark, sf_dir))
 
@@ -153,6 +174,14 @@ def q_profile_columns(spark, sf_dir):
                          F.array_join("distinct_values", "|").alias("distinct_values"))
 
 
+def q_profile_samples(spark, sf_dir):
+    """The first rows of each profiled file, one row per value as text."""
+    report = P.profile_paths(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SAMPLED_TABLES])
+    rows = (report.groupBy("file_name").agg(F.first("sample_rows").alias("rows"))
+                  .select("file_name", F.posexplode("rows").alias("position", "json")))
+    return rows.select("file_name", "position", F.explode(F.from_json("json", "map<string,string>")).alias("column_name", "value"))
+
+
 def q_profile_report(spark, sf_dir):
     """Profiles all Parquet data in the folder, writes the JSON report and reads it back: one row per column."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/profile-{uuid.uuid4().hex}"
@@ -231,6 +260,35 @@ def q_build_report(spark, sf_dir):
                                              F.col("row_count").alias("value"))))
 
 
+def q_raw_load_errors(spark, sf_dir):
+    """The raw load of three tables, one of which has two days without a common type: what each table came to."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/load-{uuid.uuid4().hex}"
+    for table in ("movies", "users", "reviews"):
+        R.write_snapshot(A.RAW_ADAPTERS[table](spark, sf_dir), f"{root}/snapshots", table, SNAPSHOT_DAYS[0])
+    broken = A.RAW_ADAPTERS["reviews"](spark, sf_dir).withColumn("review_date", F.lit("not a number"))
+    R.write_snapshot(broken, f"{root}/snapshots", "reviews", SNAPSHOT_DAYS[1])
+    reports, errors = R.load_tables(spark, C.BuildConfig(warehouse=f"{root}/warehouse", snapshots=f"{root}/snapshots"))
+    return spark.createDataFrame([(r.table, r.rows, None) for r in reports] + [(t, None, why) for t, why in errors.items()],
+                                 "table_name string, rows long, error string")
+
+
+def q_failed_tests(spark, sf_dir):
+    """The lines of the error that the failing declared tests raise."""
+    try:
+        Q.raise_on_failures(q_quality_report(spark, sf_dir))
+    except AssertionError as failed:
+        return spark.createDataFrame([(line,) for line in str(failed).splitlines()[1:]], "failure string")
+    return spark.createDataFrame([], "failure string")
+
+
+def q_observed_quality(spark, sf_dir):
+    """The declared tests as the raw load counts them while it writes the tables."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/observed-{uuid.uuid4().hex}"
+    reports = [R.write_raw_table(raw_table(spark, sf_dir, t), f"{root}/{t}", checks.rule_counters(t)) for t in C.TABLES]
+    rows = checks.observed_report({r.table: r.counted for r in reports})
+    return spark.createDataFrame(rows, "layer string, table_name string, column_name string, test string, failing_rows long")
+
+
 def q_raw_union_by_name(spark, sf_dir):
     return R.decode_binary_columns(R.union_snapshots([A.raw_movies(spark, sf_dir),
                                                       A.raw_movies_previous_snapshot(spark, sf_dir)]))
@@ -275,10 +333,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "content_scatter": q_content_scatter,
         "content_scatter_dated": q_content_scatter_dated,
         "content_mart_dated": q_content_mart_dated,
+        "mart_rebuild": q_mart_rebuild,
+        "catalog_tables": q_catalog_tables,
         "genre_share": q_genre_share,
         "quality_report": q_quality_report,
+        "observed_quality": q_observed_quality,
+        "failed_tests": q_failed_tests,
+        "raw_load_errors": q_raw_load_errors,
         "mart_ready": q_mart_ready,
         "profile_columns": q_profile_columns,
         "profile_report": q_profile_report,
+        "profile_samples": q_profile_samples,
     })
     return out

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from reelstat import config as C
 from reelstat.operators.dedup import keep_latest
 from reelstat.sources import raw as R
+from reelstat.sources import versions as V
 
 
 def test_keep_latest_edge_rows(spark):
@@ -150,7 +151,7 @@ def test_load_raw_layer_isolates_failures(spark, tmp_dir):
     cfg = C.BuildConfig(warehouse=f"{tmp_dir}/wh", snapshots=snaps)
     with pytest.raises(RuntimeError, match="users"):
         R.load_raw_layer(spark, cfg)
-    movies = spark.read.parquet(cfg.layer_path("raw", "movies"))
+    movies = V.read_table(spark, cfg.layer_path("raw", "movies"))
     assert movies.count() == 2
 
 
