@@ -43,7 +43,7 @@ SHARDS = 4
 #: Words of the longest phrase.
 LONGEST = 4
 #: Words that a task gathers before it counts their phrases.
-RUN_WORDS = 2_000_000
+RUN_WORDS = 600_000
 _NEVER = 255
 #: What a byte is: 0 part of a word, 1 a gap between words, 2 the end of a piece.
 _KIND = np.zeros(256, np.uint8)
