@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelstat.llm.common import drop_folder, hashes, mix, shared_folder, text_blocks
+from reelstat.llm.wordhash import BASES, word_hashes
 
 #: Slots of the map of phrases that have reached the threshold, one byte each.
 SLOTS = 1 << 24
@@ -45,52 +46,10 @@ LONGEST = 4
 #: Words that a task gathers before it counts their phrases.
 RUN_WORDS = 600_000
 _NEVER = 255
-#: What a byte is: 0 part of a word, 1 a gap between words, 2 the end of a piece.
-_KIND = np.zeros(256, np.uint8)
-_KIND[list(b" \t")] = 1
-_KIND[list(b".,;:!?\x0a\x0b\x0c\x0d")] = 2
-#: Two odd bases of polynomial hashes modulo 2^64, and a random number for each byte (A-Z as a-z).
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
-_BYTES = np.random.default_rng(20).integers(1, 2 ** 63, (2, 256), np.uint64)
-_BYTES[:, 65:91] = _BYTES[:, 97:123]
-#: Bytes whose powers of the bases are kept; longer blocks are cut at the end of a piece where there is one.
-_PART = 1 << 20
-
-
-def _powers(base: np.uint64) -> np.ndarray:
-    return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(_PART, base))])
-
-
-_POWERS = tuple(map(_powers, _BASES))
-_INVERSES = tuple(_powers(np.uint64(pow(int(b), -1, 2 ** 64))) for b in _BASES)
-
-
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(128-bit hashes as two rows, piece of each word, starts, ends) of the words of a text."""
-    codes = np.frombuffer(data, np.uint8)
-    kind = _KIND[codes]
-    inside = np.concatenate([[False], kind == 0, [False]])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    piece = np.concatenate([[0], np.cumsum(kind == 2)])[starts]
-    found = np.zeros((2, len(starts)), np.uint64)
-    longest = int((ends - starts).max(initial=0))
-    for row, (powers, inverses, table, base) in enumerate(zip(_POWERS, _INVERSES, _BYTES, _BASES, strict=True)):
-        for at in range(0, len(codes), _PART):  # a word's hash is its last byte's sum less that before its first, moved to power 0
-            part = codes[at:at + _PART]
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(table[part] * powers[:len(part)])])
-            low, high = np.searchsorted(ends, at, "right"), np.searchsorted(starts, at + len(part))
-            if low == high:
-                continue
-            first, last = np.maximum(starts[low:high] - at, 0), np.minimum(ends[low:high] - at, len(part))
-            here = (sums[last] - sums[first]) * inverses[first]
-            before = at + first - starts[low:high]  # bytes of the word in earlier parts
-            if longest < _PART:
-                found[row, low:high] += here * powers[before]
-            else:
-                found[row, low:high] += here * np.array([np.uint64(pow(int(base), int(n), 2 ** 64)) for n in before], np.uint64)
-        found[row] = mix(found[row] ^ mix((ends - starts).astype(np.uint64)))
-    return found, piece, starts, ends
+#: What a byte is: part of a word, a gap, or the end of a piece.
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[list(b" \t")] = 1
+_KINDS[list(b".,;:!?\x0a\x0b\x0c\x0d")] = 2
 
 
 class _Run:
@@ -101,7 +60,7 @@ class _Run:
 
     def add(self, texts: list) -> None:
         data = b"\n".join(t.encode("utf-8", "surrogatepass") for t in texts if t)
-        found, piece, starts, ends = word_hashes(data)
+        found, piece, starts, ends = word_hashes(data, _KINDS)
         self.held.append((found, piece + self.pieces, starts, ends, np.full(len(starts) if self.texts is not None else 0, len(self.held))))
         self.size += len(starts)
         self.pieces += int(piece[-1]) + 1 if len(piece) else 1
@@ -118,7 +77,7 @@ class _Run:
         state = word
         for length in range(1, min(LONGEST, len(piece)) + 1):
             if length > 1:
-                state = mix(state[:, :-1] * _BASES[1] + word[:, length - 1:])
+                state = mix(state[:, :-1] * BASES[1] + word[:, length - 1:])
             yield length, state, piece[:state.shape[1]] == piece[length - 1:]
 
     @cached_property

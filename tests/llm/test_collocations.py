@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from reelstat.llm import collocations
+from reelstat.llm import collocations, wordhash
 
 SCHEMA = "doc_id long, text string, lang string, phrase string, c int, n int, shard int"
 
@@ -106,19 +106,19 @@ def test_phrases_join_when_both_subphrases_have_been_seen():
 
 
 def test_hashes_follow_the_words_alone(monkeypatch):
-    monkeypatch.setattr(collocations, "_PART", 16)
+    monkeypatch.setattr(wordhash, "_PART", 16)
     rng = random.Random(4)
     words = ["w%d" % i for i in range(9)] + ["É" * 30, "long" * 40, "x"]
     text = "".join(rng.choice(words) + rng.choice([" ", "  ", "\t", ". ", "\n"]) for _ in range(400))
-    found, piece, starts, ends = collocations.word_hashes(text.encode())
+    found, piece, starts, ends = wordhash.word_hashes(text.encode(), collocations._KINDS)
     data = text.encode()
     by_word = collections.defaultdict(set)
     for i in range(len(starts)):
         by_word[data[starts[i]:ends[i]]].add(tuple(found[:, i]))
     assert {w.decode() for w in by_word} == set(words) and all(len(h) == 1 for h in by_word.values())
     assert len(set().union(*by_word.values())) == len(words)
-    assert piece.tolist() == sorted(piece) and (collocations.word_hashes(b"ABC")[0] == collocations.word_hashes(b"abc")[0]).all()
-    assert collocations.word_hashes(b"")[0].shape == (2, 0)
+    assert piece.tolist() == sorted(piece) and (wordhash.word_hashes(b"ABC")[0] == wordhash.word_hashes(b"abc")[0]).all()
+    assert wordhash.word_hashes(b"")[0].shape == (2, 0)
 
 
 def test_runs_gather_texts_of_one_language():

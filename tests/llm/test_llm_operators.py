@@ -241,6 +241,71 @@ def test_base_scores_equal_plain_counts(spark):
         assert all(r.train_tokens == total and math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def plain_log10(scorer, ids):
+    """The score of one sequence by its definition: one window and one target at a time, plain softmax."""
+    m, p = attention, {k: v.astype(float) for k, v in scorer.model.p.items()}
+    targets = [*ids, scorer.end]
+    inputs = [m.OWN_ROWS + 1, *[int(scorer.row[t]) for t in targets[:-1]]]
+    total, done = 0.0, 0
+    for a in m.windows_of(len(targets)).tolist():
+        x = p["embed"][inputs[a:a + m.WINDOW]] + p["place"][:len(inputs[a:a + m.WINDOW])]
+        q, k, v = np.split(x @ p["qkv"], 3, axis=1)
+        for i in range(done - a, len(x)):
+            s = np.exp((k[:i + 1] @ q[i]) * m.WIDTH ** -0.5)
+            h = x[i] + (s / s.sum()) @ v[:i + 1] @ p["mix"]
+            logits = h @ p["out"] + p["bigram"][inputs[a + i]]
+            share = np.exp(logits) / np.exp(logits).sum()
+            t = targets[a + i]
+            total += math.log10(share[scorer.kind[t]]) + float(scorer.within[t]) / math.log(10)
+        done = a + len(x)
+    return total
+
+
+def test_scores_equal_a_plain_evaluation(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["The", "cat", "sat,", "on", "a", "mat\n", "zebra"]) for _ in range(n))) for i, n in enumerate([0, 1, 9, 15, 16, 17, 60, 400])]
+    docs = docs_of(spark, rows * 6)
+    counts = lm_score.corpus_counts(docs).checkpoint()
+    scorer = lm_score.fit(docs, counts)
+    sequences = [encode(t) for _, t in rows]
+    got = scorer.scores(sequences)
+    assert np.allclose(got, [plain_log10(scorer, s.tolist()) for s in sequences], rtol=1e-4)
+    held = np.isin(np.arange(attention.CLASSES), scorer.kind)
+    assert np.allclose(np.bincount(scorer.kind, np.exp(scorer.within), attention.CLASSES), held, atol=1e-3)  # 1 over the ids of a class
+    assert np.allclose(attention.sequence_scores(scorer.model, scorer.within, scorer.kind, scorer.row, sequences, scorer.end, batch=1), got * math.log(10), rtol=1e-5)
+    assert {r.doc_id: r.score for r in lm_score.score_texts(docs, counts, scorer).collect()} == pytest.approx(dict(enumerate(got)), rel=1e-5)
+
+
+def test_gradients_equal_differences():
+    rng = np.random.default_rng(2)
+    model = attention.CausalAttention(seed=4)
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    rows, kinds = rng.integers(0, 50, (3, attention.WINDOW)), rng.integers(0, attention.CLASSES, (3, attention.WINDOW))
+    valid = rng.random((3, attention.WINDOW)) < 0.8
+
+    def loss():
+        logits, total = model.forward(rows)
+        return ((total - np.take_along_axis(logits, kinds[..., None], 2)[..., 0]) * valid).sum() / valid.sum()
+
+    gradients = model._gradients(rows, kinds, valid)
+    for name, g in gradients.items():
+        at = tuple(rng.integers(0, n) for n in g.shape) if name != "embed" else (int(rows[0, 0]), 3)
+        kept, step = model.p[name][at], 1e-5
+        model.p[name][at] = kept + step
+        above = loss()
+        model.p[name][at] = kept - step
+        below = loss()
+        model.p[name][at] = kept
+        assert g[at] == pytest.approx((above - below) / (2 * step), rel=2e-3, abs=1e-6), name
+
+
+def test_a_column_named_ids_is_the_users_own(spark):
+    docs = docs_of(spark, [(1, "the cat"), (2, "a dog")])
+    plain = sorted(map(tuple, lm_score.corpus_counts(docs).collect()))
+    assert sorted(map(tuple, lm_score.corpus_counts(docs.selectExpr("*", "array(7, 7, 7) AS ids")).collect())) == plain
+    assert sorted(map(tuple, lm_score.corpus_counts(lm_score.encoded(docs.selectExpr("*", "'mine' AS ids"))).collect())) == plain
+
+
 def test_subwords_are_counted_as_they_are_scored(spark):
     rows = [(1, "The cat.\nThe Cat sat\n\n ON it"), (2, None), (3, ""), (4, "End Of\tText"), (4, "End Of\tText")]
     want = collections.Counter(x for _, t in rows for x in encode(t).tolist())
