@@ -1,18 +1,21 @@
 """Secret scans: fixed patterns, and a token-efficiency test for random strings.
 
 A vocabulary learnt from ordinary text spends few tokens on words and many on
-random characters. A run of 20 or more key characters, with a letter, that
+random characters. A run of 16 or more key characters, with a letter (under 20
+characters: with a digit, or capitals after small letters), that
 yields fewer than ``max_ratio`` characters a token is reported as ``random``,
 unless it has the form of a known digest, a UUID or an identifier (words joined
 by separators, with a number at the end, words by the same ratio), or lies
 inside a span that a pattern has found. Of any other run, the stretches between
-``= / _ -`` are judged as well: each run of adjoining stretches of 20 or more
+``= / _ -`` are judged as well: each run of adjoining stretches of 16 or more
 characters that falls furthest below the ratio, separators not counted.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,13 +31,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 KINDS = ["assign", "access", "hex", "random"]
 
-LEAST = 20
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}")
+#: Characters of a run that is judged, and of one that may be of letters in one case.
+LEAST, PLAIN = 16, 20
+_MIXED = re.compile(r"[0-9]|[a-z][A-Z]")
+_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}")
 _STRETCH = re.compile(r"[A-Za-z0-9+]+")
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 _DIGEST_LENGTHS = {32, 40, 48, 56, 64, 96, 128}
 _UUID = re.compile(r"(?<![A-Za-z0-9+])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9+])")
-_IDENTIFIER = re.compile(r"[+/_=-]*(?:[A-Za-z]+[+/_=-]+)*[A-Za-z]+[+/_=-]*[0-9]{0,8}[/=]*")
+_IDENTIFIER = re.compile(r"[+/_=-]*+[A-Za-z][A-Za-z+/_=-]*+[0-9]{0,8}+[/=]*+")  # never tries a character twice
 
 
 def _tokens(s: str, vocabulary: str) -> int:
@@ -50,7 +55,12 @@ def _named(s: str, vocabulary: str, max_ratio: float) -> bool:
     if not _IDENTIFIER.fullmatch(s):
         return False
     words = re.findall(r"[A-Za-z]{4,}", s)
-    return sum(map(len, words)) < LEAST or sum(map(len, words)) >= max_ratio * sum(_tokens(w, vocabulary) for w in words)
+    return sum(map(len, words)) < (PLAIN if len(s) >= PLAIN else LEAST) or sum(map(len, words)) >= max_ratio * sum(_tokens(w, vocabulary) for w in words)
+
+
+def _telling(s: str) -> bool:
+    """Whether a run is long or varied enough for its ratio to tell something."""
+    return len(s) >= PLAIN or bool(_MIXED.search(s))
 
 
 def _random_parts(s: str, vocabulary: str, max_ratio: float) -> list[tuple[int, int]]:
@@ -79,12 +89,25 @@ def _random_parts(s: str, vocabulary: str, max_ratio: float) -> list[tuple[int,
         if best[0] > 0:
             _, i, j = best
             span = group[i][0], group[j - 1][1]
-            if any(map(str.isalpha, s[span[0]:span[1]])) and not _named(s[span[0]:span[1]], vocabulary, max_ratio):
+            if any(map(str.isalpha, s[span[0]:span[1]])) and _telling(s[span[0]:span[1]]) and not _named(s[span[0]:span[1]], vocabulary, max_ratio):
                 out.append(span)
             groups += [group[:i], group[j:]]
     return out
 
 
+class _Outer:
+    """Tells whether one of the spans holds a place."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        ordered = sorted((a, b) for _, a, b in spans)
+        self.starts = [a for a, _ in ordered]
+        self.ends = list(accumulate((b for _, b in ordered), max))  # the farthest end of the spans up to here
+
+    def hold(self, start: int, end: int) -> bool:
+        n = bisect_right(self.starts, start)
+        return n > 0 and self.ends[n - 1] >= end
+
+
 def find_spans(text: str | None, vocabulary: str = VOCABULARY, max_ratio: float = 2.0) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start and then kind as listed; none for a null or empty text."""
     if not text:
@@ -92,14 +115,14 @@ def find_spans(text: str | None, vocabulary: str = VOCABULARY, max_ratio: float
     spans = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     spans += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= 16]
     spans += [("hex", *m.span()) for m in HEX.finditer(text)]
-    found = list(spans)
+    found, outer = list(spans), _Outer(spans)
     for m in _CANDIDATE.finditer(text):
         s, at = m[0], m.start()
-        if any(a <= at and m.end() <= b for _, a, b in spans) or _known_form(s):
+        if outer.hold(at, m.end()) or _known_form(s):
             continue
-        whole = len(s) < max_ratio * _tokens(s, vocabulary) and not _named(s, vocabulary, max_ratio)
+        whole = len(s) < max_ratio * _tokens(s, vocabulary) and _telling(s) and not _named(s, vocabulary, max_ratio)
         for a, b in [(0, len(s))] if whole else _random_parts(s, vocabulary, max_ratio):
-            if not any(x <= at + a and at + b <= y for _, x, y in spans):
+            if not outer.hold(at + a, at + b):
                 found.append(("random", at + a, at + b))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
@@ -116,13 +139,14 @@ def redacted(text: str | None, spans: list[tuple[str, int, int]], mark: str = "[
     return "".join(out) + text[at:]
 
 
-def scan(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, max_ratio: float = 2.0) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, max_ratio: float = 2.0, spans_column: str = "secret_spans",
+         clean_column: str = "redacted_text") -> DataFrame:
     """The rows with ``secret_spans`` (array of kind, start, end) and ``redacted_text`` in front of all columns.
 
     Null texts have no spans and stay null. Rows are judged one by one, so
     repeated rows repeat. New columns take the place of equally named ones.
     """
-    new = StructType.fromDDL("secret_spans array<struct<kind string, start long, end long>>, redacted_text string")
+    new = StructType.fromDDL(f"{spans_column} array<struct<kind string, start long, end long>>, {clean_column} string")
     rest = [c for c in docs.columns if c not in new.names]
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 

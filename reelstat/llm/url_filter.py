@@ -42,8 +42,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     the block. Null URLs and URLs without ``://`` have an empty host and path,
     which no rule fits. Repeated rows are all kept. Equally named columns are replaced.
     """
-    new = ["host", "path", "rule", "verdict"]
-    located = pages.select(*[c for c in pages.columns if c not in new], host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    new, best_rule = ["host", "path", "rule", "verdict"], "_url_filter_best"
+    located = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c.lower() not in new], host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     known = rules.select(F.translate("host", UPPER, LOWER).alias("rule_host"), F.col("path").alias("rule_path"), F.col("verdict").alias("rule_verdict"))
     known = known.where("rule_host <> ''").withColumns({
         "rule": F.concat("rule_host", "rule_path"), "labels": F.size(F.split("rule_host", "\\.")), "length": F.length("rule_path")})
@@ -62,7 +62,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     expanded = expanded.withColumn("short", F.conv(F.substring("full", 1, 8), 16, 10).cast("long"))
     met = expanded.join(digested, "short").where(F.col("full") == F.col("digest"))
     best = met.groupBy("host", "path").agg(F.max(F.struct(
-        F.length("rule"), F.length("rule_host"), F.col("rule_verdict") == "block", "rule", "rule_verdict")).alias("best"))
+        F.length("rule"), F.length("rule_host"), F.col("rule_verdict") == "block", "rule", "rule_verdict")).alias(best_rule))
     judged = located.join(best, ["host", "path"], "left")
-    return judged.select(*[c for c in located.columns], F.col("best.rule").alias("rule"),
-                         F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict"))
+    return judged.select(*[F.col(f"`{c}`") for c in located.columns], F.col(f"{best_rule}.rule").alias("rule"),
+                         F.coalesce(f"{best_rule}.rule_verdict", F.lit(default)).alias("verdict"))
