@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstat.llm.common import text_blocks
+from reelstat.llm.common import text_blocks, written
 from reelstat.llm.tokens import VOCABULARY, encode_added
 
 RANGE = 256
@@ -40,7 +40,7 @@ def length_table(lengths: DataFrame) -> DataFrame:
     documents not longer) and ``token_quantile``. Limits between two lengths
     follow from the next longer row. An empty table gives no rows.
     """
-    counts = lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    counts = written(lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "length-counts")  # read twice below
     counts = counts.withColumn("range", F.floor(F.col("n_tokens") / RANGE))
     ranges = counts.groupBy("range").agg(F.sum("n_docs").alias("d"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("t"))
     longer = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
