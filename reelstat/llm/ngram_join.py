@@ -174,7 +174,7 @@ def _allowed(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def _cross_pairs(placed: DataFrame, held: DataFrame, percent: int, block: int = 4096) -> DataFrame:
+def _cross_pairs(placed: DataFrame, held: DataFrame, percent: int, block: int = 512) -> DataFrame:
     """Distinct pairs (a, b) of rows (sig, id, c) of one sig that can be linked across components c; held: (id, n, sketch)."""
     blocks = placed.groupBy("sig").agg(F.expr(f"cast(ceil(count(*) / {block}) as int)").alias("blocks"))
     dealt = (placed.join(blocks, "sig").join(held, "id").withColumn("own", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
