@@ -17,6 +17,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -46,7 +47,10 @@ sidebar sidenav signup skip social sponsor sponsored subscribe tags teaser toolb
 discussion feedback""".split())
 CONTENT_WORDS = set("article articlebody body content entry main maincontent page post postbody prose story text".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*+>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>",
+#: A comment; an element whose content is no text; a tag (a quoted value ends before a blank, ``/`` or ``>`` and holds no
+#: ``<``); a tag with stray quotes, up to the first ``>``; a declaration. None reads on past the next ``<`` in vain, so a page takes linear time.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^<>]*+(?<!/)>.*?(?:</\1\s*+>|\Z)"
+                    r"|<(/?)([a-zA-Z][^\s/<>]*)((?:[^\"'<>]|\"[^\"<]*+\"(?=[\s/>])|'[^'<]*+'(?=[\s/>]))*+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*+)>|<[!?][^<>]*+>",
                     re.S | re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -67,7 +71,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     Two pieces without a break between them (None) belong to one block.
     """
     nodes, pieces, stack, links = [Node("html", -1, frozenset())], [], [0], 0
-    at = 0
+    at, open_tags = 0, Counter()
 
     def text(until: int):
         if until > at and (t := page[at:until]):
@@ -80,29 +84,31 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     for m in _TOKEN.finditer(page):
         text(m.start())
         at = m.end()
-        tag = (m[3] or "").lower()
+        closing, tag, rest = (m[2], m[3], m[4]) if m[3] else (m[5], m[6], m[7])
+        tag = (tag or "").lower()
         if not tag:
             if m[1]:
                 pieces.append((stack[-1], None))
             continue
         if tag in INLINE:
-            links = max(links + (-1 if m[2] else 1), 0) if tag == "a" else links
+            links = max(links + (-1 if closing else 1), 0) if tag == "a" else links
             continue
         pieces.append((stack[-1], None))
-        if m[2]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if nodes[stack[depth]].tag == tag:
-                    del stack[depth:]
-                    links = 0
-                    break
-        elif tag not in VOID and tag not in ("html", "body"):
+        if closing:
+            if open_tags[tag]:
+                while nodes[stack[-1]].tag != tag:
+                    open_tags[nodes[stack.pop()].tag] -= 1
+                open_tags[nodes[stack.pop()].tag] -= 1
+                links = 0
+        elif tag not in VOID and tag not in RAW and tag not in ("html", "body"):  # of the raw ones only those that close themselves come here
             closes = CLOSES.get(tag, ())
             while len(stack) > 1 and nodes[stack[-1]].tag in closes:
-                stack.pop()
-            found = [x.lower() for name in _NAMES.findall(m[4]) for x in _WORD.findall(" ".join(name))] if m[4] else ()
+                open_tags[nodes[stack.pop()].tag] -= 1
+            found = [x.lower() for name in _NAMES.findall(rest) for x in _WORD.findall(" ".join(name))] if rest else ()
             nodes.append(Node(tag, stack[-1], frozenset(found)))
-            if not m[4].endswith("/") or tag == "p":
+            if not rest.endswith("/") or tag in CLOSES:
                 stack.append(len(nodes) - 1)
+                open_tags[tag] += 1
     text(len(page))
     return nodes, pieces
 
@@ -162,10 +168,16 @@ def text_of(pieces: list[tuple[int, str | None]], keep: np.ndarray) -> str:
     return " ".join("".join(" " if t is None else t for node, t in pieces if t is None or keep[node]).split())
 
 
+#: Where the main text of a template lies: in paragraphs and the like, in one element by lines, in several elements
+#: that are no paragraphs, in the body itself, or in a page without markup.
+STYLES = ["blocks"] * 12 + ["lines"] * 3 + ["pieces"] * 3 + ["body", "plain"]
+
+
 def template_page(rng: random.Random, words: list[str]) -> tuple[str, set[str]]:
     """A page and the ids of its blocks of main text; ids carry no meaning and are removed before training."""
     count = [0]
     main: set[str] = set()
+    style = rng.choice(STYLES)
 
     def prose(a, b):
         return " ".join(rng.choices(words, k=rng.randint(a, b)))
@@ -193,8 +205,26 @@ def template_page(rng: random.Random, words: list[str]) -> tuple[str, set[str]]:
                    rng.choice([block("p", prose(3, 25)), prose(3, 25), links(3) + block("p", prose(2, 12))]))
         return block(tag, content, False, rng.choice(words_for) if tag in ("div", "section") or rng.random() < 0.4 else "")
 
-    body = [block(rng.choice(["h1", "h1", "h2"]), prose(3, 9), True)]
-    for _ in range(rng.randint(1, 9)):
+    def sides(kinds, most):
+        return "".join(aside(k) for k in rng.sample(kinds, rng.randint(0, most)))
+
+    def lines():
+        return rng.choice(["<br>", "<br><br>", "\n"]).join(prose(15, 90) for _ in range(rng.randint(1, 5)))
+
+    before, after = ["header", "nav", "ad", "notice", "nav", "form"], ["footer", "aside", "comments", "ad", "footer", "form", "notice"]
+    if style == "plain":  # no markup at all
+        return lines().replace("<br>", "\n"), {"html"}
+    if style == "body":
+        main.add("html")
+        return f"<html><body>{sides(before, 2)}{lines()}{sides(after, 2)}</body></html>", main
+    body = [block(rng.choice(["h1", "h1", "h2"]), prose(3, 9), True)] if style == "blocks" or rng.random() < 0.5 else []
+    if style == "lines":
+        body.append(block(rng.choice(["div", "div", "section", "article", "main", "pre", "blockquote"]), lines(), True, rng.choice(["", "", "content", "text"])))
+    if style == "pieces":
+        tag = rng.choice(["section", "div", "td", "dd", "blockquote"])
+        cells = "".join(block(tag, prose(12, 90), True) for _ in range(rng.randint(1, 6)))
+        body.append(f"<table><tr>{cells}</tr></table>" if tag == "td" else f"<dl>{cells}</dl>" if tag == "dd" else cells)
+    for _ in range(rng.randint(1, 9) if style == "blocks" else 0):
         body.append(block("p", prose(1, 4) if rng.random() < 0.15 else prose(8, 90), True))
         if rng.random() < 0.15:
             body.append("<ul>" + "".join(block("li", prose(3, 15), True) for _ in range(3)) + "</ul>")
@@ -205,25 +235,30 @@ def template_page(rng: random.Random, words: list[str]) -> tuple[str, set[str]]:
     if rng.random() < 0.3:
         body.append(aside(rng.choice(["comments", "share", "form"])))
     tag, names = rng.choice([("article", ""), ("article", "post"), ("main", ""), ("div", "content"), ("div", "post-body"), ("div", "entry"), ("div", ""), ("section", "")])
-    article = block(tag, "".join(body), False, names)
-    before = [aside(k) for k in rng.sample(["header", "nav", "ad", "notice", "nav", "form"], rng.randint(0, 4))]
-    after = [aside(k) for k in rng.sample(["footer", "aside", "comments", "ad", "footer", "form", "notice"], rng.randint(0, 4))]
+    article = "".join(body) if style != "blocks" and rng.random() < 0.4 else block(tag, "".join(body), False, names)
     if rng.random() < 0.3:
         article = f"<div class='wrapper'><div>{article}</div>{aside('aside')}</div>"
-    return f"<html><body>{''.join(before)}{article}{''.join(after)}</body></html>", main
+    inside = f"{sides(before, 4)}{article}{sides(after, 4)}"
+    if rng.random() < 0.35:  # a wrapper of the whole page that only names what else the page has
+        inside = block("div", inside, False, rng.choice(["page comments-open", "has-sidebar", "layout no-sidebar", "site header-fixed", "wrap nav-left", "page with-ads",
+                                                         "theme-share menu-open", "post related-off"]))
+    elif rng.random() < 0.15:
+        article = block("div", article, False, rng.choice(["page comments-open", "has-sidebar", "site header-fixed", "wrap nav-left"]))
+        inside = f"{sides(before, 4)}{article}{sides(after, 4)}"
+    return f"<html><body>{inside}</body></html>", main
 
 
 @lru_cache(maxsize=2)
-def train(words: tuple, pages: int = 300, seed: int = 5) -> BoostedTrees:
+def train(words: tuple, pages: int = 700, seed: int = 5) -> BoostedTrees:
     """The model, trained on template pages with these words; the same for the same words."""
     rng, xs, ys = random.Random(seed), [], []
     for _ in range(pages):
         page, main = template_page(rng, list(words))
-        keys = ["html"] + re.findall(r'<(?!body|/|html)\w+(?: data-k="(\w+)")?[^>]*>', re.sub(r"</?a\b[^>]*>", "", page))
+        keys = ["html"] + re.findall(r'<(?!body|/|html|br)\w+(?: data-k="(\w+)")?[^>]*>', re.sub(r"</?a\b[^>]*>", "", page))
         nodes, _ = parse(re.sub(r' data-k="\w+"', "", page))
         held = np.array([x.own > 0 for x in nodes])
         xs.append(features(nodes)[held])
-        ys.append(np.array([k in main for k in keys])[held])
+        ys.append(np.array([k in main for k in keys])[held])  # as many keys as nodes
     return BoostedTrees().fit(np.concatenate(xs), np.concatenate(ys).astype(float))
 
 
