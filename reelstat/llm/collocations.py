@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelstat.llm.common import drop_folder, hashes, mix, shared_folder, text_blocks
+from reelstat.llm.common import drop_folder, hashes, marked, mix, shared_folder, text_blocks
 from reelstat.llm.wordhash import BASES, word_hashes
 
 #: Slots of the map of phrases that have reached the threshold, one byte each.
@@ -175,14 +175,6 @@ def _written_out(docs: DataFrame, frequent) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, "a long, b long, lang string, phrase string")
 
 
-def _marked(counted: DataFrame, slots: int) -> np.ndarray:
-    """Slots of the phrases, ascending; a bitmap, 4 KB for 32,768 slots at most."""
-    place = F.shiftrightunsigned("a", 64 - (slots.bit_length() - 1)) + 1
-    rows = counted.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
-    found = [np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")) + (r["bucket"] - 1) * 32_768 for r in rows]
-    return np.concatenate(found) if found else np.empty(0, np.int64)
-
-
 def frequent_phrases(docs: DataFrame, least: int = 30, lang: str = "lang", text: str = "text", shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
     """(lang, length, phrase, c): the phrases of 1 to ``LONGEST`` words that occur ``least`` times or more, by language,
     and for each language the empty phrase (length 0) with the number of all its words. ``slots``: a power of 2."""
@@ -192,6 +184,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, lang: str = "lang", text:
                  (F.monotonically_increasing_id() % shards).cast("int").alias("shard")).where("text is not null")
      .write.partitionBy("shard").parquet(folder))
     texts = spark.read.schema("lang string, text string, shard int").parquet(folder)
+    slot = F.shiftrightunsigned("a", 64 - (slots.bit_length() - 1))
     reached, last = np.full(slots, _NEVER, np.uint8), 0
     counted, path, scan = None, None, 0
     while scan < last + shards:  # some phrase may still be in its cycle
@@ -205,14 +198,14 @@ def frequent_phrases(docs: DataFrame, least: int = 30, lang: str = "lang", text:
             drop_folder(spark, old)
         sent.destroy()
         scan += 1
-        new = _marked(counted.where((F.col("c") >= least) & F.col("length").between(1, LONGEST - 1)), slots)
+        new = marked(counted.where((F.col("c") >= least) & F.col("length").between(1, LONGEST - 1)), slot)
         new = new[reached[new] == _NEVER]
         if len(new):
             reached = reached.copy()
             reached[new], last = scan, scan
     counted = counted.where((F.col("c") >= least) | (F.col("length") == 0))
     wanted = np.zeros(slots, bool)
-    wanted[_marked(counted, slots)] = True
+    wanted[marked(counted, slot)] = True
     names = _written_out(texts, spark.sparkContext.broadcast(wanted)).join(counted.select("a", "b", "length", "c"), ["a", "b"])
     names = names.groupBy("a", "b", "length", "c").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"), F.max("lang").alias("l"), F.max("phrase").alias("p"))
     same = (F.col("l") == F.col("lang")) & (F.col("p") == F.col("phrase"))

@@ -174,3 +174,12 @@ def most_frequent(counts: DataFrame, key: str, count: str, most: int) -> tuple[n
         return np.empty(0, np.int64), np.empty(0, np.int64)
     rows = counts.where(level >= least).select(F.col(key).alias("k"), F.col(count).alias("c")).toPandas().sort_values("k")
     return rows["k"].to_numpy(np.int64), rows["c"].to_numpy(np.int64)
+
+
+def marked(rows: DataFrame, slot) -> np.ndarray:
+    """The different values of a column of small whole numbers (0 or more), ascending. They come to the driver as bitmaps
+    of at most 4 KB for 32,768 numbers."""
+    place = slot.cast("long") + 1
+    found = rows.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    parts = [np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")) + (r["bucket"] - 1) * 32_768 for r in found]
+    return np.sort(np.concatenate(parts)) if parts else np.empty(0, np.int64)

@@ -94,14 +94,56 @@ def test_long_passages_with_all_allowed_edits_are_found(spark):
     assert len([r for r in rows if r.doc_id == 60]) == 3
 
 
-def test_item_blocks_give_the_same_rows(spark):
+def test_blocks_share_the_edits():
+    for n in range(5, 500):
+        blocks = D.blocks_of(n, D.allowed_edits(n, 0.2))
+        assert sum(length for _, length, _ in blocks) == n and (n < 8 or all(8 <= length <= 15 for _, length, _ in blocks))
+        assert sum(e + 1 for _, _, e in blocks) > D.allowed_edits(n, 0.2)  # not all blocks can have more
+
+
+def test_walks_reach_the_recall_at_every_length_and_full_error():
+    """A block (of the blocks that may be the one with few edits) shares a key with some window of the edited passage."""
+    rng = random.Random(11)
+    for n in (8, 9, 10, 11, 13, 15, 16, 20, 23, 31, 60, 120, 200, 400):
+        caught = 0
+        trials = 100 if n < 100 else 40
+        for _ in range(trials):
+            item = [rng.getrandbits(64) for _ in range(n)]
+            text = [rng.getrandbits(64) for _ in range(5)] + _edited(rng, item, D.allowed_edits(n, 0.2)) + [rng.getrandbits(64) for _ in range(20)]
+            text = np.array([hash(x) & (2 ** 64 - 1) if isinstance(x, str) else x for x in text], np.uint64)
+            item = np.array(item, np.uint64)
+            for a, length, _ in D.blocks_of(n, D.allowed_edits(n, 0.2)):
+                windows = np.lib.stride_tricks.sliding_window_view(text, length)
+                if np.isin(D._keys(windows), D._keys(item[None, a:a + length])).any():
+                    caught += 1
+                    break
+        assert caught >= (0.97 if n < 16 else 0.99) * trials, (n, caught, trials)
+
+
+def test_short_items_and_texts_without_word_breaks(spark):
+    items = [(1, "only five words are here"), (2, "a b c d"), (3, "汉字没有空格也要找到它们才行"), (4, "six words which must match whole")]
+    docs = [(1, "so, Only five words are here."), (2, "only five word are here"), (3, "前言汉字没有空格也要找到它们才行后语"), (4, "a b c d"), (5, "x six words which must match whole y")]
+    rows = D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.edits) for r in rows) == [(1, 1, 0), (3, 3, 0), (5, 4, 0)]
+
+
+def test_many_items_in_many_partitions(spark):
     rng = random.Random(3)
-    items = [(i, " ".join(f"v{rng.randint(0, 50)}" for _ in range(20))) for i in range(12)]
+    items = [(i, " ".join(f"v{rng.randint(0, 50)}" for _ in range(20))) for i in range(40)]
     docs = spark.createDataFrame([(i, f"start {t} stop") for i, t in items], "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    whole = sorted(map(tuple, D.find_leaks(docs, bench).collect()))
-    assert sorted(map(tuple, D.find_leaks(docs, bench, block_words=50).collect())) == whole
-    assert [(r[0], r[1], r[2], r[3], r[4]) for r in whole if r[0] == r[1]] == [(i, i, 1, 21, 0) for i in range(12)]
+    whole = sorted(map(tuple, D.find_leaks(docs, bench.coalesce(1)).collect()))
+    assert sorted(map(tuple, D.find_leaks(docs.repartition(5), bench.repartition(7)).collect())) == whole
+    assert [(r[0], r[1], r[2], r[3], r[4]) for r in whole if r[0] == r[1]] == [(i, i, 1, 21, 0) for i in range(40)]
+
+
+def test_a_passage_in_a_very_long_text_and_a_text_of_passages(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    long = "x y z " * 200_000 + item + " x y z" * 100_000
+    rows = D.find_leaks(spark.createDataFrame([(1, long), (2, " ".join([item] * 50))], "doc_id long, text string"),
+                        spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r.start_word, r.edits) for r in rows if r.doc_id == 1] == [(600_000, 0)]
+    assert sorted(r.start_word for r in rows if r.doc_id == 2) == list(range(0, 1500, 30))
 
 
 def test_empty_tables(spark):
