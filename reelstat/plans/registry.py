@@ -18,8 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstat import config as C
+from reelstat.functions import columns as X
+from reelstat.operators import distinct as DC
 from reelstat.operators import profile as P
 from reelstat.operators import quality as Q
+from reelstat.operators.conversion import conversion_flags
 from reelstat.operators.mode import exact_mode
 from reelstat.plans import checks
 from reelstat.plans import dashboard as D
@@ -29,6 +32,7 @@ from reelstat.plans.marts import content, genres, recommendations, users
 from reelstat.session import ensure_checkpoint_dir
 from reelstat.sources import adapters as A
 from reelstat.sources import raw as R
+from reelstat.sources import versions as V
 
 # Tenure is measured to this date in registered queries so results are stable.
 AS_OF = dt.date(2026, 4, 1)
@@ -151,6 +155,32 @@ def q_catalog_tables(spark, sf_dir):
     return table.where(F.col(pipeline.PARTITION_COLUMN).between(first, last)).drop(pipeline.PARTITION_COLUMN)
 
 
+def q_mart_ready_written(spark, sf_dir):
+    """Two marts written and counted from their files' footers."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ready-{uuid.uuid4().hex}"
+    pipeline.write_mart(q_content_monthly(spark, sf_dir), f"{root}/content_monthly", "watch_month", ["movie_id"])
+    pipeline.write_mart(q_genre_weekly(spark, sf_dir), f"{root}/genre_weekly", "watch_week", ["genre_primary"])
+    return Q.written_row_counts(spark, {m: V.current_path(spark, f"{root}/{m}") for m in ("content_monthly", "genre_weekly")})
+
+
+def q_quarter_viewers(spark, sf_dir):
+    """Distinct viewers by device of each quarter, from the bitmaps of its months, which are written as a table."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/viewers-{uuid.uuid4().hex}"
+    watch = staged(spark, sf_dir, "watch_history").where(F.col("watch_date").isNotNull())
+    months = DC.id_bitmaps(watch, [F.col("device_type"), X.month_start("watch_date").alias("watch_month")], "user_id")
+    V.replace_table(spark, path, months.write.parquet)
+    quarter = F.trunc("watch_month", "quarter").alias("watch_quarter")
+    quarters = DC.merged_bitmaps(V.read_table(spark, path), [F.col("device_type"), quarter])
+    return DC.distinct_counts(quarters, ["device_type", "watch_quarter"], "unique_viewers")
+
+
+def q_yearly_conversions(spark, sf_dir):
+    """Recommendations that led to a watch within a year."""
+    watch = staged(spark, sf_dir, "watch_history").select("user_id", "movie_id", "watch_date", "is_completed")
+    flagged = conversion_flags(staged(spark, sf_dir, "recommendation_logs"), watch, 365)
+    return flagged.select("recommendation_id", "led_to_watch", "led_to_completion")
+
+
 def q_genre_share(spark, sf_dir):
     return D.genre_share(genre_mart(spark, sf_dir))
 
@@ -341,6 +371,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "failed_tests": q_failed_tests,
         "raw_load_errors": q_raw_load_errors,
         "mart_ready": q_mart_ready,
+        "mart_ready_written": q_mart_ready_written,
+        "quarter_viewers": q_quarter_viewers,
+        "yearly_conversions": q_yearly_conversions,
         "profile_columns": q_profile_columns,
         "profile_report": q_profile_report,
         "profile_samples": q_profile_samples,

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from reelstat.operators import profile as P
 from reelstat.operators import quality as Q
@@ -165,3 +166,52 @@ def test_profile_folder_finds_files_in_all_folders(spark, tmp_dir):
     spark.range(1).write.csv(f"{tmp_dir}/none/x")
     with pytest.raises(RuntimeError, match="no Parquet"):
         P.profile_folder(spark, f"{tmp_dir}/none")
+
+
+def test_a_wide_window_is_one_join(spark):
+    r = spark.createDataFrame([], "recommendation_id long, user_id long, movie_id long, recommendation_date date")
+    w = spark.createDataFrame([], "user_id long, movie_id long, watch_date date, is_completed boolean")
+    plan = conversion_flags(r, w, 365)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and conversion_flags(r, w, 365).collect() == []
+
+
+def test_distinct_bitmaps_merge_to_exact_counts(spark):
+    from reelstat.operators import distinct as DC
+
+    rnd = random.Random(9)
+    rows = [(rnd.randrange(3), rnd.randrange(6), rnd.choice([0, 1, 32_767, 32_768, 65_536, 10 ** 12, rnd.randrange(200_000), None])) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "k int, month int, id long")
+    months = DC.id_bitmaps(df, [F.col("k"), F.col("month")], "id").checkpoint()
+
+    def exact(key):
+        ids = {}
+        for k, m, i in rows:
+            if i is not None:
+                ids.setdefault(key(k, m), set()).add(i)
+        return {k: len(v) for k, v in ids.items()}
+
+    got = {(r.k, r.month): r.n for r in DC.distinct_counts(months, ["k", "month"], "n").collect()}
+    assert got == exact(lambda k, m: (k, m))
+    quarters = DC.merged_bitmaps(months, [F.col("k"), F.floor(F.col("month") / 3).alias("quarter")])
+    assert {(r.k, r.quarter): r.n for r in DC.distinct_counts(quarters, ["k", "quarter"], "n").collect()} == exact(lambda k, m: (k, m // 3))
+    with pytest.raises(Exception, match="whole numbers"):
+        DC.id_bitmaps(spark.createDataFrame([(1, -5)], "k int, id long"), [F.col("k")], "id").collect()
+
+
+def test_written_rows_are_counted_from_footers(spark, tmp_dir):
+    from reelstat.operators import quality as Q
+
+    path = f"{tmp_dir}/t"
+    spark.range(1000).selectExpr("id", "id % 3 AS part").write.partitionBy("part").parquet(path)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    with Q.settings(spark, Q.FOOTER_COUNTS):
+        plan = spark.read.parquet(path).groupBy().count()._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan
+    rows = Q.written_row_counts(spark, {"m": path, "none": _empty(spark, f"{tmp_dir}/e")}).collect()
+    assert [tuple(r) for r in rows] == [("m", 1000, True), ("none", 0, False)]
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+
+
+def _empty(spark, path):
+    spark.range(0).write.parquet(path)
+    return path

@@ -178,3 +178,21 @@ def test_column_aliases_rename_or_fill(spark):
     assert [tuple(r) for r in R.apply_aliases(df, {"given": "seen", "absent": "x"}).orderBy("id").collect()] == [(1, 7), (2, 5)]
     assert R.apply_aliases(df, {"given": "is_original"}).columns == ["id", "seen", "is_original"]
     assert R.apply_aliases(df, {"id": "id"}).columns == df.columns
+
+
+def test_many_days_of_one_schema_are_one_group_and_a_change_of_type_splits(spark, tmp_dir, monkeypatch):
+    paths = []
+    for day in range(16):
+        frame = spark.range(2).selectExpr("id", "id AS n") if day < 11 else spark.range(2).selectExpr("id", "CAST(id AS STRING) AS n", "1 AS extra")
+        frame.coalesce(1).write.parquet(f"{tmp_dir}/{day:02d}")
+        paths.append(f"{tmp_dir}/{day:02d}")
+    reads = []
+    reader = type(spark.read)
+    monkeypatch.setattr(reader, "parquet", lambda self, *p, f=reader.parquet, **k: reads.append(p) or f(self, *p, **k))
+    assert [p for _, p in R.schema_groups(spark, paths[:11])] == [paths[:11]] and len(reads) == 1
+    reads.clear()
+    groups = {len(s): sorted(p) for s, p in R.schema_groups(spark, paths)}
+    assert groups == {2: paths[:11], 3: paths[11:]} and len(reads) <= 11
+    monkeypatch.undo()
+    with pytest.raises(Exception):
+        R.schema_groups(spark, [*paths[:3], f"{tmp_dir}/missing"])
