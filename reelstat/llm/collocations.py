@@ -16,8 +16,9 @@ at the end, so the map's size changes the work and never the result. The map
 bit for each) the only thing that comes to the driver.
 
 While they are counted, phrases are known by 128-bit hashes of their words and
-language, made in numpy from the bytes of a block. A last scan gives the texts of
-the frequent ones; a hash that stood for two texts would raise an error there.
+language, made in numpy from the bytes of a block. At the end the texts of the frequent ones are looked
+up in growing parts of the corpus, each part for those that no part before held; a hash
+that stood for two texts of a part would raise an error there.
 
 Edge cases: a null text is empty, a null language is ``und``; repeated rows count
 again; a text longer than a block is counted piece by piece; without a phrase that
@@ -39,8 +40,8 @@ from reelstat.llm.wordhash import BASES, word_hashes
 
 #: Slots of the map of phrases that have reached the threshold, one byte each.
 SLOTS = 1 << 24
-#: Shards of a cycle.
-SHARDS = 4
+#: Shards of a cycle, and parts of a shard.
+SHARDS, PARTS = 4, 2
 #: Words of the longest phrase.
 LONGEST = 4
 #: Words that a task gathers before it counts their phrases.
@@ -181,7 +182,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, lang: str = "lang", text:
     spark = docs.sparkSession
     folder = shared_folder(spark, "phrase-shards")
     (docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"),
-                 (F.monotonically_increasing_id() % shards).cast("int").alias("shard")).where("text is not null")
+                 (F.monotonically_increasing_id() % (shards * PARTS)).cast("int").alias("shard")).where("text is not null")
      .write.partitionBy("shard").parquet(folder))
     texts = spark.read.schema("lang string, text string, shard int").parquet(folder)
     slot = F.shiftrightunsigned("a", 64 - (slots.bit_length() - 1))
@@ -189,7 +190,8 @@ def frequent_phrases(docs: DataFrame, least: int = 30, lang: str = "lang", text:
     counted, path, scan = None, None, 0
     while scan < last + shards:  # some phrase may still be in its cycle
         sent = spark.sparkContext.broadcast(reached)
-        rows = _scanned(texts.where(F.col("shard") == scan % shards), sent, scan, shards)
+        first = scan % shards * PARTS
+        rows = _scanned(texts.where(F.col("shard").between(first, first + PARTS - 1)), sent, scan, shards)
         together = rows if counted is None else rows.unionAll(counted)
         together = together.groupBy("a", "b", "length", "since").agg(F.sum("c").alias("c"))
         open_yet = F.col("since") + shards - 1 > scan
@@ -204,18 +206,30 @@ def frequent_phrases(docs: DataFrame, least: int = 30, lang: str = "lang", text:
             reached = reached.copy()
             reached[new], last = scan, scan
     counted = counted.where((F.col("c") >= least) | (F.col("length") == 0))
-    wanted = np.zeros(slots, bool)
-    wanted[marked(counted, slot)] = True
-    names = _written_out(texts, spark.sparkContext.broadcast(wanted)).join(counted.select("a", "b", "length", "c"), ["a", "b"])
-    names = names.groupBy("a", "b", "length", "c").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"), F.max("lang").alias("l"), F.max("phrase").alias("p"))
-    same = (F.col("l") == F.col("lang")) & (F.col("p") == F.col("phrase"))
-    checked = F.when(same, F.col("phrase")).otherwise(F.raise_error(F.concat(F.lit("one hash of two phrases: "), "phrase", F.lit(" / "), "p")).cast("string"))
-    found, _ = _kept(spark, names.select("lang", "length", checked.alias("phrase"), "c"))
+    found, open_rows, low = spark.createDataFrame([], "lang string, length int, phrase string, c long"), counted.select("a", "b", "length", "c"), 0
+    while low < shards * PARTS and len(places := marked(open_rows, slot)):
+        high = max(2 * low, low + 1)  # as much of the texts again as all parts before
+        wanted = np.zeros(slots, bool)
+        wanted[places] = True
+        sent = spark.sparkContext.broadcast(wanted)
+        named, _ = _kept(spark, _named(open_rows, _written_out(texts.where(F.col("shard").between(low, high - 1)), sent)))
+        sent.destroy()
+        found = found.unionAll(named.where("phrase is not null").select("lang", "length", "phrase", "c"))
+        open_rows, low = named.where("phrase is null").select("a", "b", "length", "c"), high
     drop_folder(spark, path)
     drop_folder(spark, folder)
     return found
 
 
+def _named(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """The rows (a, b, length, c) with lang and phrase, null where the names (a, b, lang, phrase) have none."""
+    both = rows.join(names, ["a", "b"], "left").groupBy("a", "b", "length", "c").agg(
+        F.min("lang").alias("lang"), F.min("phrase").alias("phrase"), F.max("lang").alias("l"), F.max("phrase").alias("p"))
+    differ = (F.col("l") != F.col("lang")) | (F.col("p") != F.col("phrase"))
+    error = F.raise_error(F.concat(F.lit("one hash of two phrases: "), "phrase", F.lit(" / "), "p")).cast("string")
+    return both.select("a", "b", "length", "c", "lang", F.when(differ, error).otherwise(F.col("phrase")).alias("phrase"))
+
+
 def _kept(spark: SparkSession, df: DataFrame) -> tuple[DataFrame, str]:
     path = shared_folder(spark, "phrase-counts")
     df.write.parquet(path)
