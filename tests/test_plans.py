@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from reelstat.plans import dashboard as D
 from reelstat.plans import registry
 from reelstat.plans import staging as S
 from reelstat.plans.marts import content, users
@@ -74,22 +75,33 @@ def scans_of(df, name) -> int:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
-def test_content_mart_reads_sessions_once(spark, tmp_path, monkeypatch):
+def test_content_mart_reads_sessions_once(spark, tmp_path):
     plans = []
-    monkeypatch.setattr(content, "written_once", lambda df, purpose: plans.append(df) or written_once(df, purpose))
+    keep = lambda df, purpose: plans.append(df) or written_once(df, purpose)
     movies, watch, reviews = written_staging(spark, tmp_path, "movies", "watch_history", "reviews")
-    mart = content.content_performance(movies, watch, reviews)
+    mart = content.content_performance(movies, watch, reviews, keep=keep)
     assert [scans_of(plans[0], t) for t in ("movies", "watch_history", "reviews")] == [1, 1, 1]
     assert scans_of(mart, "watch_history") == 0 and mart.count() > 0
 
 
-def test_user_mart_reads_sessions_twice_at_most(spark, tmp_path, monkeypatch):
+def test_user_mart_reads_sessions_twice_at_most(spark, tmp_path):
     plans = []
-    monkeypatch.setattr(users, "written_once", lambda df, purpose: plans.append(df) or written_once(df, purpose))
+    keep = lambda df, purpose: plans.append(df) or written_once(df, purpose)
     frames = written_staging(spark, tmp_path, "users", "watch_history", "reviews", "search_logs", "recommendation_logs")
-    mart = users.user_engagement(*frames, as_of=registry.AS_OF)
+    mart = users.user_engagement(*frames, as_of=registry.AS_OF, keep=keep)
     assert scans_of(plans[0], "watch_history") == 2 and scans_of(mart, "watch_history") == 0
 
 
 def test_recommendation_mart_does_not_expand_rows(spark):
     assert "Expand" not in physical_plan(E.queries()["recommendation_performance"](spark, SF_SMALL))
+
+
+def test_dashboard_queries_compute_only_their_columns(spark, tmp_path):
+    """Lazy marts: no mode, no distinct count and no other activity for the user figures."""
+    frames = written_staging(spark, tmp_path, "users", "watch_history", "reviews", "search_logs", "recommendation_logs")
+    mart = users.user_engagement(*frames, as_of=registry.AS_OF)
+    figures = D.kpi_summary(mart, registry.DASH_PLANS, registry.DASH_COUNTRIES)
+    plan = figures._jdf.queryExecution().optimizedPlan().toString()
+    assert "mode(" not in plan and "Generate" not in plan
+    assert [scans_of(figures, t) for t in ("reviews", "search_logs", "recommendation_logs")] == [0, 0, 0]
+    assert scans_of(figures, "watch_history") == 1
