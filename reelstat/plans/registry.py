@@ -23,7 +23,7 @@ from reelstat.operators import distinct as DC
 from reelstat.operators import profile as P
 from reelstat.operators import quality as Q
 from reelstat.operators.conversion import conversion_flags
-from reelstat.operators.mode import exact_mode
+from reelstat.operators.mode import exact_mode, wide_mode
 from reelstat.plans import checks
 from reelstat.plans import dashboard as D
 from reelstat.plans import pipeline
@@ -181,6 +181,18 @@ def q_yearly_conversions(spark, sf_dir):
     return flagged.select("recommendation_id", "led_to_watch", "led_to_completion")
 
 
+def q_title_top_viewer(spark, sf_dir):
+    """The user with the most sessions of each title: a mode over as many values as there are users."""
+    return wide_mode(staged(spark, sf_dir, "watch_history"), ["movie_id"], "user_id", "top_user")
+
+
+def q_clustered_mart(spark, sf_dir):
+    """The monthly mart laid out by ranges of titles, read for some of them."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clustered-{uuid.uuid4().hex}"
+    pipeline.write_mart(q_content_monthly(spark, sf_dir), path, None, ["movie_id"], by_range=True)
+    return pipeline.read_mart(spark, path).where(F.col("movie_id").between(100, 150))
+
+
 def q_genre_share(spark, sf_dir):
     return D.genre_share(genre_mart(spark, sf_dir))
 
@@ -373,6 +385,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_ready": q_mart_ready,
         "mart_ready_written": q_mart_ready_written,
         "quarter_viewers": q_quarter_viewers,
+        "title_top_viewer": q_title_top_viewer,
+        "clustered_mart": q_clustered_mart,
         "yearly_conversions": q_yearly_conversions,
         "profile_columns": q_profile_columns,
         "profile_report": q_profile_report,

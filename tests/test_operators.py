@@ -215,3 +215,20 @@ def test_written_rows_are_counted_from_footers(spark, tmp_dir):
 def _empty(spark, path):
     spark.range(0).write.parquet(path)
     return path
+
+
+def test_wide_mode_equals_plain_counts(spark):
+    from collections import Counter
+
+    from reelstat.operators.mode import wide_mode
+
+    rnd = random.Random(4)
+    rows = [(rnd.choice([0, 0, 1, 2, None]), rnd.choice([None, *range(300)]) if rnd.random() < 0.9 else 7) for _ in range(6000)]
+    rows += [(9, None), (9, None), (9, 3), (8, 5), (8, 4), (8, None)]
+    got = {r.k: (r.m, r.m_rows) for r in wide_mode(spark.createDataFrame(rows, "k int, v long").repartition(5), ["k"], "v", "m").collect()}
+    for k in {k for k, _ in rows}:
+        value, n = min(Counter(v for kk, v in rows if kk == k).items(), key=lambda x: (-x[1], x[0] is None, x[0] or 0))
+        assert got[k] == (value, n)
+    million = spark.range(1_000_000).selectExpr("0 AS k", "IF(id % 1000 = 0, 5, id) AS v")
+    plan = wide_mode(million, ["k"], "v", "m")
+    assert tuple(plan.first()) == (0, 5, 1000 + 1) and "mode(" not in plan._jdf.queryExecution().optimizedPlan().toString()
