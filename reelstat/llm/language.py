@@ -37,28 +37,34 @@ _SYMBOL = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256
 def training_texts(labelled: DataFrame, text: str = "text", lang: str = "lang", texts_per_language: int = 64,
                    bytes_per_language: int = 24_000, bytes_per_text: int = 2_000,
                    max_languages: int = 200) -> dict[str, bytes]:
-    """Language -> sample text, from rows chosen by the hash of their text.
+    """Language -> sample text, whole texts chosen by the hash of their text.
 
-    The bound: at most ``texts_per_language`` texts of each of at most
-    ``max_languages`` languages, ``bytes_per_language`` bytes each. A text's
-    hash picks its slot and the smallest hash of a slot wins, so the choice
+    The bound: of each of at most ``max_languages`` languages at most
+    ``texts_per_language`` texts, and as many of them as ``bytes_per_language`` bytes hold (about 20 of
+    1,200 bytes by default), but one at least. A text's hash picks its slot; in a slot a text of at most
+    ``bytes_per_text`` bytes wins over a longer one, then the smallest hash, so the choice
     does not depend on order or partitioning and copies count once.
     """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    slots = (rows.groupBy("lang", F.pmod("h", F.lit(texts_per_language)).alias("slot")).agg(F.min("h").alias("h"))
+    size = F.octet_length("text")
+    best = F.min(F.struct((size > bytes_per_text).alias("long"), "h", size.alias("size")))
+    slots = (rows.groupBy("lang", F.pmod("h", F.lit(texts_per_language)).alias("slot")).agg(best.alias("best"))
              .limit(texts_per_language * max_languages + 1).collect())
     if len(slots) > texts_per_language * max_languages:
         raise ValueError(f"more than {max_languages} languages; raise max_languages")
-    chosen = {(r["lang"], r["h"]) for r in slots}
+    chosen, held = set(), {}
+    for name, (_, h, n) in sorted((r["lang"], tuple(r["best"])) for r in slots):
+        if name not in held or held[name] + n <= bytes_per_language:
+            chosen.add((name, h))
+            held[name] = held.get(name, 0) + n
     if not chosen:
         return {}
-    picked = (rows.where(F.col("h").isin([h for _, h in chosen]))
-              .select("lang", "h", F.expr(f"substr(text, 1, {bytes_per_text})").alias("text")).distinct().collect())
+    picked = rows.where(F.col("h").isin([h for _, h in chosen])).select("lang", "h", "text").distinct().collect()
     out: dict[str, bytes] = {}
     for r in sorted(picked, key=lambda r: (r["lang"], r["h"])):
         if (r["lang"], r["h"]) in chosen:
-            out[r["lang"]] = (out.get(r["lang"], b"") + symbols(r["text"]).tobytes() + b" ")[:bytes_per_language]
+            out[r["lang"]] = out.get(r["lang"], b"") + symbols(r["text"]).tobytes() + b" "
     return out
 
 

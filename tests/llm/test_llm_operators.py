@@ -394,3 +394,18 @@ def test_smallest_hashes_over_copies_nulls_and_few_rows(spark):
     assert smallest_hashes(docs, "text", 20) == [r.text for r in sorted(hashed, key=lambda r: r.h)[:20]]
     assert sorted(smallest_hashes(docs, "text", 1000)) == sorted([*texts, "copy"])
     assert smallest_hashes(docs.limit(0), "text", 5) == []
+
+
+def test_language_samples_are_whole_texts_within_their_bound(spark):
+    rng = random.Random(6)
+    texts = [(i, " ".join(rng.choices(["eins", "zwei", "drei"], k=rng.choice([3, 60, 900]))), "de") for i in range(200)] + [(900, "lang " * 9000, "nl"), (901, None, "fr"), (902, "12", "fr")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    samples = language.training_texts(docs.repartition(5))
+    assert sorted(samples) == ["de", "nl"] and len(samples["nl"]) == 45_000 + 1
+    parts = {language.symbols(t).tobytes() for _, t, _ in texts if t}
+    rest, taken = samples["de"], 0
+    while rest:
+        whole = next(p for p in sorted(parts, key=len, reverse=True) if rest.startswith(p + b" "))
+        rest, taken = rest[len(whole) + 1:], taken + 1
+    assert taken > 20 and len(samples["de"]) <= 24_000 + taken
+    assert language.training_texts(docs.coalesce(1)) == samples
