@@ -66,8 +66,9 @@ def cgk_keys(windows: np.ndarray, walks: int) -> np.ndarray:
     steps = 2 * length
     odd = rng.integers(0, 2**63, (steps, walks), np.uint64) * np.uint64(2) + np.uint64(1)
     sampled = np.zeros((steps, walks), bool)
+    parts = np.array_split(np.arange(steps - steps // 10), SAMPLED)  # one step of each part, so that a key has words from all over the window
     for walk in range(walks):
-        sampled[rng.choice(steps - steps // 10, SAMPLED, replace=False), walk] = True
+        sampled[[rng.choice(part) for part in parts], walk] = True
     at = np.zeros((count, walks), np.int64)
     keys = np.tile(np.arange(walks, dtype=np.uint64), (count, 1))
     rows = np.arange(count)[:, None]
@@ -226,13 +227,22 @@ def _hit_rows(docs: DataFrame, doc_id: str, text: str, shared) -> DataFrame:
 
 
 def matches(item: np.ndarray, symbols: np.ndarray, edits: int, places: list[int]) -> list[tuple[int, int, int]]:
-    """(start, end, edits) of the matches near the given starts, the best first; overlapping ones count once."""
+    """(start, end, edits) of the matches near the given starts, the best first; overlapping ones count once.
+
+    ``edits`` edits leave all but 3 x ``edits`` of the item's triples in place, so only parts with that many are compared.
+    """
     found, at = [], -1
+    own, need, span = _triples(item), len(item) - 2 - 3 * edits, max(len(item) + edits - 2, 1)
     for place in sorted(places):
         low, high = max(place - edits, at, 0), min(place + len(item) + 2 * edits, len(symbols))
         if high <= at or low >= high:
             continue
         low = low if at < 0 or low > at else max(at - len(item) - edits, 0)  # a match may begin in the part before
+        if need > 0:
+            total = np.concatenate([[0], np.cumsum(np.isin(_triples(symbols[low:high]), own))])
+            if (total[np.minimum(np.arange(len(total)) + span, len(total) - 1)] - total).max() < need:
+                at = high
+                continue
         cost, start = edit_ends(item, symbols[low:high])
         ends = np.flatnonzero(cost <= edits)
         found += zip(cost[ends].tolist(), (low + ends).tolist(), (low + start[ends]).tolist(), strict=True)
