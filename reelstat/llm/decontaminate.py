@@ -231,22 +231,19 @@ def matches(item: np.ndarray, symbols: np.ndarray, edits: int, places: list[int]
 
     ``edits`` edits leave all but 3 x ``edits`` of the item's triples in place, so only parts with that many are compared.
     """
-    found, at = [], -1
     own, need, span = _triples(item), len(item) - 2 - 3 * edits, max(len(item) + edits - 2, 1)
-    for place in sorted(places):
-        low, high = max(place - edits, at, 0), min(place + len(item) + 2 * edits, len(symbols))
-        if high <= at or low >= high:
+    ordered, found = np.array(sorted(places)), []
+    for part in np.split(ordered, np.flatnonzero(np.diff(ordered) > len(item) + 3 * edits) + 1):  # every match near a part lies in one region
+        low, high = max(int(part[0]) - edits, 0), min(int(part[-1]) + len(item) + 2 * edits, len(symbols))
+        if low >= high:
             continue
-        low = low if at < 0 or low > at else max(at - len(item) - edits, 0)  # a match may begin in the part before
         if need > 0:
             total = np.concatenate([[0], np.cumsum(np.isin(_triples(symbols[low:high]), own))])
             if (total[np.minimum(np.arange(len(total)) + span, len(total) - 1)] - total).max() < need:
-                at = high
                 continue
         cost, start = edit_ends(item, symbols[low:high])
         ends = np.flatnonzero(cost <= edits)
         found += zip(cost[ends].tolist(), (low + ends).tolist(), (low + start[ends]).tolist(), strict=True)
-        at = high
     taken, out = np.zeros(len(symbols), bool), []
     for cost, end, start in sorted(set(found)):
         if end > start and not taken[start:end].any():
