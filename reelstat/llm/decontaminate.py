@@ -192,7 +192,8 @@ class _Windows:
                 windows = np.where(place < stop[part][:, None], symbols[np.minimum(place, len(symbols) - 1)], 0)
                 keys = _keys(windows)
                 row, walk = np.nonzero(self.keys[_place(keys)])
-                yield part[row], keys[row, walk]
+                if len(row):
+                    yield part[row], keys[row, walk]
 
 
 def _hit_rows(docs: DataFrame, doc_id: str, text: str, shared) -> DataFrame:

@@ -127,6 +127,17 @@ def test_short_items_and_texts_without_word_breaks(spark):
     assert sorted((r.doc_id, r.item_id, r.edits) for r in rows) == [(1, 1, 0), (3, 3, 0), (5, 4, 0)]
 
 
+def test_windows_without_a_key_in_common_give_nothing(spark):
+    item = [f"w{i}" for i in range(15)]
+    text = " ".join(item[0:3] + ["x"] + item[3:6] + ["y"] + item[6:9] + ["z"] + item[9:12])
+    windows = D._Windows(D._place(D._triples(hashes([w.encode() for w in item]))), np.empty(0, np.int64), [15 * 256 + 3])
+    symbols = hashes(D.plain_words(text))
+    assert list(windows.hits(symbols, np.array([len(symbols)]))) == []
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    none = spark.createDataFrame([(1, " ".join(f"{w} q" for w in item)), (2, " ".join(item[:5] * 4))], "doc_id long, text string")
+    assert D.find_leaks(none, bench).collect() == []
+
+
 def test_many_items_in_many_partitions(spark):
     rng = random.Random(3)
     items = [(i, " ".join(f"v{rng.randint(0, 50)}" for _ in range(20))) for i in range(40)]
