@@ -11,6 +11,8 @@ from __future__ import annotations
 import numpy as np
 
 WINDOW, STRIDE, WIDTH, CLASSES, OWN_ROWS = 16, 13, 16, 64, 2048
+#: Learning rate.
+RATE = 0.01
 _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
 
@@ -67,6 +69,8 @@ class CausalAttention:
         self.p = {"embed": normal(OWN_ROWS + 2, WIDTH, scale=0.5), "place": normal(WINDOW, WIDTH, scale=0.1),
                   "qkv": normal(WIDTH, 3 * WIDTH, scale=0.25), "mix": normal(WIDTH, WIDTH, scale=0.25),
                   "out": normal(WIDTH, CLASSES, scale=0.25), "bigram": np.zeros((OWN_ROWS + 2, CLASSES), np.float32)}
+        self.trained = sorted(n for n in self.p if n != "bigram")  # which is given
+        self.moments, self.steps = [], 0
 
     def forward(self, rows: np.ndarray, keep: bool = False):
         p = self.p
@@ -92,18 +96,40 @@ class CausalAttention:
             return logits, np.log(total), (x, q, k, v, s, context, h, e / total[..., None])
         return logits, np.log(total)
 
-    def train(self, rows: np.ndarray, kinds: np.ndarray, valid: np.ndarray, steps: int = 2_000, batch: int = 64, rate: float = 0.01, seed: int = 17):
+    def step(self, rows: np.ndarray, kinds: np.ndarray, valid: np.ndarray, rate: float):
+        """One Adam step on some windows; moments and the number of steps stay with the model."""
+        if not self.moments:
+            self.moments = [{n: np.zeros_like(self.p[n]) for n in self.trained} for _ in range(2)]
+        self.steps += 1
+        m, w = self.moments
+        for n, g in self._gradients(rows, kinds, valid).items():
+            m[n] = 0.9 * m[n] + 0.1 * g
+            w[n] = 0.99 * w[n] + 0.01 * g * g
+            self.p[n] -= (rate * (m[n] / (1 - 0.9 ** self.steps)) / (np.sqrt(w[n] / (1 - 0.99 ** self.steps)) + 1e-6)).astype(np.float32)
+
+    def train(self, rows: np.ndarray, kinds: np.ndarray, valid: np.ndarray, steps: int = 2_000, batch: int = 64, rate: float = RATE, seed: int = 17) -> int:
+        """Passes over all the windows, each in an order of its own, until ``steps`` are made; returns the number of passes."""
         rng = np.random.default_rng(seed)
-        m = {n: np.zeros_like(a) for n, a in self.p.items() if n != "bigram"}  # which is given
-        w = {n: np.zeros_like(a) for n, a in m.items()}
-        for step in range(1, steps + 1):
-            at = rng.integers(0, len(rows), batch)
-            gradients = self._gradients(rows[at], kinds[at], valid[at])
-            lr = rate * min(1, 2 * (1 - step / (steps + 1)))
-            for n, g in gradients.items():
-                m[n] = 0.9 * m[n] + 0.1 * g
-                w[n] = 0.99 * w[n] + 0.01 * g * g
-                self.p[n] -= (lr * (m[n] / (1 - 0.9 ** step)) / (np.sqrt(w[n] / (1 - 0.99 ** step)) + 1e-6)).astype(np.float32)
+        passes = -(-steps * batch // len(rows))
+        order = np.argsort(rng.random((passes, len(rows))), axis=1).ravel()
+        number = -(-len(order) // batch)
+        for i in range(number):
+            at = order[i * batch:(i + 1) * batch]
+            self.step(rows[at], kinds[at], valid[at], rate * min(1, 2 * (1 - (i + 1) / (number + 1))))
+        return passes
+
+    def state(self) -> np.ndarray:
+        """The trained parameters and their moments as one row of numbers, which can be averaged with others."""
+        held = [self.p, *(self.moments or [{n: np.zeros_like(self.p[n]) for n in self.trained}] * 2)]
+        return np.concatenate([h[n].ravel() for h in held for n in self.trained])
+
+    def restore(self, state: np.ndarray, steps: int):
+        """Takes over a ``state`` after so many steps."""
+        cut = np.split(state.astype(np.float32), np.cumsum([self.p[n].size for n in self.trained] * 3)[:-1])
+        shaped = [c.reshape(self.p[n].shape) for c, n in zip(cut, self.trained * 3, strict=True)]
+        first, *self.moments = [dict(zip(self.trained, shaped[i:i + len(self.trained)], strict=True)) for i in range(0, len(shaped), len(self.trained))]
+        self.p.update(first)
+        self.steps = steps
 
     def _gradients(self, rows, kinds, valid):
         p = self.p
@@ -124,7 +150,9 @@ class CausalAttention:
         d_x = d_h + d_qkv @ p["qkv"].T
         g["place"] = d_x.sum(0)
         g["embed"] = np.zeros_like(p["embed"])
-        np.add.at(g["embed"], rows.ravel(), flat(d_x))
+        order = np.argsort(rows, axis=None, kind="stable")
+        used, starts = np.unique(rows.ravel()[order], return_index=True)
+        g["embed"][used] = np.add.reduceat(flat(d_x)[order], starts)
         return g
 
 

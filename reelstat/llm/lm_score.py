@@ -2,10 +2,11 @@
 
 Counts (words and subwords, the subwords as they are scored: ids of whole raw
 texts) cover every training document and are summed by Spark. So are the transitions between the input rows of the attention model, which
-give its classes and its bigram term. Its other weights are fitted in numpy on the driver, on
-windows drawn from all whole training texts, in a number that grows with the
-cube root of the tokens (68 bytes each: 850 MB at 100 TB), with steps that reach about every window. Texts are scored
-in overlapping windows, each token once.
+give its classes and its bigram term. Its other weights are trained on every window of
+every whole training text, by the tasks that read the texts: in each of ``ROUNDS`` rounds the
+tasks start from the same weights, train on the round's texts, and their weights are averaged by
+the number of targets (what the driver gets is a few rows of 105,000 numbers, whatever the input). Few windows are
+passed over several times in one task. Texts are scored in overlapping windows, each token once.
 
 Words are known by 64-bit hashes. The counts of the ``head`` most frequent
 words go to every task (the bound of that broadcast); a text's other words meet
@@ -22,13 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reelstat.llm.attention import CLASSES, OWN_ROWS, STRIDE, WINDOW, CausalAttention, cluster_rows, input_rows, sequence_scores
+from reelstat.llm.attention import CLASSES, OWN_ROWS, RATE, STRIDE, WINDOW, CausalAttention, cluster_rows, input_rows, layout, sequence_scores
 from reelstat.llm.common import flat, hashes, int_arrays, mix, most_frequent, text_blocks, written
 from reelstat.llm.tokens import VOCABULARY, encode, encoding
 from reelstat.llm.wordhash import word_hashes
 
-#: Training windows are drawn from all texts, this many times the cube root of the number of tokens.
-WINDOWS_PER_ROOT = 400
+#: Up to so many training windows one task passes over all of them, for at least so many steps.
+FEW_WINDOWS, STEPS = 128_000, 2_000
+#: Of more windows each is trained on once, in one of so many rounds, in steps of so many windows out of a slice of neighbours.
+ROUNDS, BATCH, SLICE = 8, 128, 8192
 #: The column with the ids of a text, beside the user's own.
 IDS = "_lm_ids"
 #: Different counts, and pairs of rows, that a task gathers before it adds them up.
@@ -146,27 +149,23 @@ def context_rows(training: DataFrame, row: np.ndarray, end: int, share: float, d
 
 
 class Scorer:
-    """What tasks need to score texts with the model.
+    """What tasks need to score texts with the model, whose weights ``train`` fits.
 
-    ``counts``: of each id; ``pairs``: of each target's row (columns) after each input row; ``windows``: training
-    windows as ``context_rows`` draws them.
+    ``counts``: of each id; ``pairs``: of each target's row (columns) after each input row.
     """
 
-    def __init__(self, counts: np.ndarray, row: np.ndarray, pairs: np.ndarray, windows: np.ndarray, vocabulary: str = VOCABULARY):
+    def __init__(self, counts: np.ndarray, row: np.ndarray, pairs: np.ndarray, vocabulary: str = VOCABULARY):
         self.vocabulary, self.row = vocabulary, row
         self.end = len(counts) - 1
         self.kind = cluster_rows(counts, row, pairs)
         self.model = CausalAttention()
-        if len(windows):
+        self.trained_targets = 0
+        if pairs.any():
             of_row = np.full(OWN_ROWS + 1, CLASSES - 1)
             of_row[row] = self.kind
             follow = np.stack([np.bincount(of_row, p, CLASSES) for p in pairs])
             every = (follow.sum(axis=0) + 0.1) / (follow.sum() + 0.1 * CLASSES)
             self.model.p["bigram"] = np.log((follow + PRIOR * every) / (follow.sum(axis=1, keepdims=True) + PRIOR)).astype(np.float32)
-            before, targets = windows[:, :-1], windows[:, 1:]
-            rows = np.where(before < 0, OWN_ROWS + 1, row[before])
-            new = (windows[:, :1] < 0) | (np.arange(WINDOW) >= WINDOW - STRIDE)
-            self.model.train(rows, self.kind[targets], (targets >= 0) & new, steps=max(2_000, -(-len(windows) // 64)))
         smooth = counts + 0.01
         per_class = np.bincount(self.kind, smooth)
         self.within = (np.log(smooth) - np.log(per_class[self.kind])).astype(np.float32)
@@ -182,15 +181,66 @@ def fit(training: DataFrame, counts: DataFrame, text: str = "text", vocabulary:
         subwords[r["key"]] = r["c"]
     end, tokens = len(subwords) - 1, subwords.sum()
     row = input_rows(subwords, end)
-    share = WINDOWS_PER_ROOT * STRIDE / max(tokens, 1) ** (2 / 3)  # of about tokens / STRIDE windows
-    context = written(context_rows(training, row, end, share, doc_id, text, vocabulary), "lm-context")
+    context = context_rows(training, row, end, 0, doc_id, text, vocabulary)
     found = context.where("pair is not null").groupBy("pair").agg(F.sum("c").alias("c")).toArrow()
     pairs = np.zeros((OWN_ROWS + 2) * (OWN_ROWS + 1))
     pairs[found.column("pair").to_numpy()] = found.column("c").to_numpy()
-    drawn = context.where("window is not null").select("window").toArrow().column("window").combine_chunks()
-    windows = drawn.flatten().to_numpy(zero_copy_only=False).reshape(-1, WINDOW + 1)
-    windows = windows[np.lexsort(windows.T)]  # whatever the order of rows
-    return Scorer(subwords, row, pairs.reshape(OWN_ROWS + 2, OWN_ROWS + 1), windows, vocabulary)
+    scorer = Scorer(subwords, row, pairs.reshape(OWN_ROWS + 2, OWN_ROWS + 1), vocabulary)
+    if tokens:
+        train(training, scorer, int(tokens // STRIDE + subwords[end]), text, doc_id)
+    return scorer
+
+
+def train(training: DataFrame, scorer: Scorer, windows: int, text: str = "text", doc_id: str = "doc_id") -> None:
+    """Fits the model's weights on all windows of the training texts, of which there are at most ``windows``."""
+    model, kind, row, end = scorer.model, scorer.kind, scorer.row, scorer.end
+
+    def slices(batches):
+        """(inputs, classes of the targets, whether to learn them): each target is learned in one window."""
+        for _, _, _, _, ids in _blocks(batches, scorer.vocabulary):
+            for inputs, targets, _, scored in layout(ids, row, end, SLICE):
+                yield inputs, kind[targets], scored
+
+    def answer(targets: int):
+        return pa.RecordBatch.from_arrays([pa.array([targets]), pa.array([model.steps]), pa.array([model.state().tobytes()])], ["targets", "steps", "state"])
+
+    def passes(batches):
+        held = [np.concatenate(part) for part in zip(*slices(batches), strict=True)]
+        if held:
+            inputs, kinds, scored = (part[np.lexsort(np.hstack(held).T)] for part in held)  # whatever the order of rows
+            times = model.train(inputs, kinds, scored, STEPS)
+            yield answer(times * int(scored.sum()))
+
+    def one_round(batches):
+        rng, targets = np.random.default_rng(TaskContext.get().partitionId()), 0
+        for inputs, kinds, scored in slices(batches):
+            order = rng.permutation(len(inputs))
+            for a in range(0, len(order), BATCH):
+                at = order[a:a + BATCH]
+                model.step(inputs[at], kinds[at], scored[at], rate)
+            targets += int(scored.sum())
+        if targets:
+            yield answer(targets)
+
+    def add(a, b):
+        return a[0] + b[0], a[1] + b[1], a[2] + b[2]
+
+    def averaged(answers: DataFrame) -> None:
+        weighed = answers.rdd.map(lambda r: (r.targets, r.targets * r.steps, r.targets * np.frombuffer(r.state, np.float32).astype(np.float64)))
+        targets, steps, state = weighed.treeAggregate((0, 0, 0.0), add, add)
+        if targets:
+            model.restore(state / targets, max(round(steps / targets), 1))
+            scorer.trained_targets += targets
+
+    schema = "targets long, steps long, state binary"
+    if windows <= FEW_WINDOWS:
+        averaged(_read(training, text).coalesce(1).mapInArrow(passes, schema))
+        return
+    texts = training if IDS in training.columns else encoded(training, text, scorer.vocabulary)
+    for number in range(ROUNDS):
+        rate = RATE * min(1, 2 * (1 - (number + 0.5) / ROUNDS))
+        part = texts.where(F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.col(text).cast("string")), F.lit(ROUNDS)) == number)
+        averaged(_read(part, text).mapInArrow(one_round, schema))
 
 
 def score_texts(docs: DataFrame, counts: DataFrame, scorer: Scorer, doc_id: str = "doc_id", text: str = "text", head: int = 200_000,

@@ -276,6 +276,22 @@ def test_scores_equal_a_plain_evaluation(spark):
     assert {r.doc_id: r.score for r in lm_score.score_texts(docs, counts, scorer).collect()} == pytest.approx(dict(enumerate(got)), rel=1e-5)
 
 
+def test_every_window_trains_the_model(spark, monkeypatch):
+    rows = [(i, t) for i, (_, t) in enumerate(random_docs(13, n=80))]
+    docs = docs_of(spark, rows).repartition(3)
+    counts = lm_score.corpus_counts(docs).checkpoint()
+    targets = sum(len(encode(t)) + 1 for _, t in rows)
+    few = lm_score.fit(docs, counts)
+    assert few.trained_targets >= targets and few.trained_targets % targets == 0
+    monkeypatch.setattr(lm_score, "FEW_WINDOWS", 0)
+    many = lm_score.fit(docs, counts)
+    assert many.trained_targets == targets and many.model.steps >= lm_score.ROUNDS // 2
+    untrained = lm_score.Scorer(np.zeros(50257), np.full(50257, attention.OWN_ROWS), np.zeros((attention.OWN_ROWS + 2, attention.OWN_ROWS + 1))).model
+    assert all(np.isfinite(many.model.p[n]).all() and not np.array_equal(many.model.p[n], untrained.p[n]) for n in untrained.trained)
+    texts = [encode(t) for _, t in rows]
+    assert few.scores(texts).sum() > many.scores(texts).sum()
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(2)
     model = attention.CausalAttention(seed=4)
@@ -359,7 +375,7 @@ def test_url_edge_rows(spark):
 @pytest.mark.parametrize("name", sorted(sql.QUERIES))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     res = con.execute(sql.QUERIES[name])
     columns = [d[0] for d in res.description]
