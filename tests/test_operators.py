@@ -232,3 +232,15 @@ def test_wide_mode_equals_plain_counts(spark):
     million = spark.range(1_000_000).selectExpr("0 AS k", "IF(id % 1000 = 0, 5, id) AS v")
     plan = wide_mode(million, ["k"], "v", "m")
     assert tuple(plan.first()) == (0, 5, 1000 + 1) and "mode(" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_profiled_values_are_not_shuffled_before_they_combine(spark, tmp_dir):
+    path = f"{tmp_dir}/wide"
+    spark.range(400).selectExpr("id", "id % 3 AS few", "if(id % 5 = 0, null, id % 2) AS two").repartition(2).write.parquet(path)
+    df = spark.read.parquet(path)
+    stats = P.file_stats(df).checkpoint()
+    values = P.low_cardinality_values(df, stats, ["id", "few", "two"])
+    plan = values._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    got = sorted((r.column_name, r.distinct_count, tuple(r.distinct_values)) for r in values.collect())
+    assert got == [("few", 3, ("0", "1", "2"))] * 2 + [("two", 2, ("0", "1"))] * 2
