@@ -1,15 +1,17 @@
 """Plan shape of every registered query: JVM-side only, no cross joins, pruned scans."""
 
 import re
+import threading
 
 import pytest
 
 import __spark_entry__ as E
 from reelstat.plans import dashboard as D
-from reelstat.plans import registry
+from reelstat.plans import pipeline, registry
 from reelstat.plans import staging as S
 from reelstat.plans.marts import content, users
 from reelstat.session import written_once
+from reelstat.sources import raw
 
 from .conftest import SF_SMALL
 
@@ -105,3 +107,23 @@ def test_dashboard_queries_compute_only_their_columns(spark, tmp_path):
     assert "mode(" not in plan and "Generate" not in plan
     assert [scans_of(figures, t) for t in ("reviews", "search_logs", "recommendation_logs")] == [0, 0, 0]
     assert scans_of(figures, "watch_history") == 1
+
+
+def test_queries_of_two_marts_clean_the_sessions_once(spark, monkeypatch):
+    for query in (registry.q_mart_rebuild, registry.q_mart_ready_written):
+        files, write = [], pipeline.write_mart
+        monkeypatch.setattr(pipeline, "write_mart", lambda df, *a: files.append(df.inputFiles()) or write(df, *a))  # noqa: B023
+        query(spark, SF_SMALL)
+        monkeypatch.undo()
+        assert len(files) == 2 and not any("lineitem" in f for some in files for f in some)
+
+
+def test_tables_are_loaded_at_the_same_time(spark, monkeypatch):
+    both = threading.Barrier(2, timeout=60)
+
+    def load(df, path, counters):
+        both.wait()
+        return raw.LoadReport(path.split("/")[-1], 0, 0, path, dict.fromkeys(counters, 0))
+
+    monkeypatch.setattr(raw, "write_raw_table", load)
+    assert registry.q_observed_quality(spark, SF_SMALL).count() == 52
