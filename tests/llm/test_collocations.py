@@ -1,6 +1,7 @@
 """Collocations against plain counting of every phrase."""
 
 import collections
+import pathlib
 import random
 import re
 
@@ -139,3 +140,12 @@ def test_empty_table_and_exact_scores(spark):
                                 "lang string, length int, phrase string, c long")
     row = collocations.scored(big).first()
     assert row["score"] == 2_000_000 * (7 * 10 ** 17 + 3) // (17 * 10 ** 17 + 1)
+
+
+def test_counted_phrases_take_little_disk(spark):
+    """What is shuffled and written of a phrase: 96 bits of its hash, and columns that compress well."""
+    reached = spark.sparkContext.broadcast(np.full(1 << 8, 255, np.uint8))
+    rows = collocations._scanned(frame(spark, [(" ".join(f"w{i}" for i in range(n, n + 20_000)), "en") for n in (0, 20_000)], 1), reached, 0, 4)
+    kept, path = collocations._kept(spark, rows)
+    assert kept.where("length = 1").distinct().count() == 40_000
+    assert sum(f.stat().st_size for f in pathlib.Path(path).glob("*.parquet")) < 14 * 40_000
