@@ -4,6 +4,7 @@ import collections
 import pathlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -149,3 +150,20 @@ def test_counted_phrases_take_little_disk(spark):
     kept, path = collocations._kept(spark, rows)
     assert kept.where("length = 1").distinct().count() == 40_000
     assert sum(f.stat().st_size for f in pathlib.Path(path).glob("*.parquet")) < 14 * 40_000
+
+
+def test_shuffles_of_a_scan_are_removed_with_it(spark):
+    folders = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {f for d in folders for f in pathlib.Path(d).rglob("shuffle_*.data")}
+
+    setting, before = spark.conf.get(collocations._CLEANUP), files()
+    kept, _ = collocations._kept(spark, spark.range(70).selectExpr("id % 7 AS a").groupBy("a").count())
+    for _ in range(100):  # they are removed in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert sorted(tuple(r) for r in kept.collect()) == [(a, 10) for a in range(7)]
+    assert spark.conf.get(collocations._CLEANUP) == setting
