@@ -93,7 +93,7 @@ class CausalAttention:
         e = np.exp(logits)
         total = np.maximum(e.sum(axis=2), np.float32(1e-35))
         if keep:
-            return logits, np.log(total), (x, q, k, v, s, context, h, e / total[..., None])
+            return logits, np.log(total), (x, q, k, v, s, context, h, np.divide(e, total[..., None], out=e))
         return logits, np.log(total)
 
     def step(self, rows: np.ndarray, kinds: np.ndarray, valid: np.ndarray, rate: float):
@@ -133,9 +133,8 @@ class CausalAttention:
 
     def _gradients(self, rows, kinds, valid):
         p = self.p
-        _, _, (x, q, k, v, s, context, h, soft) = self.forward(rows, keep=True)
-        d_logits = soft.copy()
-        np.put_along_axis(d_logits, kinds[..., None], np.take_along_axis(d_logits, kinds[..., None], 2) - 1, 2)
+        _, _, (x, q, k, v, s, context, h, d_logits) = self.forward(rows, keep=True)
+        d_logits.reshape(-1, CLASSES)[np.arange(kinds.size), kinds.ravel()] -= 1
         d_logits *= (valid / max(valid.sum(), 1))[..., None].astype(np.float32)
         flat = lambda a: a.reshape(-1, a.shape[-1])
         g = {"out": flat(h).T @ flat(d_logits)}
@@ -150,9 +149,11 @@ class CausalAttention:
         d_x = d_h + d_qkv @ p["qkv"].T
         g["place"] = d_x.sum(0)
         g["embed"] = np.zeros_like(p["embed"])
-        order = np.argsort(rows, axis=None, kind="stable")
-        used, starts = np.unique(rows.ravel()[order], return_index=True)
-        g["embed"][used] = np.add.reduceat(flat(d_x)[order], starts)
+        short = rows.ravel().astype(np.uint16)  # which numpy sorts in linear time
+        order = np.argsort(short, kind="stable")
+        used = short[order]
+        starts = np.flatnonzero(np.concatenate([[True], used[1:] != used[:-1]]))
+        g["embed"][used[starts]] = np.add.reduceat(flat(d_x)[order], starts)
         return g
 
 

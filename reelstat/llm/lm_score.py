@@ -15,6 +15,8 @@ their counts in a join on the word.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -32,8 +34,8 @@ from reelstat.llm.wordhash import word_hashes
 FEW_WINDOWS, STEPS = 128_000, 2_000
 #: Of more windows each is trained on once, in one of so many rounds, in steps of so many windows out of a slice of neighbours.
 ROUNDS, BATCH, SLICE = 8, 128, 8192
-#: The column with the ids of a text, beside the user's own.
-IDS = "_lm_ids"
+#: The columns with the ids of a text and with its hash, beside the user's own.
+IDS, DEAL = "_lm_ids", "_lm_deal"
 #: Different counts, and pairs of rows, that a task gathers before it adds them up.
 GATHERED = 1_000_000
 #: Weight, in transitions, of the overall shares of the classes in those after an input row.
@@ -50,34 +52,45 @@ def word_keys(texts: list) -> tuple[np.ndarray, np.ndarray]:
     return mix(found[0] ^ mix(found[1])).view(np.int64), np.diff(np.searchsorted(starts, edges))
 
 
-def encoded(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """The rows with the ids of their whole texts in a column ``IDS``, written, so that each text is encoded once."""
+def _id_type(vocabulary: str):
+    """What an id is written as: two bytes where they hold every id."""
+    return np.uint16 if encoding(vocabulary).n_vocab <= 1 << 16 else np.uint32
+
+
+def encoded(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, doc_id: str = "doc_id") -> DataFrame:
+    """The rows with the ids of their whole texts in a column ``IDS`` (bytes, see ``_id_type``: an array of numbers takes the JVM many times
+    the memory and time) and the hash by which ``train`` deals them in ``DEAL``, written, so that each text is encoded once."""
     def run(batches):
         for batch in batches:
             for start, stop, texts in text_blocks(batch, text):
-                ids = [encode(t, vocabulary) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [c.slice(start, stop - start) for c in batch.columns] +
-                    [int_arrays(flat(ids, np.uint32).astype(np.int32), np.array([len(x) for x in ids], np.int64))], [*batch.schema.names, IDS])
+                ids = pa.array([encode(t, vocabulary).astype(_id_type(vocabulary)).tobytes() for t in texts], pa.binary())
+                yield pa.RecordBatch.from_arrays([*[c.slice(start, stop - start) for c in batch.columns], ids], [*batch.schema.names, IDS])
 
-    return written(docs.mapInArrow(run, StructType([*docs.schema.fields, *StructType.fromDDL(f"{IDS} array<int>").fields])), "lm-ids")
+    rows = docs.withColumn(DEAL, _deal(doc_id, text))
+    return written(rows.mapInArrow(run, StructType([*rows.schema.fields, *StructType.fromDDL(f"{IDS} binary").fields])), "lm-ids")
+
+
+def _deal(doc_id: str, text: str):
+    return F.xxhash64(F.col(doc_id).cast("string"), F.col(text).cast("string"))
 
 
 def _blocks(batches, vocabulary: str):
-    """(batch, from, to, texts, ids of each) by blocks of texts; ids come from the column ``IDS`` where there is one."""
+    """(batch, from, to, texts, ids of each) by blocks of texts; ids come from the column ``IDS`` where there is one, and without
+    a column of texts the ids' bytes stand for them."""
     for batch in batches:
-        at = batch.schema.get_field_index(IDS)
-        for start, stop, texts in text_blocks(batch, "text"):
-            if at < 0:
+        names, kind = batch.schema.names, _id_type(vocabulary)
+        for start, stop, texts in text_blocks(batch, "text" if "text" in names else IDS):
+            if IDS not in names:
                 yield batch, start, stop, texts, [encode(t, vocabulary) for t in texts]
             else:
-                lists = batch.column(at).slice(start, stop - start)
-                sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-                yield batch, start, stop, texts, np.split(lists.flatten().to_numpy(), np.cumsum(sizes)[:-1]) if len(texts) else []
+                data = batch.column(names.index(IDS)).slice(start, stop - start).to_pylist() if "text" in names else texts
+                yield batch, start, stop, texts, [np.frombuffer(d, kind) for d in data]
 
 
-def _read(docs: DataFrame, text: str, *others) -> DataFrame:
-    return docs.select(F.col(text).cast("string").alias("text"), *others, *([IDS] if IDS in docs.columns else []))
+def _read(docs: DataFrame, text: str, *others, words: bool = True) -> DataFrame:
+    """The columns that ``_blocks`` needs, and others; texts only for their ``words`` or where there are no ids."""
+    has_ids = IDS in docs.columns
+    return docs.select(*([F.col(text).cast("string").alias("text")] if words or not has_ids else []), *others, *([IDS] if has_ids else []))
 
 
 def corpus_counts(training: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -145,7 +158,7 @@ def context_rows(training: DataFrame, row: np.ndarray, end: int, share: float, d
         used = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(table[used]), pa.nulls(len(used), pa.list_(pa.int32()))], ["pair", "c", "window"])
 
-    return _read(training, text, F.col(doc_id).alias("id")).mapInArrow(run, "pair long, c long, window array<int>")
+    return _read(training, text, F.col(doc_id).alias("id"), words=False).mapInArrow(run, "pair long, c long, window array<int>")
 
 
 class Scorer:
@@ -202,7 +215,9 @@ def train(training: DataFrame, scorer: Scorer, windows: int, text: str = "text",
                 yield inputs, kind[targets], scored
 
     def answer(targets: int):
-        return pa.RecordBatch.from_arrays([pa.array([targets]), pa.array([model.steps]), pa.array([model.state().tobytes()])], ["targets", "steps", "state"])
+        """A row with the targets and, times their number, the steps and the state."""
+        state = targets * model.state().astype(np.float64)
+        return pa.RecordBatch.from_arrays([pa.array([targets]), pa.array([targets * model.steps]), pa.array([state.tobytes()])], ["targets", "steps", "state"])
 
     def passes(batches):
         held = [np.concatenate(part) for part in zip(*slices(batches), strict=True)]
@@ -222,25 +237,31 @@ def train(training: DataFrame, scorer: Scorer, windows: int, text: str = "text",
         if targets:
             yield answer(targets)
 
-    def add(a, b):
-        return a[0] + b[0], a[1] + b[1], a[2] + b[2]
+    def summed(batches):
+        rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        if rows:
+            targets, steps = (sum(r[i] for r in rows) for i in range(2))
+            state = sum(np.frombuffer(r[2]) for r in rows)
+            yield pa.RecordBatch.from_arrays([pa.array([targets]), pa.array([steps]), pa.array([state.tobytes()])], ["targets", "steps", "state"])
 
     def averaged(answers: DataFrame) -> None:
-        weighed = answers.rdd.map(lambda r: (r.targets, r.targets * r.steps, r.targets * np.frombuffer(r.state, np.float32).astype(np.float64)))
-        targets, steps, state = weighed.treeAggregate((0, 0, 0.0), add, add)
-        if targets:
-            model.restore(state / targets, max(round(steps / targets), 1))
-            scorer.trained_targets += targets
+        # in tasks of their own: a second Python process beside the one that trains would double what a core holds
+        few = math.ceil(math.sqrt(answers.rdd.getNumPartitions()))
+        for parts in (few, 1) if few > 1 else ():
+            answers = answers.repartition(parts).mapInArrow(summed, schema)
+        for r in answers.collect():
+            model.restore(np.frombuffer(r.state) / r.targets, max(round(r.steps / r.targets), 1))
+            scorer.trained_targets += r.targets
 
     schema = "targets long, steps long, state binary"
     if windows <= FEW_WINDOWS:
-        averaged(_read(training, text).coalesce(1).mapInArrow(passes, schema))
+        averaged(_read(training, text, words=False).coalesce(1).mapInArrow(passes, schema))
         return
-    texts = training if IDS in training.columns else encoded(training, text, scorer.vocabulary)
+    texts = training if IDS in training.columns else encoded(training, text, scorer.vocabulary, doc_id)
     for number in range(ROUNDS):
         rate = RATE * min(1, 2 * (1 - (number + 0.5) / ROUNDS))
-        part = texts.where(F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.col(text).cast("string")), F.lit(ROUNDS)) == number)
-        averaged(_read(part, text).mapInArrow(one_round, schema))
+        part = texts.where(F.pmod(DEAL, F.lit(ROUNDS)) == number)
+        averaged(_read(part, text, words=False).mapInArrow(one_round, schema))
 
 
 def score_texts(docs: DataFrame, counts: DataFrame, scorer: Scorer, doc_id: str = "doc_id", text: str = "text", head: int = 200_000,

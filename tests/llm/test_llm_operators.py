@@ -331,6 +331,23 @@ def test_subwords_are_counted_as_they_are_scored(spark):
         assert {r.key: r.c for r in lm_score.corpus_counts(frame).where("sub").collect()} == want
 
 
+def test_ids_are_written_as_bytes_and_training_reads_no_texts(spark, monkeypatch):
+    rows = [(1, "The cat sat."), (2, None), (3, ""), (4, "on the mat"), (4, "on the mat"), (None, "cat \u00e9 \U0001f600")]
+    docs = docs_of(spark, rows)
+    written = lm_score.encoded(docs)
+    assert dict(written.dtypes)[lm_score.IDS] == "binary"  # an array of numbers takes the JVM many times the memory
+    got = [(r.doc_id, r.text, np.frombuffer(r[lm_score.IDS], np.uint16).tolist()) for r in written.collect()]
+    assert sorted(got, key=str) == sorted(((i, t, encode(t).tolist()) for i, t in rows), key=str)
+    assert lm_score._read(written, "text", words=False).columns == [lm_score.IDS]
+    counts = lm_score.corpus_counts(docs).checkpoint()
+    monkeypatch.setattr(lm_score, "FEW_WINDOWS", 0)
+    monkeypatch.setattr(type(docs.rdd), "map", None)  # no second Python process beside the one that trains
+    scorers = [lm_score.fit(d, counts) for d in (docs.repartition(3), written.repartition(5))]
+    assert [s.trained_targets for s in scorers] == [sum(len(encode(t)) + 1 for _, t in rows)] * 2
+    scores = [sorted((r.n_tokens, r.base_score) for r in lm_score.score_texts(d, counts, s).collect()) for d, s in zip((docs, written), scorers)]
+    assert scores[0] == scores[1] and len(scores[0]) == len(rows)
+
+
 def test_transitions_and_windows_come_from_whole_texts(spark):
     rng = random.Random(12)
     rows = [(i, " ".join(rng.choice(["The", "cat", "sat\n", "on", "it"]) for _ in range(n))) for i, n in enumerate([0, 1, 20, 2500, 4000])] + [(9, None)]
