@@ -34,8 +34,8 @@ from reelstat.llm.wordhash import word_hashes
 FEW_WINDOWS, STEPS = 128_000, 2_000
 #: Of more windows each is trained on once, in one of so many rounds, in steps of so many windows out of a slice of neighbours.
 ROUNDS, BATCH, SLICE = 8, 128, 8192
-#: The columns with the ids of a text and with its hash, beside the user's own.
-IDS, DEAL = "_lm_ids", "_lm_deal"
+#: The columns with the ids of a text, its hash and its bytes' number, beside the user's own.
+IDS, DEAL, SIZE = "_lm_ids", "_lm_deal", "_lm_size"
 #: Different counts, and pairs of rows, that a task gathers before it adds them up.
 GATHERED = 1_000_000
 #: Weight, in transitions, of the overall shares of the classes in those after an input row.
@@ -59,27 +59,25 @@ def _id_type(vocabulary: str):
 
 def encoded(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, doc_id: str = "doc_id") -> DataFrame:
     """The rows with the ids of their whole texts in a column ``IDS`` (bytes, see ``_id_type``: an array of numbers takes the JVM many times
-    the memory and time) and the hash by which ``train`` deals them in ``DEAL``, written, so that each text is encoded once."""
+    the memory and time) and the hash by which ``train`` deals them in ``DEAL``, written, so that each text is encoded once. ``SIZE``: the bytes of the text."""
     def run(batches):
         for batch in batches:
             for start, stop, texts in text_blocks(batch, text):
                 ids = pa.array([encode(t, vocabulary).astype(_id_type(vocabulary)).tobytes() for t in texts], pa.binary())
                 yield pa.RecordBatch.from_arrays([*[c.slice(start, stop - start) for c in batch.columns], ids], [*batch.schema.names, IDS])
 
-    rows = docs.withColumn(DEAL, _deal(doc_id, text))
+    words = F.col(text).cast("string")
+    rows = docs.withColumns({DEAL: F.xxhash64(F.col(doc_id).cast("string"), words), SIZE: F.coalesce(F.octet_length(words), F.lit(0))})
     return written(rows.mapInArrow(run, StructType([*rows.schema.fields, *StructType.fromDDL(f"{IDS} binary").fields])), "lm-ids")
 
 
-def _deal(doc_id: str, text: str):
-    return F.xxhash64(F.col(doc_id).cast("string"), F.col(text).cast("string"))
-
-
 def _blocks(batches, vocabulary: str):
     """(batch, from, to, texts, ids of each) by blocks of texts; ids come from the column ``IDS`` where there is one, and without
-    a column of texts the ids' bytes stand for them."""
+    a column of texts the ids' bytes stand for them, in the same blocks."""
     for batch in batches:
         names, kind = batch.schema.names, _id_type(vocabulary)
-        for start, stop, texts in text_blocks(batch, "text" if "text" in names else IDS):
+        blocks = text_blocks(batch, "text") if "text" in names else text_blocks(batch, IDS, sizes=batch.column(names.index(SIZE)).to_numpy())
+        for start, stop, texts in blocks:
             if IDS not in names:
                 yield batch, start, stop, texts, [encode(t, vocabulary) for t in texts]
             else:
@@ -90,7 +88,8 @@ def _blocks(batches, vocabulary: str):
 def _read(docs: DataFrame, text: str, *others, words: bool = True) -> DataFrame:
     """The columns that ``_blocks`` needs, and others; texts only for their ``words`` or where there are no ids."""
     has_ids = IDS in docs.columns
-    return docs.select(*([F.col(text).cast("string").alias("text")] if words or not has_ids else []), *others, *([IDS] if has_ids else []))
+    whole = [F.col(text).cast("string").alias("text")] if words or not has_ids else [SIZE]
+    return docs.select(*whole, *others, *([IDS] if has_ids else []))
 
 
 def corpus_counts(training: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:

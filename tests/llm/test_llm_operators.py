@@ -2,7 +2,9 @@
 
 import collections
 import math
+import pathlib
 import random
+import time
 import zlib
 
 import duckdb
@@ -10,7 +12,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as E
-from reelstat.llm import attention, html_extract, language, lm_score, ngram_join, packing, quality, secrets, sql, token_counts, url_filter
+from reelstat.llm import attention, common, html_extract, language, lm_score, ngram_join, packing, quality, secrets, sql, token_counts, url_filter
 from reelstat.llm.common import held_out, smallest_hashes
 from reelstat.llm.tokens import encode
 
@@ -331,6 +333,23 @@ def test_subwords_are_counted_as_they_are_scored(spark):
         assert {r.key: r.c for r in lm_score.corpus_counts(frame).where("sub").collect()} == want
 
 
+def test_shuffles_go_when_a_table_is_written(spark):
+    folders = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {f for d in folders for f in pathlib.Path(d).rglob("shuffle_*.data")}
+
+    setting, before = spark.conf.get(common._CLEANUP), files()
+    kept = common.written(spark.range(70).selectExpr("id % 7 AS a").groupBy("a").count(), "test")
+    for _ in range(100):  # they are removed in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert sorted(map(tuple, kept.collect())) == [(a, 10) for a in range(7)]
+    assert spark.conf.get(common._CLEANUP) == setting
+
+
 def test_ids_are_written_as_bytes_and_training_reads_no_texts(spark, monkeypatch):
     rows = [(1, "The cat sat."), (2, None), (3, ""), (4, "on the mat"), (4, "on the mat"), (None, "cat \u00e9 \U0001f600")]
     docs = docs_of(spark, rows)
@@ -338,7 +357,7 @@ def test_ids_are_written_as_bytes_and_training_reads_no_texts(spark, monkeypatch
     assert dict(written.dtypes)[lm_score.IDS] == "binary"  # an array of numbers takes the JVM many times the memory
     got = [(r.doc_id, r.text, np.frombuffer(r[lm_score.IDS], np.uint16).tolist()) for r in written.collect()]
     assert sorted(got, key=str) == sorted(((i, t, encode(t).tolist()) for i, t in rows), key=str)
-    assert lm_score._read(written, "text", words=False).columns == [lm_score.IDS]
+    assert lm_score._read(written, "text", words=False).columns == [lm_score.SIZE, lm_score.IDS]
     counts = lm_score.corpus_counts(docs).checkpoint()
     monkeypatch.setattr(lm_score, "FEW_WINDOWS", 0)
     monkeypatch.setattr(type(docs.rdd), "map", None)  # no second Python process beside the one that trains
