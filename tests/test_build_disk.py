@@ -4,6 +4,7 @@ import datetime as dt
 import pathlib
 import random
 import time
+from decimal import Decimal
 
 from reelstat import config as C
 from reelstat.functions import columns as X
@@ -53,13 +54,27 @@ def test_packed_columns(spark):
     values = [None, "", "~", ",", "~0", "~1", "a,b~,", "~~,,", "x"]
     rows = [(a, b, c) for a in values for b in values for c in (None, True, False)]
     df = spark.createDataFrame(rows, "a string, b string, c boolean")
-    kept = df.select("*", X.packed(["a", "b", "c"]).alias("_all"))
+    kept = df.select("*", X.packed(["a", "b", "c"], df).alias("_all"))
     assert kept.select("_all").distinct().count() == len(rows)
-    assert all(tuple(r[:3]) == tuple(r[3:]) for r in kept.select("a", "b", "c", *X.unpacked("_all", ["a", "b", "c"], df)).collect())
+    assert all(tuple(r[:3]) == tuple(r[3:]) for r in kept.select("a", "b", "c", *X.unpacked(X.parts_of("_all"), ["a", "b", "c"], df)).collect())
     marks = df.select(X.marks([df.c, df.a == "x"]).alias("m"), "a", "c").select(X.marked("m", 0), X.marked("m", 1), "a", "c").collect()
     assert all(r[0] == (r.c is True) and r[1] == (r.a == "x") for r in marks)
 
 
+def test_a_mart_travels_packed_and_arrives_as_it_was(spark, tmp_dir, monkeypatch):
+    rows = [(d, t, n, x, b, Decimal(n) if n else None, [t], None) for d in (None, dt.date(2020, 1, 31), dt.date(1969, 2, 1)) for t in (None, "", "~", "a,~0~1", " x\n")
+            for n, x, b in ((None, None, None), (0, float("nan"), True), (-2 ** 63 + 1, -0.0, False), (7, 1e-300, True))]
+    df = spark.createDataFrame(rows, "day date, `a.text` string, n long, x double, b boolean, m decimal(20,0), l array<string>, v string")
+    plans, parquet = [], pipeline.V.replace_table
+    monkeypatch.setattr(pipeline.V, "replace_table", lambda s, p, write: plans.append(write.__self__._df) or parquet(s, p, write))
+    pipeline.write_mart(df, f"{tmp_dir}/mart", "day", ["`a.text`", "n"])
+    kept = pipeline.read_mart(spark, f"{tmp_dir}/mart")
+    assert kept.dtypes == df.dtypes and rows_of(kept) == rows_of(df)
+    lines = plans[0]._jdf.queryExecution().executedPlan().toString().splitlines()
+    below, = [lines[i + 1] for i, line in enumerate(lines) if "REBALANCE" in line]
+    assert "concat_ws" in below
+
+
 def sessions(spark, n=600):
     rng = random.Random(3)
     rows = [(rng.choice([None, 1, 2, 3, 4, 5]), rng.choice([1, 2, 3]), rng.choice([None, dt.date(2020, 1, 31), dt.date(2020, 2, 1)]),
